@@ -4,10 +4,11 @@ the first arrives (times are ``HHMM`` strings compared as text).
 
 Plan shape at scale
 -------------------
-* One scan tags each record as leg 1 and/or leg 2 (``tag_legs``); both join
-  sides come from that single pass.
-* Totals never enumerate flight pairs. Each leg is first aggregated into
-  *time buckets* ``(date, transit, time, leg) -> (n, delay sum)`` with a
+* One pass tags each record as leg 1 and/or leg 2 (``tag_legs``). The
+  running-sum form keeps that single scan end to end; the join forms read
+  it once per side with that side's filter pushed into the scan.
+* Totals never enumerate flight pairs. Both legs are first aggregated into
+  *time buckets* ``(date, transit, time) -> (n1, s1, n2, s2)`` with a
   map-side partial aggregate, so a hot (date, transit) group shrinks to at
   most one row per distinct clock time (1,440 for HHMM) before any shuffle
   that groups it. Pairs are then counted by running sums over the ordered
@@ -59,6 +60,9 @@ def tag_legs(
     ``rule`` is ``reject`` (drop flag == 1 after truncation) or ``accept``
     (keep flag == 0); ``window`` filters on the record's year/month, None
     to skip. ``keep`` carries extra columns (e.g. year, month, ids).
+
+    With exclusive rules a record is at most one leg (a CASE); with loose
+    rules it may be both, so legs come from a small generator.
     """
     on1 = leg1_loose(origin, dest) if loose else leg1_exclusive(origin, dest)
     on2 = leg2_loose(origin, dest) if loose else leg2_exclusive(origin, dest)
@@ -85,11 +89,17 @@ def tag_legs(
 
 
 def time_buckets(tagged: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
-    """Pre-aggregate legs: one row per (date, transit, t, leg[, extra])."""
-    keys = KEY + ["t", "leg"] + (extra_keys or [])
+    """Pre-aggregate both legs: one row per (date, transit, t[, extra]) with
+    leg-1 arrivals (n1, s1) and leg-2 departures (n2, s2) at that time."""
+    keys = KEY + ["t"] + (extra_keys or [])
+    zero = F.lit(0).cast(BIG)
+
+    def part(leg: int, v: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("leg") == leg, v)).cast(BIG), zero)
+
     return tagged.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast(BIG).alias("n"), F.sum("d").cast(BIG).alias("s")
-    )
+        part(1, F.lit(1)).alias("n1"), part(1, F.col("d")).alias("s1"),
+        part(2, F.lit(1)).alias("n2"), part(2, F.col("d")).alias("s2"))
 
 
 def _finish(n_pairs: Column, delay: Column) -> list[Column]:
@@ -104,25 +114,25 @@ def _finish(n_pairs: Column, delay: Column) -> list[Column]:
 
 
 def running_pairs(buckets: DataFrame) -> DataFrame:
-    """Per leg-2 bucket, the pairs it closes and their delay.
+    """Per time bucket, the pairs its departures close and their delay.
 
-    Inside (date, transit), buckets are ordered by (t, leg desc): at equal
-    time leg 2 sorts first, so the running leg-1 sums at a leg-2 row cover
-    strictly earlier arrivals only.
+    Inside (date, transit), buckets are ordered by time; the running leg-1
+    sums over strictly earlier buckets (frame ends one row before the
+    current one) give the arrivals each departure connects with, so equal
+    times never pair.
     """
-    w = (Window.partitionBy(*KEY).orderBy("t", F.col("leg").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    is1 = F.col("leg") == 1
+    w = (Window.partitionBy(*KEY).orderBy("t")
+         .rowsBetween(Window.unboundedPreceding, -1))
     zero = F.lit(0).cast(BIG)
     ran = buckets.select(
-        *KEY, "t", "leg", "n", "s",
-        F.sum(F.when(is1, F.col("n")).otherwise(zero)).over(w).alias("c1"),
-        F.sum(F.when(is1, F.col("s")).otherwise(zero)).over(w).alias("s1"),
-    ).where(F.col("leg") == 2)
+        *KEY, "t", "n2", "s2",
+        F.coalesce(F.sum("n1").over(w), zero).alias("c1"),
+        F.coalesce(F.sum("s1").over(w), zero).alias("a1"),
+    ).where(F.col("n2") > 0)
     return ran.select(
         *KEY, "t",
-        (F.col("n") * F.col("c1")).alias("pairs"),
-        (F.col("n") * F.col("s1") + F.col("c1") * F.col("s")).alias("delay"),
+        (F.col("n2") * F.col("c1")).alias("pairs"),
+        (F.col("n2") * F.col("a1") + F.col("c1") * F.col("s2")).alias("delay"),
     )
 
 
@@ -133,18 +143,19 @@ def totals_running(buckets: DataFrame) -> DataFrame:
 
 
 def _sides(buckets: DataFrame, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Both join sides from one shuffle: the buckets are hash-partitioned on
-    (date, transit) once; the two filtered sides reuse that exchange, so the
-    sort-merge join needs no further shuffle."""
+    """The two join sides, each hash-partitioned on (date, transit) after its
+    bucket aggregate. Column pruning narrows each side to its own leg's sums,
+    so each side is its own pruned scan (like loading the input twice); the
+    single-scan form of the same totals is ``totals_running``."""
     shared = buckets.repartition(*KEY)
     extra = extra or []
 
-    def side(leg: int, tag: str) -> DataFrame:
-        return shared.where(F.col("leg") == leg).select(
-            *KEY, F.col("t").alias(f"t{tag}"), F.col("n").alias(f"n{tag}"),
-            F.col("s").alias(f"s{tag}"), *[F.col(c).alias(f"{c}{tag}") for c in extra])
+    def side(tag: str) -> DataFrame:
+        return shared.where(F.col(f"n{tag}") > 0).select(
+            *KEY, F.col("t").alias(f"t{tag}"), f"n{tag}", f"s{tag}",
+            *[F.col(c).alias(f"{c}{tag}") for c in extra])
 
-    return side(1, "1"), side(2, "2")
+    return side("1"), side("2")
 
 
 def bucket_join(buckets: DataFrame, extra: list[str] | None = None, strict: bool = True) -> DataFrame:
@@ -162,16 +173,24 @@ def totals_join(buckets: DataFrame) -> DataFrame:
 
 
 def band_prune(buckets: DataFrame) -> DataFrame:
-    """Inside (date, transit) drop leg-2 rows departing at or before the
-    earliest leg-1 arrival, then leg-1 rows arriving at or after the latest
-    remaining leg-2 departure. Result-neutral; shrinks the join input."""
+    """Inside (date, transit) drop leg-2 departures at or before the
+    earliest leg-1 arrival, then leg-1 arrivals at or after the latest
+    remaining departure. Result-neutral; shrinks the join input."""
     w = Window.partitionBy(*KEY)
-    is1, is2 = F.col("leg") == 1, F.col("leg") == 2
-    step1 = buckets.withColumn("min_arr", F.min(F.when(is1, F.col("t"))).over(w))
-    keep2 = is2 & (F.col("t") > F.col("min_arr"))
+    zero = F.lit(0).cast(BIG)
+    min_arr = F.min(F.when(F.col("n1") > 0, F.col("t"))).over(w)
+    step1 = buckets.withColumn("min_arr", min_arr)
+    keep2 = (F.col("n2") > 0) & (F.col("t") > F.col("min_arr"))
     step2 = step1.withColumn("max_dep", F.max(F.when(keep2, F.col("t"))).over(w))
-    kept = step2.where(keep2 | (is1 & (F.col("t") < F.col("max_dep"))))
-    return kept.drop("min_arr", "max_dep")
+    keep1 = (F.col("n1") > 0) & (F.col("t") < F.col("max_dep"))
+    pruned = step2.select(
+        *[c for c in buckets.columns if c not in ("n1", "s1", "n2", "s2")],
+        F.when(keep1, F.col("n1")).otherwise(zero).alias("n1"),
+        F.when(keep1, F.col("s1")).otherwise(zero).alias("s1"),
+        F.when(keep2, F.col("n2")).otherwise(zero).alias("n2"),
+        F.when(keep2, F.col("s2")).otherwise(zero).alias("s2"),
+    )
+    return pruned.where((F.col("n1") > 0) | (F.col("n2") > 0))
 
 
 def union_average(joined: DataFrame) -> DataFrame:
