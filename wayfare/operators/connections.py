@@ -15,8 +15,8 @@ Plan shape at scale
   buckets (``totals_running``, no pairs at all) or by an equi-join of the
   buckets with the strict time residual (``totals_join``; its fan-out per
   group is bounded by the number of distinct times, not by the data).
-* Counts and delay sums are accumulated as DECIMAL(38,0) so products of
-  large bucket counts cannot overflow; results are returned as BIGINT.
+* Counts and delay sums are BIGINT; under ANSI mode an overflow raises an
+  error instead of wrapping (the reported totals are BIGINT as well).
 * ``pairs`` materialises flight pairs and is used only where the pairs are
   the requested output; AQE's skew-join split handles hot partitions there.
 """
@@ -42,7 +42,7 @@ ORIGIN, DEST = "ORD", "JFK"
 WINDOW = ((2007, 6), (2008, 5))
 
 KEY = ["flight_date", "transit"]
-BIG = "decimal(38,0)"
+BIG = "bigint"
 
 
 def tag_legs(

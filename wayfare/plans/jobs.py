@@ -33,7 +33,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights(spark, read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS))
+    return flights(spark, spread(read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS)))
 
 
 def _letter_tokens(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
@@ -164,7 +164,7 @@ def keyed_populate(spark, sf_dir):
 
 
 def keyed_upsert_last(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"])
+    li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"]))
     fl = flights(spark, li, extra=WRITE_ORDER)
     rows = K.keyed_rows(fl, spark, extra=WRITE_ORDER)
     last = K.upsert_last(rows, ["l_orderkey", "l_linenumber"], WRITE_ORDER)
