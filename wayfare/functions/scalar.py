@@ -25,13 +25,14 @@ def java_trim(c: ColumnOrName) -> Column:
 
 
 # strict parse. Under ANSI mode a blank or malformed field raises
-# CAST_INVALID_INPUT, and '5.0' does not parse as an int.
+# CAST_INVALID_INPUT, and '5.0' does not parse as an int. A missing field
+# (NULL, which is how the CSV reader returns an empty one) counts as blank.
 def strict_int(c: ColumnOrName) -> Column:
-    return java_trim(c).cast("int")
+    return java_trim(F.coalesce(_col(c), F.lit(""))).cast("int")
 
 
 def strict_double(c: ColumnOrName) -> Column:
-    return java_trim(c).cast("double")
+    return java_trim(F.coalesce(_col(c), F.lit(""))).cast("double")
 
 
 # blank-as-zero parse: an empty field becomes 0, a malformed one still raises.
