@@ -65,6 +65,23 @@ def test_partitioned_write_and_scans(spark, tmp_path):
         K.write_keyed_table(rows, path, mode="errorifexists")
 
 
+def test_range_layout_and_hot_key_copies(spark, tmp_path):
+    from wayfare.plans import jobs
+
+    rows = K.keyed_rows(jobs.flight_rows(spark, SF001), spark)
+    ranged = str(tmp_path / "ranged")
+    K.write_keyed_table(rows, ranged, layout="range", n_ranges=4)
+    assert spark.read.parquet(ranged).count() == 6000
+    # a third of the rows are copies of one key: every copy is written
+    one = rows.where((F.col("l_orderkey") == 1) & (F.col("l_linenumber") == 1))
+    n_one = one.count()
+    copies = one.select("*", F.explode(F.array_repeat(F.lit(0), 3000)).alias("_r")).drop("_r")
+    out = str(tmp_path / "hot")
+    K.write_keyed_table(copies.unionByName(rows), out)
+    assert n_one >= 1
+    assert spark.read.parquet(out).count() == 6000 + 3000 * n_one
+
+
 def test_decode_key(spark):
     df = spark.createDataFrame([(2008, 0, 11, 17, 5, 1)],
                                "year int, cancelled int, month int, carrier_idx int, l_orderkey long, l_linenumber int")

@@ -1,8 +1,8 @@
 """The keyed flights table: ingest encoding, last-write-wins upsert,
 clustered partitioned write, and predicate / key-range scans.
 
-Layout: Parquet partitioned by (year, cancelled), range-partitioned and
-sorted by an order-preserving binary ``rowkey`` =
+Layout: Parquet partitioned by (year, cancelled), rows sorted inside each
+file by an order-preserving binary ``rowkey`` =
 year (2 bytes) | cancelled (1) | month (1) | carrier index (1) |
 order key (7) | line number (1).
 A predicate on year/cancelled prunes directories; a key range also gets
@@ -107,11 +107,24 @@ def upsert_last(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 
 
 def write_keyed_table(rows: DataFrame, path: str, mode: str = "overwrite",
-                      n_ranges: int | None = None) -> None:
-    """Range-partition on the row key (balanced tasks even when
-    one year holds most rows), sort inside each task, write by partition."""
-    ranged = rows.repartitionByRange(n_ranges, "rowkey") if n_ranges else rows.repartitionByRange("rowkey")
-    (ranged.sortWithinPartitions("rowkey")
+                      layout: str = "rebalance", n_ranges: int | None = None) -> None:
+    """Write the table partitioned by (year, cancelled), rows
+    sorted by ``rowkey`` inside every file (row-group min/max skipping).
+
+    ``rebalance`` (default) hashes on (year, cancelled, month) and lets AQE
+    split any skewed partition, even one made of copies of a single key, so
+    no writer task receives a hot key whole. ``range`` is the pre-split
+    layout: ``n_ranges`` contiguous key ranges (sampled bounds), for tables
+    whose keys are known to be spread.
+    """
+    if layout == "rebalance":
+        shaped = rows.hint("rebalance", "year", "cancelled", "month")
+    elif layout == "range":
+        shaped = (rows.repartitionByRange(n_ranges, "rowkey") if n_ranges
+                  else rows.repartitionByRange("rowkey"))
+    else:
+        raise ValueError(f"unknown layout {layout!r}")
+    (shaped.sortWithinPartitions("rowkey")
      .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path))
 
 
