@@ -73,7 +73,8 @@ def test_range_layout_and_hot_key_copies(spark, tmp_path):
     K.write_keyed_table(rows, ranged, layout="range", n_ranges=4)
     assert spark.read.parquet(ranged).count() == 6000
     # a third of the rows are copies of one key: every copy is written
-    one = rows.where((F.col("l_orderkey") == 1) & (F.col("l_linenumber") == 1))
+    first = rows.agg(F.min("l_orderkey")).collect()[0][0]
+    one = rows.where(F.col("l_orderkey") == first)
     n_one = one.count()
     copies = one.select("*", F.explode(F.array_repeat(F.lit(0), 3000)).alias("_r")).drop("_r")
     out = str(tmp_path / "hot")
