@@ -15,13 +15,13 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# strip every character <= U+0020 from both ends (Spark's trim strips
-# spaces only; record fields may carry tabs and other control characters).
-_EDGE_CONTROL = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# strip every character <= U+0020 from both ends (Spark's default trim
+# strips spaces only; record fields may carry tabs and control characters).
+_CONTROL_AND_SPACE = "".join(chr(i) for i in range(0x21))
 
 
 def java_trim(c: ColumnOrName) -> Column:
-    return F.regexp_replace(_col(c), _EDGE_CONTROL, "")
+    return F.trim(_col(c), F.lit(_CONTROL_AND_SPACE))
 
 
 # strict parse. Under ANSI mode a blank or malformed field raises

@@ -24,6 +24,8 @@ CARRIER_CODES = [
     "HA", "MQ", "NW", "OH", "OO", "UA", "US", "WN", "XE", "YV",
 ]
 BASE_YEAR = 2007
+# Bumped whenever the stored layout or key encoding changes.
+LAYOUT_VERSION = "keyed-v1"
 
 # (column, bytes) of the row key, in key order.
 KEY_PARTS = [

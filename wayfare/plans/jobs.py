@@ -6,8 +6,6 @@ input tables; nothing is sampled, capped or filtered to a subset.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from wayfare.operators import keyed as K
 from wayfare.operators import layout as L
 from wayfare.operators import monthly as M
 from wayfare.operators import words as W
-from wayfare.session import shared_dir
+from wayfare.session import input_token, is_committed, shared_dir, table_path
 from wayfare.sources.csv import flights_to_csv_lines, parse_flight_lines, typed_flights
 from wayfare.sources.flights import LINEITEM_COLUMNS, flights
 from wayfare.sources.tables import read_table, spread
@@ -171,12 +169,14 @@ def keyed_upsert_last(spark, sf_dir):
     return last.drop(*WRITE_ORDER).withColumn("rowkey", F.hex("rowkey"))
 
 
-def keyed_table(spark: SparkSession, sf_dir: str) -> str:
+def keyed_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
     """Populate the keyed table for ``sf_dir`` under the shared checkpoint
-    folder (overwriting a previous copy) and return its path."""
-    token = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    folder unless a committed copy for the same input files exists (K8:
+    create if absent), and return its path."""
+    token = input_token(spark, [table_path(sf_dir, "lineitem")], salt=K.LAYOUT_VERSION)
     path = shared_dir(spark, "tables", f"flights_keyed_{token}")
-    K.write_keyed_table(K.keyed_rows(flight_rows(spark, sf_dir), spark), path)
+    if rebuild or not is_committed(spark, path):
+        K.write_keyed_table(K.keyed_rows(flight_rows(spark, sf_dir), spark), path)
     return path
 
 

@@ -74,3 +74,30 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def input_token(spark: SparkSession, paths: list[str], salt: str = "") -> str:
+    """A short fingerprint of input files (name, size, modification time),
+    so a table derived from them can be reused while they are unchanged."""
+    import hashlib
+
+    entries = []
+    for path in paths:
+        p, fs = _fs(spark, path)
+        stats = fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]
+        for st in stats:
+            entries.append((str(st.getPath()), st.getLen(), st.getModificationTime()))
+    digest = hashlib.sha1(repr((salt, sorted(entries))).encode()).hexdigest()
+    return digest[:16]
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when a completed Spark write left its ``_SUCCESS`` marker."""
+    p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")
+    return bool(fs.exists(p))
