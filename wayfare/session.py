@@ -55,11 +55,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext access (e.g. a Connect session)
+            root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="wayfare-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wayfare-ckpt-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root
 
 

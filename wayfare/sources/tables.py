@@ -24,7 +24,9 @@ def spread(df: DataFrame) -> DataFrame:
     round-robin split; on large inputs the scan already has thousands of
     splits and this is a no-op, so no extra shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
