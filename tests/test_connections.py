@@ -153,3 +153,19 @@ def test_theta_inside_join(spark):
     plan = jobs.two_leg_pairs(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     join_line = next(line for line in plan.split("\n") if "Join" in line)
     assert "Inner" in join_line and "<" in join_line
+
+
+def test_bag_unions_keep_duplicates(spark):
+    a = spark.createDataFrame([(1,), (1,)], "x int")
+    b = spark.createDataFrame([(1,)], "x int")
+    assert C.bag_union(a, b).count() == 3
+    both = C.bag_union_of_projections(a, [F.col("x").alias("y")], [(F.col("x") + 1).alias("y")])
+    assert sorted(r.y for r in both.collect()) == [1, 1, 2, 2]
+
+
+def test_union_average_single_join(spark):
+    from tests.conftest import SF001
+    from wayfare.plans import jobs
+
+    plan = jobs.two_leg_union_avg(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1

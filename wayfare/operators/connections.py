@@ -193,6 +193,23 @@ def band_prune(buckets: DataFrame) -> DataFrame:
     return pruned.where((F.col("n1") > 0) | (F.col("n2") > 0))
 
 
+def bag_union(*relations: DataFrame) -> DataFrame:
+    """Bag union of independent relations (duplicates kept; never the
+    de-duplicating SQL UNION)."""
+    out = relations[0]
+    for r in relations[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def bag_union_of_projections(df: DataFrame, *projections: list[Column]) -> DataFrame:
+    """U1 for several projections of the *same* relation: every input row
+    emits one row per projection in a single pass, the same multiset as the
+    union of the projections without evaluating ``df`` once per branch."""
+    structs = [F.struct(*cols) for cols in projections]
+    return df.select(F.explode(F.array(*structs)).alias("__u")).select("__u.*")
+
+
 def union_average(joined: DataFrame) -> DataFrame:
     """U1 + A6: average over the bag union of both legs' delays, times two.
 
@@ -200,9 +217,11 @@ def union_average(joined: DataFrame) -> DataFrame:
     delay s1*n2 and leg 2 n1*s2 over that many values. The two delay
     relations are bag-unioned (duplicates kept) and averaged."""
     w = F.col("n1") * F.col("n2")
-    d1 = joined.select(w.alias("n"), (F.col("s1") * F.col("n2")).alias("s"))
-    d2 = joined.select(w.alias("n"), (F.col("n1") * F.col("s2")).alias("s"))
-    u = d1.unionByName(d2)
+    u = bag_union_of_projections(
+        joined,
+        [w.alias("n"), (F.col("s1") * F.col("n2")).alias("s")],
+        [w.alias("n"), (F.col("n1") * F.col("s2")).alias("s")],
+    )
     n, s = F.sum("n"), F.sum("s")
     return u.agg(F.when(n > 0, s.cast("double") / n.cast("double") * 2).alias("avg_delay"))
 
