@@ -26,3 +26,15 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert df.columns == ["n_pairs", "sum_delay", "avg_delay"]
     assert rows[0]["n_pairs"] == 221
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "binary": "BLOB"}
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_schema_matches_oracle(spark, duck, name):
+    got = dict(E.queries()[name](spark, SF001).dtypes)
+    rel = duck.sql(E.oracle_sql()[name])
+    exp = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in got.items()} == exp

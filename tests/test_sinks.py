@@ -40,3 +40,16 @@ def test_crlf_lines_overwrite(spark, tmp_path):
     write_lines(df, out)  # overwrite
     data = b"".join(open(p, "rb").read() for p in glob.glob(out + "/part-*"))
     assert data == b"9E, (1, 18)\r\n"
+
+
+def test_average_delay_report(spark, tmp_path):
+    from tests.conftest import SF001
+    from wayfare.plans import jobs
+    from wayfare.sinks import write_average_delay
+
+    target = write_average_delay(jobs.monthly_delay_text(spark, SF001), str(tmp_path))
+    assert target.endswith("/average_delay")
+    data = b"".join(open(p, "rb").read() for p in glob.glob(target + "/part-*"))
+    lines = data.split(b"\r\n")
+    assert lines[-1] == b"" and len(lines) == 21
+    assert all(line.count(b"(") == 12 for line in lines[:-1])

@@ -4,7 +4,8 @@ from wayfare.sinks.files import (
     write_key_value_text,
     write_single_row,
     write_lines,
+    write_average_delay,
     show,
 )
 
-__all__ = ["write_key_value_text", "write_single_row", "write_lines", "show"]
+__all__ = ["write_key_value_text", "write_single_row", "write_lines", "write_average_delay", "show"]

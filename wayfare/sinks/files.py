@@ -32,3 +32,11 @@ def write_lines(df: DataFrame, path: str, column: str = "line", line_sep: str =
 def show(df: DataFrame, n: int = 20) -> None:
     """K6: print a (limited) relation."""
     df.show(n, truncate=False)
+
+
+def write_average_delay(text: DataFrame, out_dir: str, mode: str = "overwrite") -> str:
+    """K3 + K4: the monthly text lines, CRLF-terminated, as committed part
+    files in ``<out_dir>/average_delay``; returns that directory."""
+    target = out_dir.rstrip("/") + "/average_delay"
+    write_lines(text, target, column="line", line_sep="\r\n", mode=mode)
+    return target
