@@ -17,7 +17,13 @@ from wayfare.operators import layout as L
 from wayfare.operators import monthly as M
 from wayfare.operators import words as W
 from wayfare.session import input_token, is_committed, shared_dir, table_path
-from wayfare.sources.csv import flights_to_csv_lines, parse_flight_lines, typed_flights
+from wayfare.sources.csv import (
+    flights_to_csv_lines,
+    parse_flight_lines,
+    read_flights_csv,
+    typed_flights,
+)
+from wayfare.sources.text import document_lines, read_lines
 from wayfare.sources.flights import LINEITEM_COLUMNS, flights
 from wayfare.sources.tables import read_table, spread
 
@@ -171,21 +177,30 @@ def keyed_upsert_last(spark, sf_dir):
     return last.drop(*WRITE_ORDER).withColumn("rowkey", F.hex("rowkey"))
 
 
-def keyed_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
-    """Populate the keyed table for ``sf_dir`` under the shared checkpoint
-    folder unless a committed copy for the same input files exists (K8:
-    create if absent), and return its path."""
+def _derived(spark: SparkSession, sf_dir: str, source: str, name: str, version: str,
+             write, rebuild: bool = False) -> str:
+    """Path of a table derived from ``source`` under the shared checkpoint
+    folder, written by ``write(path)`` unless a committed copy made from the
+    same input files exists (create if absent)."""
     try:
-        token = input_token(spark, [table_path(sf_dir, "lineitem")], salt=K.LAYOUT_VERSION)
+        token = input_token(spark, [table_path(sf_dir, source)], salt=version)
         reuse = not rebuild
     except Exception:  # no file-system access from the driver: always rebuild
-        token, reuse = hashlib.sha1(sf_dir.encode()).hexdigest()[:16], False
-    path = shared_dir(spark, "tables", f"flights_keyed_{token}")
+        token, reuse = hashlib.sha1(f"{sf_dir}:{version}".encode()).hexdigest()[:16], False
+    path = shared_dir(spark, "tables", f"{name}_{token}")
     if not (reuse and is_committed(spark, path)):
-        K.write_keyed_table(K.keyed_rows(flight_rows(spark, sf_dir), spark), path)
+        write(path)
     return path
 
 
+def keyed_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    """Populate the keyed flights table (K7-K9) for ``sf_dir`` and return its
+    path; an existing committed copy for the same input is reused (K8)."""
+    return _derived(spark, sf_dir, "lineitem", "flights_keyed", K.LAYOUT_VERSION,
+                    lambda p: K.write_keyed_table(K.keyed_rows(flight_rows(spark, sf_dir), spark), p),
+                    rebuild)
+
+
 def keyed_scan_filter(spark, sf_dir):
     """Partition-pruned scan, then the monthly aggregate."""
     t = K.scan_predicate(spark, keyed_table(spark, sf_dir), year=M.TARGET_YEAR, cancelled=0)
@@ -231,3 +246,41 @@ def csv_flights_roundtrip(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
                       "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",
                       "cancelled", "diverted")
+
+
+# ------------------------------------------ S1 / S2 over real text files
+def document_text_files(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    """Export the documents as plain text files (one line per text line)."""
+    return _derived(spark, sf_dir, "documents", "documents_text", "lines-v1",
+                    lambda p: document_lines(documents(spark, sf_dir)).select("value")
+                    .write.mode("overwrite").text(p), rebuild)
+
+
+def flight_csv_files(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
+    """Export the flights as 44-field quoted CSV files."""
+    def write(p: str) -> None:
+        fl = flight_rows(spark, sf_dir)
+        lines = flights_to_csv_lines(fl, extra={
+            3: F.col("l_linenumber").cast("string"), 8: F.col("l_orderkey").cast("string")})
+        lines.write.mode("overwrite").text(p)
+
+    return _derived(spark, sf_dir, "lineitem", "flights_csv", "csv-v1", write, rebuild)
+
+
+def word_count_text_files(spark, sf_dir):
+    """S1 + P1 + P2 + A1 over text files read line by line."""
+    lines = spread(read_lines(spark, document_text_files(spark, sf_dir)))
+    return W.word_count(W.letter_tokens(lines, text_col="value"))
+
+
+def csv_flights_files(spark, sf_dir):
+    """S2 over CSV files: positional fields, strict typing."""
+    fields = spread(read_flights_csv(spark, flight_csv_files(spark, sf_dir)))
+    typed = typed_flights(fields, mode="strict", keep=[
+        F.col("f08").cast("bigint").alias("l_orderkey"),
+        F.col("f03").cast("int").alias("l_linenumber")])
+    typed = typed.withColumn("flight_date", F.col("flight_date").cast("date"))
+    out = K.carrier_to_index(typed, spark)
+    return out.select("l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
+                      "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",
+                      "cancelled", "diverted")

@@ -162,4 +162,6 @@ ORACLE = {
     "keyed_scan_filter": KEYED_MONTHLY,
     "keyed_scan_range": KEYED_MONTHLY,
     "csv_flights_roundtrip": CSV_ROUNDTRIP,
+    "word_count_text_files": WORD_COUNT,
+    "csv_flights_files": CSV_ROUNDTRIP,
 }
