@@ -15,6 +15,19 @@ from wayfare.plans import QUERIES  # noqa: E402
 from wayfare.session import build_session  # noqa: E402
 
 
+def final_plan(df) -> str:
+    """The executed plan after adaptive execution (its "Final Plan" part)."""
+    qe = df._jdf.queryExecution()
+    plan = qe.executedPlan().toString()
+    if "Final Plan" not in plan:
+        # the noop write ran its own execution; re-run the action to finalise
+        df.collect()
+        plan = qe.executedPlan().toString()
+    if "== Final Plan ==" in plan:
+        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    return plan
+
+
 def summary(plan: str) -> dict[str, str]:
     scans = re.findall(r"FileScan (\w+)", plan)
     exch = re.findall(r"Exchange (hashpartitioning\(([^)]*)\)|SinglePartition|RoundRobinPartitioning\(\d+\)|rangepartitioning)", plan)
@@ -29,7 +42,7 @@ def summary(plan: str) -> dict[str, str]:
     pf = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
     pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
     return {
-        "scans": str(len(scans)),
+        "scans": str(len(scans)) + (f" (+{plan.count('ReusedExchange')} reused)" if "ReusedExchange" in plan else ""),
         "exchanges": ", ".join(ex) or "-",
         "joins": ", ".join(j[0] for j in joins) or "-",
         "partial agg": "yes" if "partial_" in plan else "-",
@@ -49,7 +62,8 @@ def main() -> None:
     print("|---|" + "---|" * len(cols))
     for name in names:
         df = QUERIES[name](spark, sf_dir)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        df.write.format("noop").mode("overwrite").save()  # AQE decides reuse at run time
+        plan = final_plan(df)
         s = summary(plan)
         print(f"| `{name}` | " + " | ".join(s[c].replace("|", "/") for c in cols) + " |", flush=True)
 

@@ -4,9 +4,8 @@ the first arrives (times are ``HHMM`` strings compared as text).
 
 Plan shape at scale
 -------------------
-* One pass tags each record as leg 1 and/or leg 2 (``tag_legs``). The
-  running-sum form keeps that single scan end to end; the join forms read
-  it once per side with that side's filter pushed into the scan.
+* One pass tags each record as leg 1 and/or leg 2 (``tag_legs``); every
+  totals form, join forms included, scans the input once.
 * Totals never enumerate flight pairs. Both legs are first aggregated into
   *time buckets* ``(date, transit, time) -> (n1, s1, n2, s2)`` with a
   map-side partial aggregate, so a hot (date, transit) group shrinks to at
@@ -89,17 +88,27 @@ def tag_legs(
 
 
 def time_buckets(tagged: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
-    """Pre-aggregate both legs: one row per (date, transit, t[, extra]) with
-    leg-1 arrivals (n1, s1) and leg-2 departures (n2, s2) at that time."""
+    """Pre-aggregate both legs: one row per (date, transit, t[, extra]) with a
+    struct ``legs`` = (n1, s1, n2, s2): leg-1 arrivals and their delay sum,
+    leg-2 departures and theirs, at that time.
+
+    The sums travel as one struct so that Catalyst keeps all four in the
+    aggregate whichever of them a consumer reads; the two sides of a bucket
+    join then have identical subtrees and share one scan and one shuffle
+    (``ReusedExchange``) instead of each re-reading the input."""
     keys = KEY + ["t"] + (extra_keys or [])
     zero = F.lit(0).cast(BIG)
 
     def part(leg: int, v: Column) -> Column:
         return F.coalesce(F.sum(F.when(F.col("leg") == leg, v)).cast(BIG), zero)
 
-    return tagged.groupBy(*keys).agg(
+    return tagged.groupBy(*keys).agg(F.struct(
         part(1, F.lit(1)).alias("n1"), part(1, F.col("d")).alias("s1"),
-        part(2, F.lit(1)).alias("n2"), part(2, F.col("d")).alias("s2"))
+        part(2, F.lit(1)).alias("n2"), part(2, F.col("d")).alias("s2")).alias("legs"))
+
+
+def _leg(field: str) -> Column:
+    return F.col(f"legs.{field}")
 
 
 def _finish(n_pairs: Column, delay: Column) -> list[Column]:
@@ -125,9 +134,9 @@ def running_pairs(buckets: DataFrame) -> DataFrame:
          .rowsBetween(Window.unboundedPreceding, -1))
     zero = F.lit(0).cast(BIG)
     ran = buckets.select(
-        *KEY, "t", "n2", "s2",
-        F.coalesce(F.sum("n1").over(w), zero).alias("c1"),
-        F.coalesce(F.sum("s1").over(w), zero).alias("a1"),
+        *KEY, "t", _leg("n2").alias("n2"), _leg("s2").alias("s2"),
+        F.coalesce(F.sum(_leg("n1")).over(w), zero).alias("c1"),
+        F.coalesce(F.sum(_leg("s1")).over(w), zero).alias("a1"),
     ).where(F.col("n2") > 0)
     return ran.select(
         *KEY, "t",
@@ -143,17 +152,17 @@ def totals_running(buckets: DataFrame) -> DataFrame:
 
 
 def _sides(buckets: DataFrame, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The two join sides, each hash-partitioned on (date, transit) after its
-    bucket aggregate. Column pruning narrows each side to its own leg's sums,
-    so each side is its own pruned scan (like loading the input twice); the
-    single-scan form of the same totals is ``totals_running``."""
+    """The two join sides, each hash-partitioned on (date, transit). Both
+    read the same bucket aggregate (see ``time_buckets``), so the input is
+    scanned and shuffled once; only the small bucket rows are filtered and
+    re-partitioned per side."""
     shared = buckets.repartition(*KEY)
     extra = extra or []
 
     def side(tag: str) -> DataFrame:
-        return shared.where(F.col(f"n{tag}") > 0).select(
-            *KEY, F.col("t").alias(f"t{tag}"), f"n{tag}", f"s{tag}",
-            *[F.col(c).alias(f"{c}{tag}") for c in extra])
+        return shared.where(_leg(f"n{tag}") > 0).select(
+            *KEY, F.col("t").alias(f"t{tag}"), _leg(f"n{tag}").alias(f"n{tag}"),
+            _leg(f"s{tag}").alias(f"s{tag}"), *[F.col(c).alias(f"{c}{tag}") for c in extra])
 
     return side("1"), side("2")
 
@@ -178,19 +187,20 @@ def band_prune(buckets: DataFrame) -> DataFrame:
     remaining departure. Result-neutral; shrinks the join input."""
     w = Window.partitionBy(*KEY)
     zero = F.lit(0).cast(BIG)
-    min_arr = F.min(F.when(F.col("n1") > 0, F.col("t"))).over(w)
+    min_arr = F.min(F.when(_leg("n1") > 0, F.col("t"))).over(w)
     step1 = buckets.withColumn("min_arr", min_arr)
-    keep2 = (F.col("n2") > 0) & (F.col("t") > F.col("min_arr"))
+    keep2 = (_leg("n2") > 0) & (F.col("t") > F.col("min_arr"))
     step2 = step1.withColumn("max_dep", F.max(F.when(keep2, F.col("t"))).over(w))
-    keep1 = (F.col("n1") > 0) & (F.col("t") < F.col("max_dep"))
+    keep1 = (_leg("n1") > 0) & (F.col("t") < F.col("max_dep"))
     pruned = step2.select(
-        *[c for c in buckets.columns if c not in ("n1", "s1", "n2", "s2")],
-        F.when(keep1, F.col("n1")).otherwise(zero).alias("n1"),
-        F.when(keep1, F.col("s1")).otherwise(zero).alias("s1"),
-        F.when(keep2, F.col("n2")).otherwise(zero).alias("n2"),
-        F.when(keep2, F.col("s2")).otherwise(zero).alias("s2"),
+        *[c for c in buckets.columns if c != "legs"],
+        F.struct(
+            F.when(keep1, _leg("n1")).otherwise(zero).alias("n1"),
+            F.when(keep1, _leg("s1")).otherwise(zero).alias("s1"),
+            F.when(keep2, _leg("n2")).otherwise(zero).alias("n2"),
+            F.when(keep2, _leg("s2")).otherwise(zero).alias("s2")).alias("legs"),
     )
-    return pruned.where((F.col("n1") > 0) | (F.col("n2") > 0))
+    return pruned.where((_leg("n1") > 0) | (_leg("n2") > 0))
 
 
 def bag_union(*relations: DataFrame) -> DataFrame:
