@@ -80,3 +80,13 @@ def test_document_lines_split(spark):
 
     lines = [r.value for r in document_lines(_docs(spark, ["a\nb\r\nc\rd"])).collect()]
     assert lines == ["a", "b", "c", "d"]
+
+
+def test_spread_only_for_small_scans(spark, tmp_path):
+    from wayfare.sources.tables import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == cores
+    many = spark.range(100).repartition(cores * 2)
+    assert spread(many).rdd.getNumPartitions() == cores * 2

@@ -7,6 +7,8 @@ so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,8 +33,10 @@ def start_word_count(spark: SparkSession, input_dir: str, name: str = "word_coun
                      **sink_options: str) -> StreamingQuery:
     """Start the stream; ``complete`` re-emits all counts, ``update`` only
     the changed ones. With ``available_now`` it processes what is there and
-    stops."""
-    ckpt = checkpoint or shared_dir(spark, "streams", name, unique=True)
+    stops. The default checkpoint is fixed per (name, input_dir), so starting
+    the same query again resumes from its committed offsets and state."""
+    tag = hashlib.sha1(input_dir.encode()).hexdigest()[:12]
+    ckpt = checkpoint or shared_dir(spark, "streams", f"{name}_{tag}")
     writer = (word_count_stream(spark, input_dir).writeStream.format(sink)
               .outputMode(output_mode).option("checkpointLocation", ckpt))
     if sink == "memory":
