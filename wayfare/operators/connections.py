@@ -111,7 +111,7 @@ def _leg(field: str) -> Column:
     return F.col(f"legs.{field}")
 
 
-def _finish(n_pairs: Column, delay: Column) -> list[Column]:
+def finish_totals(n_pairs: Column, delay: Column) -> list[Column]:
     """A5: ratio of sums (never an average of averages); NULL when empty."""
     n = F.coalesce(n_pairs, F.lit(0).cast(BIG))
     s = F.coalesce(delay, F.lit(0).cast(BIG))
@@ -148,7 +148,7 @@ def running_pairs(buckets: DataFrame) -> DataFrame:
 def totals_running(buckets: DataFrame) -> DataFrame:
     """W1 + A4 + A5: connection count, delay sum and mean, no pairs built."""
     p = running_pairs(buckets)
-    return p.agg(*_finish(F.sum("pairs"), F.sum("delay")))
+    return p.agg(*finish_totals(F.sum("pairs"), F.sum("delay")))
 
 
 def _sides(buckets: DataFrame, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -174,11 +174,17 @@ def bucket_join(buckets: DataFrame, extra: list[str] | None = None, strict: bool
     return a.join(b, on=KEY, how="inner").where(theta)
 
 
+def joined_totals(joined: DataFrame) -> DataFrame:
+    """A4 + A5 over joined bucket pairs: each stands for n1*n2 flight pairs
+    with total delay s1*n2 + n1*s2."""
+    return joined.agg(*finish_totals(
+        F.sum(F.col("n1") * F.col("n2")),
+        F.sum(F.col("s1") * F.col("n2") + F.col("n1") * F.col("s2"))))
+
+
 def totals_join(buckets: DataFrame) -> DataFrame:
     """J1 + A4 + A5 by joining time buckets; equals ``totals_running``."""
-    j = bucket_join(buckets)
-    return j.agg(*_finish(F.sum(F.col("n1") * F.col("n2")),
-                          F.sum(F.col("s1") * F.col("n2") + F.col("n1") * F.col("s2"))))
+    return joined_totals(bucket_join(buckets))
 
 
 def band_prune(buckets: DataFrame) -> DataFrame:

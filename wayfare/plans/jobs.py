@@ -11,6 +11,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.functions.predicates import in_year_month_window
 from wayfare.operators import connections as C
 from wayfare.operators import keyed as K
 from wayfare.operators import layout as L
@@ -100,15 +101,10 @@ def _join_first(spark, sf_dir, both: bool):
     b = _buckets(spark, sf_dir, window=None, rule="accept", loose=True,
                  extra_keys=["year", "month"])
     joined = C.bucket_join(b, extra=["year", "month"])
-    win = C.WINDOW
-    from wayfare.functions.predicates import in_year_month_window as ym
-
-    cond = ym(*win, year="year1", month="month1")
+    cond = in_year_month_window(*C.WINDOW, year="year1", month="month1")
     if both:
-        cond = cond & ym(*win, year="year2", month="month2")
-    j = joined.where(cond)
-    return j.agg(*C._finish(F.sum(F.col("n1") * F.col("n2")),
-                            F.sum(F.col("s1") * F.col("n2") + F.col("n1") * F.col("s2"))))
+        cond = cond & in_year_month_window(*C.WINDOW, year="year2", month="month2")
+    return C.joined_totals(joined.where(cond))
 
 
 def two_leg_join_first_left(spark, sf_dir):
