@@ -189,3 +189,35 @@ def test_join_forms_scan_once(spark, name):
         assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pairs_join_splits_hot_group(spark):
+    """A (date, transit) group holding most rows is split by AQE's skew join."""
+    from pyspark.sql import Row
+
+    hot = [flight(i, "ORD", "LAX", arr=f"{i % 10:02d}00") for i in range(3000)]
+    hot += [flight(10000 + i, "LAX", "JFK", dep="2300") for i in range(300)]
+    cold = [flight(20000 + i, "ORD", "ATL", arr="0100", date=(2007, 7, 1 + i % 20)) for i in range(200)]
+    cold += [flight(30000 + i, "ATL", "JFK", dep="0200", date=(2007, 7, 1 + i % 20)) for i in range(200)]
+    df = flights_df(spark, hot + cold).repartition(8)  # several map outputs to split
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        p = C.pairs(C.tag_legs(df))
+        n = p.count()
+        assert n == 3000 * 300 + sum(len([j for j in range(200) if j % 20 == d]) ** 2 for d in range(20))
+        qe = p._jdf.queryExecution()
+        qe.toRdd().count()  # run this plan so AQE finalises it
+        final = qe.executedPlan().toString()
+        assert "isFinalPlan=true" in final and "skew=true" in final
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

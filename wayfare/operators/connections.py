@@ -17,7 +17,8 @@ Plan shape at scale
 * Counts and delay sums are BIGINT; under ANSI mode an overflow raises an
   error instead of wrapping (the reported totals are BIGINT as well).
 * ``pairs`` materialises flight pairs and is used only where the pairs are
-  the requested output; AQE's skew-join split handles hot partitions there.
+  the requested output. Its join shuffles are Spark's own, so AQE's
+  skew-join split (which ignores user repartitions) handles hot partitions.
 """
 
 from __future__ import annotations
@@ -152,15 +153,14 @@ def totals_running(buckets: DataFrame) -> DataFrame:
 
 
 def _sides(buckets: DataFrame, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The two join sides, each hash-partitioned on (date, transit). Both
-    read the same bucket aggregate (see ``time_buckets``), so the input is
-    scanned and shuffled once; only the small bucket rows are filtered and
-    re-partitioned per side."""
-    shared = buckets.repartition(*KEY)
+    """The two join sides. Both read the same bucket aggregate (see
+    ``time_buckets``), so the input is scanned and shuffled once; the join
+    then hash-partitions the small side rows on (date, transit) itself,
+    which keeps AQE's skew-join split available for that exchange."""
     extra = extra or []
 
     def side(tag: str) -> DataFrame:
-        return shared.where(_leg(f"n{tag}") > 0).select(
+        return buckets.where(_leg(f"n{tag}") > 0).select(
             *KEY, F.col("t").alias(f"t{tag}"), _leg(f"n{tag}").alias(f"n{tag}"),
             _leg(f"s{tag}").alias(f"s{tag}"), *[F.col(c).alias(f"{c}{tag}") for c in extra])
 
@@ -245,14 +245,14 @@ def union_average(joined: DataFrame) -> DataFrame:
 def pairs(tagged: DataFrame, carry: list[str] | None = None, strict: bool = True) -> DataFrame:
     """J1 on flight rows: every qualifying (leg 1, leg 2) pair.
 
-    The output *is* the pair set, so its size is inherent; both sides come
-    from one shuffle of the tagged rows, and AQE splits skewed partitions.
+    The output *is* the pair set, so its size is inherent. The join's own
+    exchanges (no user repartition) keep AQE's skew-join split in play: a hot
+    (date, transit) partition is cut into several tasks.
     """
     carry = carry or []
-    shared = tagged.repartition(*KEY)
 
     def side(leg: int, p: str) -> DataFrame:
-        return shared.where(F.col("leg") == leg).select(
+        return tagged.where(F.col("leg") == leg).select(
             *KEY, F.col("t").alias(f"{p}t"), F.col("d").alias(f"{p}d"),
             *[F.col(c).alias(f"{p}{c}") for c in carry])
 
