@@ -1,5 +1,7 @@
 """Keyed table: key codec, lookup, upsert, partitioned write, scans."""
 
+import glob
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -78,9 +80,16 @@ def test_range_layout_and_hot_key_copies(spark, tmp_path):
     n_one = one.count()
     copies = one.select("*", F.explode(F.array_repeat(F.lit(0), 3000)).alias("_r")).drop("_r")
     out = str(tmp_path / "hot")
-    K.write_keyed_table(copies.unionByName(rows), out)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        K.write_keyed_table(copies.unionByName(rows), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     assert n_one >= 1
     assert spark.read.parquet(out).count() == 6000 + 3000 * n_one
+    r = one.collect()[0]
+    hot_files = glob.glob(f"{out}/year={r.year}/cancelled={r.cancelled}/part-*")
+    assert len(hot_files) > 1  # the hot key was split across writer tasks
 
 
 def test_decode_key(spark):
