@@ -65,11 +65,10 @@ def _partition_tally(max_keys: int):
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            t = pa.Table.from_batches([batch]).group_by("word").aggregate([("word", "count")])
-            parts.append(t.rename_columns(["word", "n"]) if t.column_names[0] == "word"
-                         else t.select(["word", "word_count"]).rename_columns(["word", "n"]))
+            counted = pa.Table.from_batches([batch]).group_by("word").aggregate([("word", "count")])
+            parts.append(pa.table({"word": counted["word"], "n": counted["word_count"]}))
             pending += parts[-1].num_rows
-            if pending > max_keys:
+            if pending > max_keys:  # compact; flush when still too many words
                 merged = _merge(parts)
                 parts, pending = [merged], merged.num_rows
                 if merged.num_rows > max_keys:
