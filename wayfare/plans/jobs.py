@@ -269,10 +269,15 @@ def word_count_text_files(spark, sf_dir):
     return W.word_count(W.letter_tokens(lines, text_col="value"))
 
 
-def csv_flights_files(spark, sf_dir):
-    """S2 over CSV files: positional fields, strict typing."""
+def _csv_flights(spark: SparkSession, sf_dir: str, keep: list | None = None) -> DataFrame:
+    """Flights parsed from the CSV files with the strict rules."""
     fields = spread(read_flights_csv(spark, flight_csv_files(spark, sf_dir)))
-    typed = typed_flights(fields, mode="strict", keep=[
+    return typed_flights(fields, mode="strict", keep=keep)
+
+
+def csv_flights_files(spark, sf_dir):
+    """S2 over CSV files: positional fields, strict typing."""
+    typed = _csv_flights(spark, sf_dir, keep=[
         F.col("f08").cast("bigint").alias("l_orderkey"),
         F.col("f03").cast("int").alias("l_linenumber")])
     typed = typed.withColumn("flight_date", F.col("flight_date").cast("date"))
@@ -280,3 +285,14 @@ def csv_flights_files(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
                       "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",
                       "cancelled", "diverted")
+
+
+def two_leg_running_csv(spark, sf_dir):
+    """Q2 end to end from flight CSV files (dates compared as text)."""
+    return C.totals_running(C.time_buckets(C.tag_legs(_csv_flights(spark, sf_dir))))
+
+
+def monthly_delay_text_csv(spark, sf_dir):
+    """Q3 flat-file job end to end: CSV files -> monthly means -> text lines."""
+    long = M.monthly_delay(M.monthly_input(_csv_flights(spark, sf_dir)))
+    return M.monthly_text(M.monthly_vector(long))

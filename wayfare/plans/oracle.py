@@ -164,4 +164,6 @@ ORACLE = {
     "csv_flights_roundtrip": CSV_ROUNDTRIP,
     "word_count_text_files": WORD_COUNT,
     "csv_flights_files": CSV_ROUNDTRIP,
+    "two_leg_running_csv": TWO_LEG_TOTAL,
+    "monthly_delay_text_csv": MONTHLY_TEXT,
 }
