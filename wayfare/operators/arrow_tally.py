@@ -1,0 +1,48 @@
+"""Arrow-batched per-partition word tally (A3 / X1), shipped with the task.
+
+The functions here run inside Python workers. The module is registered for
+pickling by value, so executors need only pyarrow, not this package on
+their path.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def merge_counts(parts: list[pa.Table]) -> pa.Table:
+    t = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+    return pa.table({"word": t["word"], "n": pc.cast(t["n_sum"], pa.int64())})
+
+
+def partition_tally(max_keys: int):
+    """Task-lifetime tally: setup -> batches -> cleanup. Partial tallies are
+    compacted as they grow and flushed when more than ``max_keys`` words
+    remain, so task memory stays bounded; the global sum merges flushes."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.Table] = []
+        pending = 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            counted = pa.Table.from_batches([batch]).group_by("word").aggregate([("word", "count")])
+            parts.append(pa.table({"word": counted["word"], "n": counted["word_count"]}))
+            pending += parts[-1].num_rows
+            if pending > max_keys:  # compact; flush when still too many words
+                merged = merge_counts(parts)
+                parts, pending = [merged], merged.num_rows
+                if merged.num_rows > max_keys:
+                    yield from merged.to_batches()
+                    parts, pending = [], 0
+        if parts:
+            yield from merge_counts(parts).to_batches()
+
+    return tally

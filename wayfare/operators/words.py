@@ -10,15 +10,12 @@ tokens), routing by letter happens only after the counts are final.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.predicates import DEFAULT_LETTERS, starts_with_letter
 from wayfare.functions.scalar import first_char
+from wayfare.operators import arrow_tally
 
 # Fixed value: the tokeniser's delimiters are exactly space, tab, LF, CR and
 # FF (not ``\s``, which would also split on vertical tab).
@@ -54,40 +51,11 @@ def roll_up_term_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("word").agg(F.sum("tf").alias("n"))
 
 
-# A per-partition tally with task-lifetime state (setup -> rows ->
-# cleanup), run as Arrow batches. Partial tallies are compacted as they
-# grow and flushed when they exceed ``max_keys`` so task memory stays
-# bounded; flushed partials are merged by the global sum that follows.
-def _partition_tally(max_keys: int):
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[pa.Table] = []
-        pending = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            counted = pa.Table.from_batches([batch]).group_by("word").aggregate([("word", "count")])
-            parts.append(pa.table({"word": counted["word"], "n": counted["word_count"]}))
-            pending += parts[-1].num_rows
-            if pending > max_keys:  # compact; flush when still too many words
-                merged = _merge(parts)
-                parts, pending = [merged], merged.num_rows
-                if merged.num_rows > max_keys:
-                    yield from merged.to_batches()
-                    parts, pending = [], 0
-        if parts:
-            yield from _merge(parts).to_batches()
-
-    return tally
-
-
-def _merge(parts: list[pa.Table]) -> pa.Table:
-    t = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
-    return pa.table({"word": t["word"], "n": pc.cast(t["n_sum"], pa.int64())})
-
-
+# A per-partition tally with task-lifetime state, run as Arrow
+# batches (see ``arrow_tally``; shipped by value to the Python workers).
 def partition_tally(words: DataFrame, max_keys: int = 1 << 20) -> DataFrame:
     """A3: (word, n) partial counts, at most one row per word per flush."""
-    return words.select("word").mapInArrow(_partition_tally(max_keys), "word string, n long")
+    return words.select("word").mapInArrow(arrow_tally.partition_tally(max_keys), "word string, n long")
 
 
 def word_count_by_partition_tally(words: DataFrame) -> DataFrame:
