@@ -71,12 +71,14 @@ def tag_legs(
     if window is not None:
         cond = cond & in_year_month_window(*window)
     pre = flights.where(cond & (on1 | on2))
-    if loose:
-        legs = F.explode(F.filter(F.array(F.when(on1, 1), F.when(on2, 2)), lambda x: x.isNotNull()))
+    if loose:  # one output row per leg the record plays; NULL slots dropped
+        legs = F.explode(F.array(F.when(on1, F.lit(1)), F.when(on2, F.lit(2))))
     else:
         legs = F.when(on1, F.lit(1)).otherwise(F.lit(2))
     tagged = pre.select(*(keep or []), "flight_date", "origin", "dest", "dep_time", "arr_time",
                         "arr_delay_min", legs.alias("leg"))
+    if loose:
+        tagged = tagged.where(F.col("leg").isNotNull())
     is1 = F.col("leg") == 1
     return tagged.select(
         *(keep or []),
