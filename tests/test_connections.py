@@ -221,3 +221,23 @@ def test_pairs_join_splits_hot_group(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_group_totals_from_buckets(spark):
+    """One (date, transit) group with thousands of flights: the buckets hold
+    at most one row per distinct time, and totals match a direct count."""
+    times = [f"{h:02d}{m:02d}" for h in range(0, 24) for m in (0, 30)]  # 48 distinct times
+    leg1 = [flight(i, "ORD", "LAX", arr=times[i % 48], delay=i % 7) for i in range(3000)]
+    leg2 = [flight(10**5 + i, "LAX", "JFK", dep=times[(5 * i) % 48], delay=i % 11) for i in range(3000)]
+    df = flights_df(spark, leg1 + leg2)
+    b = C.time_buckets(C.tag_legs(df))
+    assert b.count() <= 48
+    n = s = 0
+    for a in leg1:
+        for c in leg2:
+            if a[10] < c[9]:
+                n += 1
+                s += int(a[11]) + int(c[11])
+    for totals in (C.totals_running(b), C.totals_join(b)):
+        r = totals.collect()[0]
+        assert (r.n_pairs, r.sum_delay) == (n, s)
