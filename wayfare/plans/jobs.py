@@ -219,6 +219,16 @@ def keyed_scan_range(spark, sf_dir):
 
 
 # --------------------------------------------------- S2: CSV round trip
+FLIGHT_OUTPUT = ["l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
+                 "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",
+                 "cancelled", "diverted"]
+
+
+def _as_flights(typed: DataFrame, spark: SparkSession) -> DataFrame:
+    """Parsed flights in the derived relation's shape (carrier index by J6)."""
+    return K.carrier_to_index(typed, spark).select(*FLIGHT_OUTPUT)
+
+
 def csv_flights_roundtrip(spark, sf_dir):
     """Render flights as 44-field quoted CSV lines (diverted left blank when
     0), parse them back positionally and type them with the ingest rule."""
@@ -238,10 +248,7 @@ def csv_flights_roundtrip(spark, sf_dir):
         F.col("f08").cast("bigint").alias("l_orderkey"),
         F.col("f03").cast("int").alias("l_linenumber")])
     typed = typed.withColumn("flight_date", F.col("flight_date").cast("date"))
-    out = K.carrier_to_index(typed, spark)
-    return out.select("l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
-                      "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",
-                      "cancelled", "diverted")
+    return _as_flights(typed, spark)
 
 
 # ------------------------------------------ S1 / S2 over real text files
@@ -281,10 +288,7 @@ def csv_flights_files(spark, sf_dir):
         F.col("f08").cast("bigint").alias("l_orderkey"),
         F.col("f03").cast("int").alias("l_linenumber")])
     typed = typed.withColumn("flight_date", F.col("flight_date").cast("date"))
-    out = K.carrier_to_index(typed, spark)
-    return out.select("l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
-                      "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",
-                      "cancelled", "diverted")
+    return _as_flights(typed, spark)
 
 
 def two_leg_running_csv(spark, sf_dir):
