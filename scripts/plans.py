@@ -6,66 +6,27 @@ usage: python scripts/plans.py [sf_dir] [query ...]   (prints a Markdown table)
 from __future__ import annotations
 
 import os
-import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from wayfare.plans import QUERIES  # noqa: E402
+from wayfare.plans.inspect import final_plan, plan_summary  # noqa: E402
 from wayfare.session import build_session  # noqa: E402
 
-
-def final_plan(df) -> str:
-    """The executed plan after adaptive execution (its "Final Plan" part)."""
-    qe = df._jdf.queryExecution()
-    plan = qe.executedPlan().toString()
-    if "Final Plan" not in plan:
-        # the noop write ran its own execution; re-run the action to finalise
-        df.collect()
-        plan = qe.executedPlan().toString()
-    if "== Final Plan ==" in plan:
-        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
-    return plan
-
-
-def summary(plan: str) -> dict[str, str]:
-    scans = re.findall(r"FileScan (\w+)", plan)
-    exch = re.findall(r"Exchange (hashpartitioning\(([^)]*)\)|SinglePartition|RoundRobinPartitioning\(\d+\)|rangepartitioning)", plan)
-    ex = []
-    for full, keys in exch:
-        if keys:
-            cols = [re.sub(r"#\d+L?", "", k.strip()) for k in keys.split(",")[:-1]]
-            ex.append("hash(" + ",".join(cols) + ")")
-        else:
-            ex.append(full.split("(")[0])
-    joins = re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)[^\n]*?(Inner|LeftOuter|LeftSemi|LeftAnti)?", plan)
-    pf = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", plan)
-    return {
-        "scans": str(len(scans)) + (f" (+{plan.count('ReusedExchange')} reused)" if "ReusedExchange" in plan else ""),
-        "exchanges": ", ".join(ex) or "-",
-        "joins": ", ".join(j[0] for j in joins) or "-",
-        "partial agg": "yes" if "partial_" in plan else "-",
-        "window": "yes" if "Window" in plan else "-",
-        "python": ", ".join(sorted(set(re.findall(r"(MapInArrow|MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)", plan)))) or "-",
-        "partition filters": "; ".join(re.sub(r"#\d+", "", p) for p in pf if p) or "-",
-        "pushed": "; ".join(sorted(set(re.sub(r"#\d+", "", p) for p in pushed if p)))[:90] or "-",
-    }
+COLUMNS = ["scans", "exchanges", "joins", "partial agg", "window", "python",
+           "partition filters", "pushed"]
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session(extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    cols = ["scans", "exchanges", "joins", "partial agg", "window", "python", "partition filters", "pushed"]
-    print("| query | " + " | ".join(cols) + " |")
-    print("|---|" + "---|" * len(cols))
+    print("| query | " + " | ".join(COLUMNS) + " |")
+    print("|---|" + "---|" * len(COLUMNS))
     for name in names:
-        df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()  # AQE decides reuse at run time
-        plan = final_plan(df)
-        s = summary(plan)
-        print(f"| `{name}` | " + " | ".join(s[c].replace("|", "/") for c in cols) + " |", flush=True)
+        s = plan_summary(final_plan(QUERIES[name](spark, sf_dir)))
+        print(f"| `{name}` | " + " | ".join(s[c].replace("|", "/") for c in COLUMNS) + " |", flush=True)
 
 
 if __name__ == "__main__":
