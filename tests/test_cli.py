@@ -40,3 +40,16 @@ def test_populate_and_compute_jobs(spark, tmp_path):
     for by_range in (False, True):
         target = cli.compute_job(spark, table, str(tmp_path / f"out{by_range}"), by_range=by_range)
         assert set(_read(target + "/part-*", "rb").decode().split("\r\n")[:-1]) == exp
+
+
+def test_monthly_named_parts(spark, tmp_path):
+    import os
+
+    src = jobs.flight_csv_files(spark, SF001)
+    out = str(tmp_path / "named")
+    cli.monthly_job(spark, src, out, named_parts=True)
+    files = sorted(f for f in os.listdir(out) if not f.startswith("."))
+    assert files and all(f.startswith("average_delay_") for f in files)
+    exp = {r.line for r in jobs.monthly_delay_text(spark, SF001).collect()}
+    got = _read(out + "/average_delay_*", "rb").decode().split("\r\n")
+    assert set(got[:-1]) == exp

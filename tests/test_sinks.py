@@ -53,3 +53,24 @@ def test_average_delay_report(spark, tmp_path):
     lines = data.split(b"\r\n")
     assert lines[-1] == b"" and len(lines) == 21
     assert all(line.count(b"(") == 12 for line in lines[:-1])
+
+
+def test_named_parts(spark, tmp_path):
+    import os
+
+    from tests.conftest import SF001
+    from wayfare.plans import jobs
+    from wayfare.sinks import write_named_parts
+
+    out = str(tmp_path / "report")
+    text = jobs.monthly_delay_text(spark, SF001).coalesce(1)
+    names = write_named_parts(text, out, "average_delay_")
+    assert [os.path.basename(n) for n in names] == ["average_delay_00000"]
+    visible = lambda: sorted(f for f in os.listdir(out) if not f.startswith("."))
+    assert visible() == ["average_delay_00000"]  # (local disks add .crc sidecars)
+    lines = open(os.path.join(out, "average_delay_00000"), "rb").read().split(b"\r\n")
+    assert len(lines) == 21 and lines[-1] == b""
+    with pytest.raises(FileExistsError):
+        write_named_parts(text, out, "average_delay_")
+    write_named_parts(text, out, "average_delay_", overwrite=True)
+    assert visible() == ["average_delay_00000"]

@@ -6,6 +6,9 @@
     python -m wayfare populate  <csv path>  <table dir>
     python -m wayfare compute   <table dir> <out dir>   [--year 2008] [--range]
 
+``monthly`` and ``compute`` accept ``--named-parts`` to write
+``average_delay_NNNNN`` files directly into the output directory.
+
 Each job is one Spark lineage; an existing output directory is an error
 unless ``--overwrite`` is given (``populate`` always replaces the table).
 """
@@ -22,7 +25,12 @@ from wayfare.operators import connections as C
 from wayfare.operators import keyed as K
 from wayfare.operators import monthly as M
 from wayfare.operators import words as W
-from wayfare.sinks import write_average_delay, write_key_value_text, write_single_row
+from wayfare.sinks import (
+    write_average_delay,
+    write_key_value_text,
+    write_named_parts,
+    write_single_row,
+)
 from wayfare.sources.csv import read_flights_csv, typed_flights
 from wayfare.sources.text import read_lines
 
@@ -49,11 +57,19 @@ def two_leg_job(spark: SparkSession, src: str, out: str, origin: str = C.ORIGIN,
     return totals
 
 
+def _write_report(text: DataFrame, out: str, mode: str, named_parts: bool) -> str:
+    if named_parts:  # average_delay_NNNNN files directly in ``out``
+        write_named_parts(text, out, "average_delay_", overwrite=mode == "overwrite")
+        return out
+    return write_average_delay(text, out, mode=mode)
+
+
 def monthly_job(spark: SparkSession, src: str, out: str, year: int = M.TARGET_YEAR,
-                mode: str = "errorifexists") -> str:
-    """Q3 flat-file form: ``<out>/average_delay`` CRLF lines per carrier."""
+                mode: str = "errorifexists", named_parts: bool = False) -> str:
+    """Q3 flat-file form: CRLF lines per carrier in ``<out>/average_delay``
+    (or ``average_delay_NNNNN`` files in ``out`` with ``named_parts``)."""
     long = M.monthly_delay(M.monthly_input(_strict_flights(spark, src), year=year))
-    return write_average_delay(M.monthly_text(M.monthly_vector(long)), out, mode=mode)
+    return _write_report(M.monthly_text(M.monthly_vector(long)), out, mode, named_parts)
 
 
 def populate_job(spark: SparkSession, src: str, table: str) -> None:
@@ -65,7 +81,8 @@ def populate_job(spark: SparkSession, src: str, table: str) -> None:
 
 
 def compute_job(spark: SparkSession, table: str, out: str, year: int = M.TARGET_YEAR,
-                by_range: bool = False, mode: str = "errorifexists") -> str:
+                by_range: bool = False, mode: str = "errorifexists",
+                named_parts: bool = False) -> str:
     """Q3 over the keyed table: predicate scan (default) or key-range scan."""
     if by_range:
         t = K.scan_key_range(spark, table, {"year": year, "cancelled": 0, "month": 1},
@@ -73,7 +90,8 @@ def compute_job(spark: SparkSession, table: str, out: str, year: int = M.TARGET_
     else:
         t = K.scan_predicate(spark, table, year, 0).where(F.col("month").between(1, 12))
     rows = t.select("carrier", "month", F.col("delay").cast("double").alias("delay"))
-    return write_average_delay(M.monthly_text(M.monthly_vector(M.monthly_delay(rows))), out, mode=mode)
+    return _write_report(M.monthly_text(M.monthly_vector(M.monthly_delay(rows))), out, mode,
+                         named_parts)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -88,6 +106,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--year", type=int, default=M.TARGET_YEAR)
     ap.add_argument("--range", action="store_true", help="compute: scan by key range")
     ap.add_argument("--overwrite", action="store_true")
+    ap.add_argument("--named-parts", action="store_true",
+                    help="monthly/compute: write average_delay_NNNNN files into the output dir")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"wayfare-{args.job}").getOrCreate()
     mode = "overwrite" if args.overwrite else "errorifexists"
@@ -96,8 +116,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "twoleg":
         two_leg_job(spark, args.input, args.output, args.origin, args.dest, mode)
     elif args.job == "monthly":
-        monthly_job(spark, args.input, args.output, args.year, mode)
+        monthly_job(spark, args.input, args.output, args.year, mode, args.named_parts)
     elif args.job == "populate":
         populate_job(spark, args.input, args.output)
     else:
-        compute_job(spark, args.input, args.output, args.year, args.range, mode)
+        compute_job(spark, args.input, args.output, args.year, args.range, mode, args.named_parts)

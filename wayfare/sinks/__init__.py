@@ -5,7 +5,8 @@ from wayfare.sinks.files import (
     write_single_row,
     write_lines,
     write_average_delay,
+    write_named_parts,
     show,
 )
 
-__all__ = ["write_key_value_text", "write_single_row", "write_lines", "write_average_delay", "show"]
+__all__ = ["write_key_value_text", "write_single_row", "write_lines", "write_average_delay", "write_named_parts", "show"]

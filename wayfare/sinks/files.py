@@ -40,3 +40,34 @@ def write_average_delay(text: DataFrame, out_dir: str, mode: str = "overwrite")
     target = out_dir.rstrip("/") + "/average_delay"
     write_lines(text, target, column="line", line_sep="\r\n", mode=mode)
     return target
+
+
+def write_named_parts(df: DataFrame, out_dir: str, prefix: str, column: str = "line",
+                      line_sep: str = "\r\n", overwrite: bool = False) -> list[str]:
+    """K4: text parts named ``<prefix>NNNNN`` directly in ``out_dir``.
+
+    Spark names its own part files, so the lines are first committed to a
+    staging directory inside ``out_dir`` and then renamed (metadata-only on
+    HDFS and local disks; one rename per part file, done by the driver)."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = root.getFileSystem(conf)
+    if fs.exists(root):
+        clash = [st for st in fs.listStatus(root) if st.getPath().getName().startswith(prefix)]
+        if clash and not overwrite:
+            raise FileExistsError(f"{out_dir} already holds {prefix}* files")
+        for st in clash:
+            fs.delete(st.getPath(), False)
+    staging = out_dir.rstrip("/") + "/_staging_" + prefix.rstrip("_")
+    write_lines(df, staging, column=column, line_sep=line_sep, mode="overwrite")
+    parts = sorted(str(st.getPath()) for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staging))
+                   if st.getPath().getName().startswith("part-"))
+    names = []
+    for i, part in enumerate(parts):
+        target = jvm.org.apache.hadoop.fs.Path(root, f"{prefix}{i:05d}")
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(part), target):
+            raise OSError(f"could not rename {part} to {target}")
+        names.append(str(target))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return names
