@@ -25,7 +25,7 @@ def test_word_count_job(spark, tmp_path):
 def test_two_leg_and_monthly_jobs(spark, tmp_path):
     src = jobs.flight_csv_files(spark, SF001)
     cli.two_leg_job(spark, src, str(tmp_path / "twoleg"))
-    assert _read(str(tmp_path / "twoleg") + "/part-*") == "221\t3722\t16.84162895927602\n"
+    assert _read(str(tmp_path / "twoleg") + "/part-*") == "221\t3722.0\t16.84162895927602\n"
     target = cli.monthly_job(spark, src, str(tmp_path / "monthly"))
     text = _read(target + "/part-*", "rb")
     exp = {r.line for r in jobs.monthly_delay_text(spark, SF001).collect()}

@@ -74,3 +74,11 @@ def test_named_parts(spark, tmp_path):
         write_named_parts(text, out, "average_delay_")
     write_named_parts(text, out, "average_delay_", overwrite=True)
     assert visible() == ["average_delay_00000"]
+
+
+def test_single_row_double_format(spark, tmp_path):
+    """A double sum renders like the original result line (2.3651106E7)."""
+    out = str(tmp_path / "out")
+    df = spark.createDataFrame([(466756, 23651106.0, 50.67124150519758)], "n long, s double, a double")
+    write_single_row(df, out)
+    assert open(glob.glob(out + "/part-*")[0]).read() == "466756\t2.3651106E7\t50.67124150519758\n"
