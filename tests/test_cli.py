@@ -19,7 +19,12 @@ def test_word_count_job(spark, tmp_path):
     got = {w: int(n) for w, n in (l.split("\t") for l in lines)}
     exp = {r.word: r.n for r in jobs.word_count(spark, SF001).collect()}
     assert got == exp
-    assert len(glob.glob(out + "/part-*")) <= 3
+    assert len(glob.glob(out + "/part-*")) == 1  # one byte-ordered file by default
+    words = [l.split("\t")[0] for l in lines]
+    assert words == sorted(words, key=lambda w: w.encode())
+    out3 = str(tmp_path / "wc3")
+    cli.word_count_job(spark, src, out3, reducers=3)
+    assert 1 < len(glob.glob(out3 + "/part-*")) <= 3
 
 
 def test_two_leg_and_monthly_jobs(spark, tmp_path):
