@@ -43,8 +43,10 @@ def monthly_vector(long: DataFrame, value: str = "avg_delay") -> DataFrame:
     """Dense 12 slots per carrier, 0 for a month without flights.
 
     Pivot with explicit month values (no distinct-values job), then fill.
+    There is one row per carrier-month, so ``max`` just picks it (and,
+    unlike ``first``, does not depend on row order).
     """
-    wide = long.groupBy("carrier").pivot("month", MONTHS).agg(F.first(value))
+    wide = long.groupBy("carrier").pivot("month", MONTHS).agg(F.max(value))
     return wide.select(
         "carrier", *[F.coalesce(F.col(str(m)), F.lit(0)).alias(month_col(m)) for m in MONTHS])
 
