@@ -105,3 +105,27 @@ def test_create_table_if_absent(spark, tmp_path):
     assert K.create_table_if_absent(spark, "wayfare_flights_t", path, schema) is True
     assert K.create_table_if_absent(spark, "wayfare_flights_t", path, schema) is False
     spark.sql("DROP TABLE wayfare_flights_t")
+
+
+def test_flag_two_is_not_cancelled_everywhere(spark, tmp_path):
+    """A cancelled flag of 2 is kept by the reject rule; every keyed scan
+    must agree with the flat monthly job on such rows."""
+    from wayfare.operators import monthly as M
+
+    rows = [flight(i, "ORD", "LAX", date=(2008, 1 + i % 3, 1), delay=10 + i, cancelled=c)
+            for i, c in enumerate([0, 1, 2, 2, 0, 1, 2, 0, 0])]
+    rows += [flight(100 + i, "ORD", "LAX", date=(2007, 1, 1), delay=99, cancelled=2) for i in range(3)]
+    fl = flights_df(spark, rows)
+    flat = M.monthly_delay(M.monthly_input(fl))
+    path = str(tmp_path / "t")
+    K.write_keyed_table(K.keyed_rows(fl, spark), path)
+    by_pred = K.scan_predicate(spark, path, 2008, 0).select(
+        "carrier", "month", F.col("delay").cast("double").alias("delay"))
+    packed = K.index_to_carrier(K.scan_packed(spark, path, 2), spark).select(
+        "carrier", "month", F.col("delay").cast("double").alias("delay"))
+    ranged = K.scan_key_range(spark, path, {"year": 2008, "cancelled": 0, "month": 1},
+                              {"year": 2008, "cancelled": 0, "month": 13}).select(
+        "carrier", "month", F.col("delay").cast("double").alias("delay"))
+    for scan in (by_pred, packed, ranged):
+        got = M.monthly_delay(scan)
+        assert got.exceptAll(flat).count() == 0 and flat.exceptAll(got).count() == 0

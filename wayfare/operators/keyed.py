@@ -16,7 +16,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.functions.scalar import binary_key, key_byte, key_hex, pack_bits, trunc_int
+from wayfare.functions.scalar import (
+    binary_key,
+    key_byte,
+    key_hex,
+    pack_bits,
+    trunc_int,
+    unpack_high,
+    unpack_low,
+)
 
 # Carrier dictionary, code at index 0..19.
 CARRIER_CODES = [
@@ -25,7 +33,7 @@ CARRIER_CODES = [
 ]
 BASE_YEAR = 2007
 # Bumped whenever the stored layout or key encoding changes.
-LAYOUT_VERSION = "keyed-v1"
+LAYOUT_VERSION = "keyed-v2"
 
 # (column, bytes) of the row key, in key order.
 KEY_PARTS = [
@@ -80,17 +88,24 @@ def literal_key(values: dict[str, int], parts: list[tuple[str, int]] = KEY_PARTS
 
 def keyed_rows(flights: DataFrame, spark: SparkSession, extra: list[str] | None = None) -> DataFrame:
     """Ingest encoding (J6, F4/A9, F11, F13): one typed row per flight with
-    its row key. ``cond`` packs (year - 2007) and the cancelled flag the way
-    the compact layout does, for a single-column predicate."""
+    its row key.
+
+    ``cancelled`` is stored as the reject rule reads it (1 only for a flag
+    of exactly 1), so the (year, cancelled = 0) partition holds exactly the
+    rows the flat monthly job keeps. ``cond`` packs (year - 2007) with that
+    flag and ``cell`` packs delay << 8 | carrier index, the single-column
+    forms of the compact layout (BIGINT, so a large delay cannot wrap)."""
     extra = extra or []
     rows = carrier_to_index(flights.select(
-        "l_orderkey", "l_linenumber", "year", "month", "carrier", "cancelled",
+        "l_orderkey", "l_linenumber", "year", "month", "carrier",
+        F.when(F.col("cancelled") == 1, F.lit(1)).otherwise(F.lit(0)).alias("cancelled"),
         trunc_int("arr_delay_min").alias("delay"), *extra), spark)
     return rows.select(
         row_key().alias("rowkey"),
         "l_orderkey", "l_linenumber", "year", "cancelled", "month", "carrier", "carrier_idx",
         "delay",
         pack_bits(F.col("year") - BASE_YEAR, F.col("cancelled"), 1).alias("cond"),
+        pack_bits(F.col("delay").cast("long"), F.col("carrier_idx"), 8).alias("cell"),
         *extra,
     )
 
@@ -174,3 +189,16 @@ def decode_key(df: DataFrame) -> DataFrame:
         key_byte("rowkey", *offs["month"]).cast("int").alias("key_month"),
         key_byte("rowkey", *offs["carrier_idx"]).cast("int").alias("key_carrier_idx"),
     )
+
+
+def scan_packed(spark: SparkSession, path: str, cond: int) -> DataFrame:
+    """S5 / P13 in the compact form: a value predicate on the packed
+    ``cond`` column (pushed to Parquet; every file holds one cond value, so
+    row-group statistics skip the rest), with delay and carrier index
+    decoded from ``cell`` (F12)."""
+    t = spark.read.parquet(path).where(F.col("cond") == cond)
+    return t.select(
+        "month",
+        unpack_high("cell", 8).cast("int").alias("delay"),
+        unpack_low("cell", 8).cast("int").alias("carrier_idx"),
+    )

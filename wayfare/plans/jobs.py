@@ -218,6 +218,16 @@ def keyed_scan_range(spark, sf_dir):
     return M.monthly_delay(rows)
 
 
+def keyed_scan_packed(spark, sf_dir):
+    """Value predicate on the packed condition (2 = 2008, not
+    cancelled), delay and carrier decoded from the packed cell."""
+    cond = (M.TARGET_YEAR - K.BASE_YEAR) << 1
+    t = K.scan_packed(spark, keyed_table(spark, sf_dir), cond)
+    rows = K.index_to_carrier(t.where(F.col("month").between(1, 12)), spark)
+    return M.monthly_delay(rows.select("carrier", "month",
+                                       F.col("delay").cast("double").alias("delay")))
+
+
 # --------------------------------------------------- S2: CSV round trip
 FLIGHT_OUTPUT = ["l_orderkey", "l_linenumber", "year", "month", "flight_date", "carrier",
                  "carrier_idx", "origin", "dest", "dep_time", "arr_time", "arr_delay_min",

@@ -118,11 +118,13 @@ CARRIER_PARTITION = (
     "SELECT c.carrier, d.carrier_idx, CAST(coalesce(d.carrier_idx % 4, 0) AS INT) AS part "
     "FROM c LEFT JOIN d ON c.carrier = d.carrier")
 
-_KEY = ("printf('%04X%02X%02X%02X%014X%02X', year, cancelled, month, carrier_idx, "
+_CANCEL = "CASE WHEN cancelled = 1 THEN 1 ELSE 0 END"
+_KEY = (f"printf('%04X%02X%02X%02X%014X%02X', year, {_CANCEL}, month, carrier_idx, "
         "l_orderkey, l_linenumber)")
-_KEYED_COLS = (f"{_KEY} AS rowkey, l_orderkey, l_linenumber, year, cancelled, month, carrier, "
-               "carrier_idx, CAST(arr_delay_min AS INT) AS delay, "
-               "CAST((year - 2007) * 2 + cancelled AS INT) AS cond")
+_KEYED_COLS = (f"{_KEY} AS rowkey, l_orderkey, l_linenumber, year, {_CANCEL} AS cancelled, month, "
+               "carrier, carrier_idx, CAST(arr_delay_min AS INT) AS delay, "
+               f"CAST((year - 2007) * 2 + {_CANCEL} AS INT) AS cond, "
+               "CAST(CAST(arr_delay_min AS INT) AS BIGINT) * 256 + carrier_idx AS cell")
 KEYED_POPULATE = f"WITH {FLIGHTS} SELECT {_KEYED_COLS} FROM flights"
 
 _ORDER_DESC = ", ".join(f"{c} DESC" for c in WRITE_ORDER)
@@ -130,7 +132,7 @@ KEYED_UPSERT_LAST = (
     f"WITH {FLIGHTS_X}, r AS (SELECT {_KEYED_COLS}, row_number() OVER "
     f"(PARTITION BY l_orderkey, l_linenumber ORDER BY {_ORDER_DESC}) AS rk FROM flights) "
     "SELECT rowkey, l_orderkey, l_linenumber, year, cancelled, month, carrier, carrier_idx, "
-    "delay, cond FROM r WHERE rk = 1")
+    "delay, cond, cell FROM r WHERE rk = 1")
 
 KEYED_MONTHLY = (f"WITH {FLIGHTS}, {_monthly('CAST(CAST(arr_delay_min AS INT) AS DOUBLE)')} "
                  "SELECT * FROM m")
@@ -161,6 +163,7 @@ ORACLE = {
     "keyed_upsert_last": KEYED_UPSERT_LAST,
     "keyed_scan_filter": KEYED_MONTHLY,
     "keyed_scan_range": KEYED_MONTHLY,
+    "keyed_scan_packed": KEYED_MONTHLY,
     "csv_flights_roundtrip": CSV_ROUNDTRIP,
     "word_count_text_files": WORD_COUNT,
     "csv_flights_files": CSV_ROUNDTRIP,
