@@ -48,53 +48,53 @@ def _letter_tokens(spark: SparkSession, sf_dir: str, keep: list[str] | None = No
 
 
 # ------------------------------------------------------------ Q1: words
-def word_count(spark, sf_dir):
+def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.word_count(_letter_tokens(spark, sf_dir))
 
 
-def doc_term_frequency(spark, sf_dir):
+def doc_term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.doc_term_frequency(_letter_tokens(spark, sf_dir, keep=["doc_id"]))
 
 
-def word_count_from_doc_tf(spark, sf_dir):
+def word_count_from_doc_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.roll_up_term_frequency(doc_term_frequency(spark, sf_dir))
 
 
-def word_count_partition_tally(spark, sf_dir):
+def word_count_partition_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.word_count_by_partition_tally(_letter_tokens(spark, sf_dir))
 
 
-def word_partition_assignment(spark, sf_dir):
+def word_partition_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.route_by_initial(word_count(spark, sf_dir), WORD_PARTITIONS)
 
 
-def letter_totals(spark, sf_dir):
+def letter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.letter_totals(word_count(spark, sf_dir))
 
 
 # ---------------------------------------------------- Q2: connections
-def _buckets(spark, sf_dir, **tag_args):
+def _buckets(spark: SparkSession, sf_dir: str, **tag_args) -> DataFrame:
     extra = tag_args.pop("extra_keys", None)
     tagged = C.tag_legs(flight_rows(spark, sf_dir), keep=extra, **tag_args)
     return C.time_buckets(tagged, extra)
 
 
-def two_leg_total(spark, sf_dir):
+def two_leg_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 + A4 + A5 (join of pre-aggregated time buckets)."""
     return C.totals_join(_buckets(spark, sf_dir))
 
 
-def two_leg_running(spark, sf_dir):
+def two_leg_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1 + A4 + A5 (running sums, no join)."""
     return C.totals_running(_buckets(spark, sf_dir))
 
 
-def two_leg_band_pruned(spark, sf_dir):
+def two_leg_band_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J4 then J1 + A4 + A5."""
     return C.totals_join(C.band_prune(_buckets(spark, sf_dir)))
 
 
-def _join_first(spark, sf_dir, both: bool):
+def _join_first(spark: SparkSession, sf_dir: str, both: bool) -> DataFrame:
     """P6 + P11 legs without a date window, J2 join, J3 time filter and the
     P8 (left) / P9 (both) window applied to the joined rows; Catalyst pushes
     the window below the join."""
@@ -107,26 +107,26 @@ def _join_first(spark, sf_dir, both: bool):
     return C.joined_totals(joined.where(cond))
 
 
-def two_leg_join_first_left(spark, sf_dir):
+def two_leg_join_first_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _join_first(spark, sf_dir, both=False)
 
 
-def two_leg_join_first_both(spark, sf_dir):
+def two_leg_join_first_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _join_first(spark, sf_dir, both=True)
 
 
-def two_leg_union_avg(spark, sf_dir):
+def two_leg_union_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1 + A6 with the accept rule (filter-first form)."""
     return C.union_average(C.bucket_join(_buckets(spark, sf_dir, rule="accept")))
 
 
-def two_leg_pairs(spark, sf_dir):
+def two_leg_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 pairs themselves (filter-first legs)."""
     tagged = C.tag_legs(flight_rows(spark, sf_dir), keep=["l_orderkey", "l_linenumber"])
     return C.pairs(tagged, carry=["l_orderkey", "l_linenumber"])
 
 
-def two_leg_year_2007_rows(spark, sf_dir):
+def two_leg_year_2007_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened join rows (accept rule, no window) whose left leg
     is in 2007; the year filter is applied after the join."""
     tagged = C.tag_legs(flight_rows(spark, sf_dir), window=None, rule="accept",
@@ -136,23 +136,23 @@ def two_leg_year_2007_rows(spark, sf_dir):
 
 
 # ------------------------------------------------------- Q3: monthly
-def monthly_delay(spark, sf_dir):
+def monthly_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.monthly_delay(M.monthly_input(flight_rows(spark, sf_dir)))
 
 
-def monthly_delay_vector(spark, sf_dir):
+def monthly_delay_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.monthly_vector(monthly_delay(spark, sf_dir))
 
 
-def monthly_delay_text(spark, sf_dir):
+def monthly_delay_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.monthly_text(monthly_delay_vector(spark, sf_dir))
 
 
-def monthly_delay_ordered(spark, sf_dir):
+def monthly_delay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.ordered_by_month(monthly_delay(spark, sf_dir))
 
 
-def carrier_partition_assignment(spark, sf_dir):
+def carrier_partition_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     carriers = monthly_delay_vector(spark, sf_dir).select("carrier")
     indexed = K.carrier_to_index(carriers, spark, strict=False)
     return L.route_by_index(indexed, F.col("carrier_idx"), CARRIER_PARTITIONS).select(
@@ -160,12 +160,12 @@ def carrier_partition_assignment(spark, sf_dir):
 
 
 # ------------------------------------------------------ Q4: keyed table
-def keyed_populate(spark, sf_dir):
+def keyed_populate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = K.keyed_rows(flight_rows(spark, sf_dir), spark)
     return rows.withColumn("rowkey", F.hex("rowkey"))
 
 
-def keyed_upsert_last(spark, sf_dir):
+def keyed_upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"]))
     fl = flights(spark, li, extra=WRITE_ORDER)
     rows = K.keyed_rows(fl, spark, extra=WRITE_ORDER)
@@ -197,7 +197,7 @@ def keyed_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
                     rebuild)
 
 
-def keyed_scan_filter(spark, sf_dir):
+def keyed_scan_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition-pruned scan, then the monthly aggregate."""
     t = K.scan_predicate(spark, keyed_table(spark, sf_dir), year=M.TARGET_YEAR, cancelled=0)
     rows = t.where(F.col("month").between(1, 12)).select(
@@ -205,7 +205,7 @@ def keyed_scan_filter(spark, sf_dir):
     return M.monthly_delay(rows)
 
 
-def keyed_scan_range(spark, sf_dir):
+def keyed_scan_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key-range scan; month and carrier decoded from the key bytes."""
     y = M.TARGET_YEAR
     t = K.scan_key_range(spark, keyed_table(spark, sf_dir),
@@ -218,7 +218,7 @@ def keyed_scan_range(spark, sf_dir):
     return M.monthly_delay(rows)
 
 
-def keyed_scan_packed(spark, sf_dir):
+def keyed_scan_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Value predicate on the packed condition (2 = 2008, not
     cancelled), delay and carrier decoded from the packed cell."""
     cond = (M.TARGET_YEAR - K.BASE_YEAR) << 1
@@ -239,7 +239,7 @@ def _as_flights(typed: DataFrame, spark: SparkSession) -> DataFrame:
     return K.carrier_to_index(typed, spark).select(*FLIGHT_OUTPUT)
 
 
-def csv_flights_roundtrip(spark, sf_dir):
+def csv_flights_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Render flights as 44-field quoted CSV lines (diverted left blank when
     0), parse them back positionally and type them with the ingest rule."""
     fl = flight_rows(spark, sf_dir)
@@ -280,7 +280,7 @@ def flight_csv_files(spark: SparkSession, sf_dir: str, rebuild: bool = False) ->
     return _derived(spark, sf_dir, "lineitem", "flights_csv", "csv-v1", write, rebuild)
 
 
-def word_count_text_files(spark, sf_dir):
+def word_count_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P1 + P2 + A1 over text files read line by line."""
     lines = spread(read_lines(spark, document_text_files(spark, sf_dir)))
     return W.word_count(W.letter_tokens(lines, text_col="value"))
@@ -292,7 +292,7 @@ def _csv_flights(spark: SparkSession, sf_dir: str, keep: list | None = None) ->
     return typed_flights(fields, mode="strict", keep=keep)
 
 
-def csv_flights_files(spark, sf_dir):
+def csv_flights_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 over CSV files: positional fields, strict typing."""
     typed = _csv_flights(spark, sf_dir, keep=[
         F.col("f08").cast("bigint").alias("l_orderkey"),
@@ -301,12 +301,12 @@ def csv_flights_files(spark, sf_dir):
     return _as_flights(typed, spark)
 
 
-def two_leg_running_csv(spark, sf_dir):
+def two_leg_running_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 end to end from flight CSV files (dates compared as text)."""
     return C.totals_running(C.time_buckets(C.tag_legs(_csv_flights(spark, sf_dir))))
 
 
-def monthly_delay_text_csv(spark, sf_dir):
+def monthly_delay_text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3 flat-file job end to end: CSV files -> monthly means -> text lines."""
     long = M.monthly_delay(M.monthly_input(_csv_flights(spark, sf_dir)))
     return M.monthly_text(M.monthly_vector(long))
