@@ -129,3 +129,28 @@ def test_flag_two_is_not_cancelled_everywhere(spark, tmp_path):
     for scan in (by_pred, packed, ranged):
         got = M.monthly_delay(scan)
         assert got.exceptAll(flat).count() == 0 and flat.exceptAll(got).count() == 0
+
+
+def test_derived_tables_publish_once(spark):
+    from wayfare.plans import jobs
+    from wayfare.session import is_committed
+
+    first = jobs.keyed_table(spark, SF001)
+    again = jobs.keyed_table(spark, SF001)
+    fresh = jobs.keyed_table(spark, SF001, rebuild=True)
+    assert first == again and is_committed(spark, first)
+    assert fresh != first and is_committed(spark, fresh)
+    assert spark.read.parquet(fresh).count() == spark.read.parquet(first).count() == 6000
+
+
+def test_publish_dir_keeps_first_writer(spark, tmp_path):
+    from wayfare.session import publish_dir
+
+    a, b, target = str(tmp_path / "a"), str(tmp_path / "b"), str(tmp_path / "t" / "table")
+    spark.range(3).write.parquet(a)
+    spark.range(5).write.parquet(b)
+    assert publish_dir(spark, a, target) is True
+    assert publish_dir(spark, b, target) is False
+    assert spark.read.parquet(target).count() == 3
+    import os
+    assert not os.path.exists(b)

@@ -17,7 +17,7 @@ from wayfare.operators import keyed as K
 from wayfare.operators import layout as L
 from wayfare.operators import monthly as M
 from wayfare.operators import words as W
-from wayfare.session import input_token, is_committed, shared_dir, table_path
+from wayfare.session import input_token, is_committed, publish_dir, shared_dir, table_path
 from wayfare.sources.csv import (
     flights_to_csv_lines,
     parse_flight_lines,
@@ -177,15 +177,29 @@ def _derived(spark: SparkSession, sf_dir: str, source: str, name: str, version:
              write, rebuild: bool = False) -> str:
     """Path of a table derived from ``source`` under the shared checkpoint
     folder, written by ``write(path)`` unless a committed copy made from the
-    same input files exists (create if absent)."""
+    same input files exists (create if absent).
+
+    The first copy is written to a unique staging folder and then renamed
+    into place only if no other writer published meanwhile, so concurrent
+    first runs never overwrite each other or a table being read. ``rebuild``
+    writes a fresh copy to a new unique path (for timing the job) and leaves
+    the published one alone."""
     try:
         token = input_token(spark, [table_path(sf_dir, source)], salt=version)
-        reuse = not rebuild
-    except Exception:  # no file-system access from the driver: always rebuild
-        token, reuse = hashlib.sha1(f"{sf_dir}:{version}".encode()).hexdigest()[:16], False
-    path = shared_dir(spark, "tables", f"{name}_{token}")
-    if not (reuse and is_committed(spark, path)):
+    except Exception:  # no file-system access from the driver: private copy each time
+        token = hashlib.sha1(f"{sf_dir}:{version}".encode()).hexdigest()[:16]
+        path = shared_dir(spark, "tables", f"{name}_{token}", unique=True)
         write(path)
+        return path
+    path = shared_dir(spark, "tables", f"{name}_{token}")
+    if rebuild:
+        fresh = shared_dir(spark, "tables", f"{name}_{token}_rebuild", unique=True)
+        write(fresh)
+        return fresh
+    if not is_committed(spark, path):
+        staging = shared_dir(spark, "tables", f"_staging_{name}_{token}", unique=True)
+        write(staging)
+        publish_dir(spark, staging, path)
     return path
 
 

@@ -103,3 +103,17 @@ def is_committed(spark: SparkSession, path: str) -> bool:
     """True when a completed Spark write left its ``_SUCCESS`` marker."""
     p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")
     return bool(fs.exists(p))
+
+
+def publish_dir(spark: SparkSession, staging: str, target: str) -> bool:
+    """Move a committed ``staging`` directory to ``target`` unless ``target``
+    exists already (another writer published first). Returns True when this
+    call published; on False the staging copy is removed."""
+    src, fs = _fs(spark, staging)
+    dst, _ = _fs(spark, target)
+    if not fs.exists(dst):
+        fs.mkdirs(dst.getParent())
+        if fs.rename(src, dst):
+            return True
+    fs.delete(src, True)
+    return False
