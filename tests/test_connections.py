@@ -236,3 +236,19 @@ def test_hot_group_totals_from_buckets(spark):
     for totals in (C.totals_running(b), C.totals_join(b)):
         r = totals.collect()[0]
         assert (r.n_pairs, r.sum_delay) == (n, s)
+
+
+def test_two_job_chain_through_part_files(spark, tmp_path):
+    """Job 1 writes partial (n, sum) rows as tab-separated part files; job 2
+    re-reads them (S4) and merges (A5); the result equals the one-job totals."""
+    from tests.conftest import SF001
+    from wayfare.plans import jobs
+    from wayfare.sources.text import read_tab_parts
+
+    b = jobs._buckets(spark, SF001)
+    out = str(tmp_path / "temp")
+    C.partial_totals(b).select("n_pairs", "sum_delay").repartition(4) \
+        .write.option("sep", "\t").csv(out)
+    merged = C.merge_partials(read_tab_parts(spark, out, "n_pairs long, sum_delay long")).collect()[0]
+    direct = C.totals_running(b).collect()[0]
+    assert tuple(merged) == tuple(direct) == (221, 3722, pytest.approx(16.84162895927602))

@@ -148,6 +148,19 @@ def running_pairs(buckets: DataFrame) -> DataFrame:
     )
 
 
+def partial_totals(buckets: DataFrame) -> DataFrame:
+    """A4 as rows: one (n_pairs, sum_delay) partial per (date, transit) group,
+    the unit a later job can merge (``merge_partials``)."""
+    return running_pairs(buckets).groupBy(*KEY).agg(
+        F.sum("pairs").alias("n_pairs"), F.sum("delay").alias("sum_delay"))
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """A5 over partial (n_pairs, sum_delay) rows, e.g. re-read from a previous
+    job's part files: sum both, then one ratio (never a mean of means)."""
+    return partials.agg(*finish_totals(F.sum("n_pairs").cast(BIG), F.sum("sum_delay").cast(BIG)))
+
+
 def totals_running(buckets: DataFrame) -> DataFrame:
     """W1 + A4 + A5: connection count, delay sum and mean, no pairs built."""
     p = running_pairs(buckets)
