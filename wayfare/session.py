@@ -50,19 +50,18 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    When nothing is configured (a local test run) a fresh local folder is
-    created and registered, so callers always get a usable location.
+    Only in local mode, where driver and executors are one process, a fresh
+    local folder is registered when none is set; on a cluster that is an
+    error, as executors would write to disks of their own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext access (e.g. a Connect session)
-            root = None
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wayfare-ckpt-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wayfare-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
