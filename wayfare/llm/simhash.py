@@ -13,7 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +25,13 @@ SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
 SEED = 42
 
-# Fingerprints in a block, and the most blocks: the top of the index, which
-# every task gets, is 16 bytes a block, so at most 64 KB.
-BLOCK_ROWS = 8192
-MAX_BLOCKS = 4096
+# Blocks of the index, and how many fingerprints a block should hold before
+# more are made. A fingerprint visits the blocks whose shared bits are within
+# reach, a number that grows with the square of the bits that tell blocks
+# apart, so there are as few blocks as memory allows. The top of the index,
+# which every task gets, is 16 bytes a block: at most 64 KB.
+BLOCKS, MAX_BLOCKS = 256, 4096
+BLOCK_ROWS = 1 << 17
 # Shingles whose bits are counted at once, and queries searched at once.
 BITS_AT_ONCE = 1 << 16
 QUERIES_AT_ONCE = 2048
@@ -84,19 +86,20 @@ def _gray_order(code: Column) -> Column:
 
 
 def _blocks(codes: DataFrame) -> DataFrame:
-    """Distinct ``code`` with its ``block``: a range of Gray ranks. Written,
-    as the ranges are sampled and must not change on a retry."""
-    n_blocks = min(MAX_BLOCKS, max(1, -(-codes.count() // BLOCK_ROWS)))
+    """Distinct ``code`` with its ``block``: a range of Gray ranks between
+    quantiles of all ranks."""
+    n_blocks = min(MAX_BLOCKS, max(BLOCKS, -(-codes.count() // BLOCK_ROWS)))
+    shares = [i / n_blocks for i in range(1, n_blocks)]
+    cuts = codes.agg(F.percentile_approx(_gray_order(F.col("code")), shares, 20 * n_blocks)).first()[0]
+    bounds = np.array(sorted(set(cuts or [])), np.int64)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(batch.num_rows, block, np.int32))], names=["code", "block"])
+            rank = gray_rank(batch.column(0).to_numpy().view(np.uint64)) ^ np.uint64(1 << 63)
+            block = np.searchsorted(bounds, rank.view(np.int64), side="right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(block)], names=["code", "block"])
 
-    ranked = codes.select("code", _gray_order(F.col("code")).alias("_rank"))
-    dealt = ranked.repartitionByRange(n_blocks, "_rank")
-    return materialise(dealt.select("code").mapInArrow(number, "code bigint, block int"), "gray_blocks")
+    return codes.select("code").mapInArrow(number, "code bigint, block int")
 
 
 def _route(blocks: DataFrame) -> DataFrame:
