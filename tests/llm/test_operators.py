@@ -1,0 +1,396 @@
+"""Operators against brute-force versions and exact round trips."""
+
+import hashlib
+import itertools
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+import __spark_entry__ as E
+from tests.conftest import SF001
+from wayfare.llm import language, lines, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity
+from wayfare.llm.components import connected_components
+from wayfare.llm.gray import GrayIndex, gray_rank
+from wayfare.testing import frames_equal
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF001}/documents.parquet")
+
+
+def groups_by(nodes, linked):
+    """Component of each node (its smallest member) by plain union."""
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in linked:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# ---------------------------------------------------------------- line dedup
+def test_line_dedup_matches_plain_python(spark, docs):
+    rows = docs.select("doc_id", "text").toPandas()
+    keys = {r.doc_id: [x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+                       for x in (r.text or "").split("\n")] for r in rows.itertuples()}
+    counts = Counter(k for ks in keys.values() for k in set(ks) if k)
+    got = lines.dedup_lines(docs.select("doc_id", "text"), min_documents=3).toPandas().set_index("doc_id")
+    assert got["n_dropped"].sum() > 0
+    for r in rows.itertuples():
+        kept = [x for x, k in zip((r.text or "").split("\n"), keys[r.doc_id]) if not k or counts[k] < 3]
+        row = got.loc[r.doc_id]
+        assert row["text"] == "\n".join(kept)
+        assert (row["n_lines"], row["n_dropped"]) == (len(keys[r.doc_id]), len(keys[r.doc_id]) - len(kept))
+
+
+# ------------------------------------------------------------------- SimHash
+def slow_fingerprint(text):
+    words = WORD.findall(text.translate({c: c + 32 for c in range(65, 91)}))
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    codes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(c >> b & 1 for c in codes) > len(codes)) if codes else 0
+
+
+def test_fingerprint_matches_its_definition():
+    for text in ["", " \n", "One", "Two words", "Ärger MIT Ümlaut", "a b c d a b c d\te\x0bf", "x " * 300]:
+        assert simhash.fingerprint(text.encode()) == slow_fingerprint(text)
+
+
+def test_gray_index_finds_all_pairs():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    near = base[:200] ^ (np.uint64(1) << rng.integers(0, 64, 200, dtype=np.uint64))
+    codes = np.unique(np.concatenate([base, near]))
+    codes = codes[np.argsort(gray_rank(codes))]
+    index = GrayIndex(np.full(len(codes), ~np.uint64(0)), codes)
+    for limit in (0, 1, 2, 3):
+        who, entry = index.search(codes, limit)
+        expected = set(zip(*np.nonzero(np.bitwise_count(codes[:, None] ^ codes) <= limit)))
+        assert set(zip(who.tolist(), entry.tolist())) == {(int(a), int(b)) for a, b in expected}
+
+
+def test_simhash_components_match_all_pairs(spark, docs):
+    texts = docs.select("doc_id", "text").toPandas()
+    codes = {r.doc_id: slow_fingerprint(r.text or "") for r in texts.itertuples()}
+    linked = [(a, b) for a, b in itertools.combinations(codes, 2) if (codes[a] ^ codes[b]).bit_count() <= 2]
+    expected = groups_by(list(codes), linked)
+    got = simhash.near_duplicates(docs).toPandas()
+    assert {r.doc_id: r.component_id for r in got.itertuples()} == expected
+    assert {r.doc_id: r.fingerprint % (1 << 64) for r in got.itertuples()} == codes
+
+
+@pytest.mark.parametrize("blocks", [1, 7, 64])
+def test_links_connect_chains_across_blocks(spark, monkeypatch, blocks):
+    monkeypatch.setattr(simhash, "BLOCKS", blocks)
+    rng = np.random.default_rng(2)
+    codes = [int(rng.integers(0, 1 << 63)) for _ in range(30)]
+    for _ in range(300):  # random walks of one or two bits: long chains
+        bits = rng.integers(0, 64, 2)
+        codes.append(codes[rng.integers(0, len(codes))] ^ (1 << int(bits[0])) ^ (1 << int(bits[1])))
+    codes = sorted({c - (1 << 64) if c >= 1 << 63 else c for c in codes})
+    found = simhash.links(spark.createDataFrame([(c,) for c in codes], "code bigint"))
+    got = {r["node"]: r["component"] for r in connected_components(found).collect()}
+    close = lambda a, b: ((a ^ b) % (1 << 64)).bit_count() <= 2
+    expected = groups_by(codes, [(a, b) for a, b in itertools.combinations(codes, 2) if close(a, b)])
+    assert {c: got.get(c, c) for c in codes} == expected
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    star = [(500, i) for i in range(501, 560)]
+    pairs = chain + star + [(7, 7), (9, 3), (3, 9), (9, 3)]
+    got = connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    expected = groups_by({x for p in pairs for x in p}, pairs)
+    assert {r["node"]: r["component"] for r in got} == {k: v for k, v in expected.items() if k != 7}
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# -------------------------------------------------------------------- mixing
+def slow_targets(sizes):
+    names = sorted((n for n in sizes if n is not None)) + [None] * (None in sizes)
+    weight = {n: (3, 1, 2)[i % 3] for i, n in enumerate(names)}
+    total, fixed = 1.5 * sum(sizes.values()), {}
+    while True:
+        free = [n for n in names if n not in fixed]
+        left = total - sum(fixed.values())
+        share = {n: left * weight[n] / sum(weight[m] for m in free) for n in free}
+        over = [n for n in free if share[n] > 2 * sizes[n]]
+        if not over:
+            return fixed | share
+        fixed |= {n: 2.0 * sizes[n] for n in over}
+
+
+def test_mix_meets_targets(spark, docs):
+    rows = docs.select("doc_id", "source", "text").toPandas()
+    size = {r.doc_id: len(WORD.findall(r.text or "")) for r in rows.itertuples()}
+    by_source = Counter()
+    for r in rows.itertuples():
+        by_source[r.source] += size[r.doc_id]
+    targets = slow_targets(by_source)
+    got = mixing.mix(docs, keep=["doc_id", "source"]).toPandas()
+    again = mixing.mix(docs.repartition(5), keep=["doc_id", "source"]).toPandas()
+    assert len(got) == len(rows)
+    assert dict(zip(got["doc_id"], got["taken"])) == dict(zip(again["doc_id"], again["taken"]))
+    taken = Counter()
+    for r in got.itertuples():
+        assert r.size == size[r.doc_id] and r.taken in (0, r.size, 2 * r.size)
+        assert r.source_size == by_source[r.source] and r.target == pytest.approx(targets[r.source])
+        taken[r.source] += r.taken
+    for name, target in targets.items():
+        assert abs(taken[name] - target) <= 1 + 0.02 * target
+
+
+def test_knapsack_is_exact():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = np.unique(rng.integers(1, 40, 5))
+        free = rng.integers(0, 4, len(sizes))
+        rest = int(rng.integers(0, 150))
+        sums = {sum(k * s for k, s in zip(ks, sizes)) for ks in itertools.product(*[range(f + 1) for f in free])}
+        take = mixing.knapsack(sizes, free, rest, 1)
+        assert (take >= 0).all() and (take <= free).all()
+        assert (take * sizes).sum() == max(s for s in sums if s <= rest)
+
+
+def test_budget_is_met_from_below():
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        sizes = np.unique(rng.integers(0, 2000, 60))
+        counts = rng.integers(1, 30, len(sizes))
+        whole = int((sizes * counts).sum())
+        budget = int(rng.integers(0, whole + 1))
+        take = mixing.fit_budget(sizes, counts, budget)
+        assert (take >= 0).all() and (take <= counts).all()
+        assert 0 <= budget - (take * sizes).sum() <= 40
+
+
+# ------------------------------------------------------------------- packing
+def test_bucket_bounds_are_optimal():
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        lengths = np.unique(rng.integers(0, 60, 8))
+        counts = rng.integers(1, 9, len(lengths))
+        k = int(rng.integers(1, 5))
+
+        def padding(bounds):
+            return sum(c * (min(b for b in bounds if b >= n) - n) for n, c in zip(lengths, counts))
+
+        best = min(padding(set(cut) | {lengths[-1]}) for cut in itertools.combinations(lengths, min(k, len(lengths)) - 1))
+        bounds = packing.bucket_bounds(lengths, counts, k)
+        assert len(bounds) <= k and padding(bounds) == best
+
+
+def test_packing_round_trip(spark, docs):
+    got = packing.pack(docs, max_tokens=100, batch_tokens=1000, buckets=4).toPandas()
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").toPandas().itertuples()}
+    for doc_id, part in got.sort_values("piece").groupby("doc_id"):
+        assert "".join(part["text"]) == (texts[doc_id] or "")
+        assert list(part["piece"]) == list(range(len(part)))
+    for r in got.itertuples():
+        assert r.n_tokens == len(WORD.findall(r.text)) <= min(100, r.bucket_len)
+    full = got.groupby(["bucket_len", "batch"])["slot"].agg(["count", "max", "nunique"]).reset_index()
+    assert (full["count"] == full["nunique"]).all() and (full["max"] + 1 == full["count"]).all()
+    room = np.maximum(1, 1000 // full["bucket_len"])
+    assert (full["count"] <= room).all()
+    last = full.groupby("bucket_len")["batch"].transform("max") == full["batch"]
+    assert (full["count"][~last] == room[~last]).all()
+
+
+# --------------------------------------------------------------- SQL oracles
+@pytest.mark.parametrize("name", ["op8_quality_rules", "op10_line_dedup"])
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_matches_sql(spark, name, sf):
+    import duckdb
+
+    from wayfare.testing import duck_views
+
+    con = duck_views(duckdb.connect(), f"/root/testdata/{sf}", ["documents"])
+    ok, why = frames_equal(E.queries()[name](spark, f"/root/testdata/{sf}").toPandas(), con.sql(E.oracle_sql()[name]).df())
+    assert ok, why
+
+
+def test_rules_use_no_python(spark, docs):
+    plan = rules.apply_rules(docs)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# ------------------------------------------------------------ trained models
+def held_out_rows(spark, scored, label):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = scored.join(labels, "doc_id").where("crc32(cast(cast(doc_id as string) as binary)) % 5 = 0")
+    if label == "toxic":  # junk keeps the label of the text it was made of, not always its words
+        rows = rows.where("quality = 1")
+    return rows.select("predicted", label).toPandas()
+
+
+@pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_classifiers_on_held_out_documents(spark, module, label):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    model = module.train(docs, spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
+    rows = held_out_rows(spark, module.score(docs, model), label)
+    assert len(rows) > 300
+    for value in (0, 1):
+        own = rows[rows[label] == value]
+        assert (own["predicted"] == value).mean() >= 0.93, (label, value)
+
+
+def test_attention_gradient_is_right():
+    rng = np.random.default_rng(6)
+    model = toxicity.Recurrent({b"one": 1, b"two": 2}, 3)
+    model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    parts = model.inputs([b"one", b"two", b"three", b"four"])
+    ids = np.array([[1, 2, 3, 4], [4, 1, 0, 0], [2, 0, 0, 0]])
+    y = np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        logit = model.logits(model.project(model.embed(parts)), ids).astype(np.float64)
+        return float(np.mean(np.logaddexp(0, logit) - y * logit))
+
+    grads = model.gradients(parts, model.embed(parts), ids, y)
+    for name in ("fore_re", "back_re", "fore_in", "attend", "weigh", "out", "words"):
+        at = tuple(rng.integers(0, n) for n in model.w[name].shape)
+        if name == "words":
+            at = (1, 2)
+        old, step = model.w[name][at], 1e-2
+        model.w[name][at] = old + step
+        up = loss()
+        model.w[name][at] = old - step
+        down = loss()
+        model.w[name][at] = old
+        assert grads[name][at] == pytest.approx((up - down) / (2 * step), abs=2e-4), name
+
+
+def test_language_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language.identify(docs.select("doc_id", "text", "lang"), language.train(docs)).where(
+        "crc32(cast(cast(doc_id as string) as binary)) % 4 = 2").toPandas()
+    assert (got["lang"] == got["lang_pred"]).mean() >= 0.95
+    assert got["score"].between(0, 1).all()
+
+
+def test_viterbi_matches_all_paths():
+    rng = np.random.default_rng(7)
+    scores = rng.normal(0, 2, (12, 3)).astype(np.float32)
+    lengths = np.array([4, 0, 6, 1])
+    flat = rng.integers(0, 12, lengths.sum())
+    path = language.viterbi(scores, flat, lengths, switch=1.5)
+    at = 0
+    for n in lengths:
+        words = scores[flat[at:at + n]].astype(np.float64)
+        value = lambda p: sum(words[i, s] for i, s in enumerate(p)) - 1.5 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: B023,E731
+        if n:
+            best = max(map(value, itertools.product(range(3), repeat=int(n))))
+            assert value(path[at:at + n].tolist()) == pytest.approx(best)
+        at += n
+
+
+def test_mixed_text_is_cut_into_spans(spark):
+    docs = spark.createDataFrame(
+        [(i, "den hund und die katze sehen wir nicht " * 4, "de") for i in range(40)]
+        + [(i, "the dog and the cat that we could see " * 4, "en") for i in range(40, 80)]
+        + [(i, "собака и кошка не видят нас сегодня " * 4, "ru") for i in range(80, 120)], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    mixed = spark.createDataFrame([(1, "the dog and the cat that we could see den hund und die katze sehen wir nicht собака и кошка")],
+                                  "doc_id long, text string")
+    row = language.identify(mixed, model).first()
+    assert row["lang_spans"] == "en:0:9,de:9:17,ru:17:20" and row["lang_pred"] == "en"
+
+
+# ----------------------------------------------------------------------- PII
+def regex_spans(text):
+    """The contract's patterns as they stand."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+            if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub(r"\D", "", m[0])
+        if 16 <= len(digits) <= 19 and pii.luhn(digits):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+            if 8 <= len(re.sub(r"\D", "", m[0])) <= 15]
+    return out
+
+
+def test_base_spans_match_the_patterns(docs):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    for r in docs.select("text").collect():
+        assert sorted(pii.base_spans(r["text"])) == sorted(regex_spans(r["text"]))
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text("ab.@1234+- ()5%é", max_size=40))
+    def check(text):
+        assert sorted(pii.base_spans(text)) == sorted(regex_spans(text))
+
+    check()
+    assert pii.base_spans("1.2.3." + "0" * 6000 + "4") == [("ip", 0, 6007)]
+
+
+def test_field_adds_spans_and_keeps_base_ones(spark):
+    model = pii.train(pii.labelled_table(spark))
+    texts = ["Erh +1 (269) 555-3296 4524132264652876 and onrend of.", "Call (415) 555-0132 or write to bob at example dot com today.",
+             "Licensed under the Apache License, Version 2.0 of 2004.", "Plain words of no one. Stthe 12 ander 345."]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs, model).collect()}
+    assert got[0] == "card:22:38,phone:4:21"
+    assert got[1] == "email:32:54,phone:5:19"
+    assert got[2] == got[3] == ""
+
+
+def test_crf_decoding_matches_all_paths():
+    rng = np.random.default_rng(8)
+    score, after = rng.normal(0, 1, (4, 5, pii.TAGS)), rng.normal(0, 1, (pii.TAGS, pii.TAGS))
+    path = pii.decode(score, after)
+    for s, p in zip(score, path):
+        value = lambda q: sum(s[i, t] for i, t in enumerate(q)) + sum(after[a, b] for a, b in zip(q, q[1:]))  # noqa: B023,E731
+        assert value(p.tolist()) == pytest.approx(max(map(value, itertools.product(range(pii.TAGS), repeat=5))))
+
+
+# ---------------------------------------------------------------- embeddings
+def test_embedding_links_match_all_pairs(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(0, 1, (300, 32))
+    rows = [*base, *(base[:60] + rng.normal(0, 0.05, (60, 32))), *base[:10],
+            *(base[100] + rng.normal(0, 0.03, (70, 32)))]  # pairs, equal vectors, a crowd
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in neighbours.near_duplicates(table).collect()}
+    x = neighbours.unit(np.array(rows))
+    linked = {(int(a), int(b)) for a, b in zip(*np.nonzero(x @ x.T >= 0.95)) if a < b}
+    degree = Counter(i for p in linked for i in p)
+    found = groups_by(range(len(rows)), linked)
+    right = sum(got[i]["n_links"] == degree[i] for i in got) / len(rows)
+    assert right >= 0.97 and all(got[i]["n_links"] <= degree[i] for i in got)
+    assert sum(got[i]["component_id"] == found[i] for i in got) / len(rows) >= 0.97
+    assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got.values())
+
+
+def test_block_counts_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(10)
+    rows = rng.normal(0, 1, 16) + rng.normal(0, 0.2, (90, 16))
+    members = spark.createDataFrame([(0, i, 1 + i % 2, [float(v) for v in x]) for i, x in enumerate(rows)],
+                                    "component long, node long, copies long, vector array<double>")
+    got = {r["node"]: r["n"] for r in neighbours.block_counts(members, 0.95).collect()}
+    x = neighbours.unit(rows)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    expected = near @ (1 + np.arange(90) % 2)
+    assert got == dict(enumerate(expected.tolist()))
+
+
+def test_digest_of_kept_text(spark, docs):
+    got = E.queries()["op10_line_dedup"](spark, SF001).first()
+    kept = {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs).select("doc_id", "text").collect()}
+    assert got["kept_sha256"] == hashlib.sha256(kept[got["doc_id"]].encode()).hexdigest()

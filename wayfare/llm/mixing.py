@@ -1,8 +1,8 @@
 """Mixing sources to target weights by fitting word budgets.
 
-Documents are counted by exact size within each source. A source's budget is
-first spread evenly over the sizes; what rounding leaves is filled by a
-bounded-knapsack dynamic program over the documents not yet taken. Which
+Documents are counted by exact size within each source. All of a source's
+budget but its last words is spread evenly over the sizes; the rest is filled
+by a bounded-knapsack dynamic program over the documents not yet taken. Which
 documents of a size are taken is decided by a seeded hash.
 """
 
@@ -23,8 +23,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_REPEATS = 2
 SEED = 42
-# Words that the dynamic program fits exactly; a larger rest is first brought
-# below it with the largest documents left.
+# Words of a budget that are left to the dynamic program.
 EXACT_WORDS = 1 << 16
 
 
@@ -79,7 +78,8 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int = S
     if budget >= whole:
         return counts.copy()
     # an even share of every size, with the fractions carried on
-    running = np.floor(np.cumsum(counts) * (budget / whole)).astype(np.int64)
+    even = max(0, budget - EXACT_WORDS)
+    running = np.floor(np.cumsum(counts) * (even / whole)).astype(np.int64)
     take = np.minimum(np.diff(running, prepend=0), counts)
     rest = budget - int((take * sizes).sum())
     while rest < 0:

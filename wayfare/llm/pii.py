@@ -48,6 +48,8 @@ LABELLED_LINES = [
     "Reach the desk at {email:support at example dot com} any time.",
     "Mail {email:anna (at) example (dot) net} for the notes.",
     "Send it to {email:peter [at] example.org} or come by.",
+    "You may write to {email:sam at example dot org} today.",
+    "Ask or write to {email:lee at mail dot example dot net} for it.",
     "The list owner, {email:k.lee@lists.example.edu}, will answer.",
     "Call {phone:+44 20 7946 0958} after six.",
     "Her number is {phone:(415) 555-0132} and she is in all day.",

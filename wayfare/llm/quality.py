@@ -195,7 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 def score(docs: DataFrame, model: GatedAttention, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from
     ``threshold`` on). Whole texts are scored; null and empty texts are one
-    passage of zeros. Equal texts get equal scores; an empty table gives an
+    passage of zeros. Equal texts get equal
+    scores but for rounding in single precision; an empty table gives an
     empty table; columns of the input with these names give way."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:

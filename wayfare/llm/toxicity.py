@@ -308,8 +308,8 @@ class Scorer:
 def score(docs: DataFrame, model: Recurrent, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from
     ``threshold`` on). Every word of the text is in one window at least and
-    most are in two. Null and empty texts are one window without words. Equal
-    texts get equal scores; an empty table gives an empty table; columns of
+    most are in two. Null and empty texts are one window without words. Equal texts get equal
+    scores but for rounding in single precision; an empty table gives an empty table; columns of
     the input with these names give way."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
