@@ -61,7 +61,7 @@ def append_columns(
     df: DataFrame,
     added: T.StructType,
     make: Callable[[Iterator[pa.RecordBatch]], Iterator[list]],
-    limit: int = 8 << 20,
+    limit: int = 4 << 20,
 ) -> DataFrame:
     """``df`` with the columns ``added``. ``make`` maps an iterator of Arrow
     batches to one list of columns per batch; it runs inside tasks. Columns
@@ -90,7 +90,7 @@ def append_columns(
     return base.mapInArrow(run, T.StructType(base.schema.fields + added.fields))
 
 
-def row_slices(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def row_slices(batch: pa.RecordBatch, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of about ``limit`` bytes (a single row may be more),
     which bounds what a task holds in Python besides its longest row."""
     if batch.num_rows == 0:

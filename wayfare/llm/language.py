@@ -26,8 +26,8 @@ NGRAM_ROWS = 1 << 15
 # language's scripts costs.
 SWITCH, WORD_WEIGHT, WRONG_SCRIPT = 6.0, 3.0, 30.0
 MIN_SCRIPT_SHARE = 0.05
-KNOWN_WORDS = 400_000
-BATCH_BYTES = 16 << 20
+KNOWN_WORDS, WORDS_AT_ONCE = 250_000, 20_000
+BATCH_BYTES = 4 << 20
 
 # First code point of each run of Unicode and the script of its
 # letters ("" where several scripts mix).
@@ -144,7 +144,9 @@ class Tagger:
             wider = np.zeros((max(need, 2 * have), self.scores.shape[1]), np.float32)
             wider[:have] = self.scores[:have]
             self.scores = wider
-        self.scores[have:need] = self.model.scores(self.ids.new)
+        for s in range(0, len(self.ids.new), WORDS_AT_ONCE):
+            part = self.ids.new[s:s + WORDS_AT_ONCE]
+            self.scores[have + s:have + s + len(part)] = self.model.scores(part)
         self.ids.new = []
 
     def tag(self, texts: list[bytes]) -> tuple[list[str], np.ndarray, list[str]]:

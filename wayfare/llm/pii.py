@@ -29,7 +29,7 @@ EPOCHS, RATE, DECAY, SEED = 150, 0.1, 1e-3, 42
 # of context on either side.
 LABELLED_ROWS = 5000
 WINDOW_WORDS, CONTEXT_WORDS = 64, 8
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 WINDOWS_AT_ONCE = 8192
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"

@@ -15,13 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import Adam, append_columns, labelled_sample, sigmoid, texts_as_bytes
+from wayfare.llm.common import Adam, append_columns, labelled_sample, row_slices, sigmoid, texts_as_bytes
 
 PASSAGE_WORDS = 64
 # Labelled documents to learn from, and passages of each (evenly spaced).
 SAMPLE_ROWS = 3000
 SAMPLE_PASSAGES = 48
 THRESHOLD = 0.3
+# Texts encoded at once; encoding needs about thirty times as much memory.
+BATCH_BYTES = 2 << 20
 HIDDEN, ATTENTION = 16, 8
 EPOCHS, RATE, SEED = 150, 0.03, 42
 
@@ -31,7 +33,7 @@ CLASSES = 5 + len(SIGNS)
 
 
 def _byte_classes() -> np.ndarray:
-    table = np.zeros(256, np.int64)  # 0: spaces and control bytes
+    table = np.zeros(256, np.uint8)  # 0: spaces and control bytes
     table[ord("a"):ord("z") + 1] = 1
     table[ord("A"):ord("Z") + 1] = 2
     table[ord("0"):ord("9") + 1] = 3
@@ -71,7 +73,7 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     kinds = table[body]
     # every byte belongs to the word begun last (those before any, to the first)
     word_no = np.maximum(np.cumsum(begins, dtype=np.int32) - 1, 0)
-    cell = (row * CLASSES)[word_no]
+    cell = (row * CLASSES).astype(np.int32)[word_no]
     cell += kinds
     out[:, :CLASSES] = np.bincount(cell, minlength=total * CLASSES).reshape(total, CLASSES)
     out[:, 0] = 0
@@ -82,7 +84,7 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     upper = np.add.reduceat((kinds == 2).astype(np.int32), starts)
     # a hash of each word: its bytes weighted by their place (modulo 64)
     weight = np.random.default_rng(SEED).integers(1, 1 << 40, 64, dtype=np.uint64)
-    at = np.arange(len(body)) - starts[word_no]
+    at = np.arange(len(body), dtype=np.int32) - starts.astype(np.int32)[word_no]
     at &= 63
     term = weight[at]
     term *= body
@@ -166,10 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     sample = labelled_sample(docs, labels, label, rows, doc_id, text=text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in row_slices(whole, BATCH_BYTES)):
             texts = texts_as_bytes(batch.column(0))
-            if not texts:
-                continue
             x, first = encode(texts)
             lists = []
             for s, e in zip(first, [*first[1:], len(x)]):
@@ -205,4 +205,4 @@ def score(docs: DataFrame, model: GatedAttention, text: str = "text", threshold:
             yield [pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))]
 
     return append_columns(docs, T.StructType([T.StructField("score", T.DoubleType()),
-                                              T.StructField("predicted", T.IntegerType())]), make)
+                                              T.StructField("predicted", T.IntegerType())]), make, BATCH_BYTES)

@@ -28,8 +28,8 @@ EMBED, HIDDEN, ATTENTION = 6, 6, 6
 NGRAM_ROWS = 1 << 13
 MIN_WORD_TEXTS = 3
 STEPS, BATCH_TEXTS, RATE, SEED = 160, 96, 0.02, 42
-# Distinct words whose inputs a task remembers, and windows run at once.
-KNOWN_WORDS, WINDOWS_AT_ONCE = 400_000, 2048
+# Distinct words whose inputs a task remembers, and words and windows at once.
+KNOWN_WORDS, WORDS_AT_ONCE, WINDOWS_AT_ONCE = 250_000, 20_000, 2048
 EDGE_SIGNS = b".,;:!?|#$%&*<>()[]{}\"'-_/\\=+~^`"
 
 
@@ -289,7 +289,10 @@ class Scorer:
             wider = np.zeros((2, max(need, 2 * have), 3 * HIDDEN), np.float32)
             wider[:, :have] = self.gates[:, :have]
             self.gates = wider
-        self.gates[:, have:need] = self.model.project(self.model.embed(self.model.inputs(self.ids.new)))[:, 1:]
+        for s in range(0, len(self.ids.new), WORDS_AT_ONCE):
+            part = self.ids.new[s:s + WORDS_AT_ONCE]
+            gates = self.model.project(self.model.embed(self.model.inputs(part)))
+            self.gates[:, have + s:have + s + len(part)] = gates[:, 1:]
         self.ids.new = []
 
     def score(self, texts: list[bytes]) -> np.ndarray:
