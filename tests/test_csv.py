@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
 from pyspark.sql import functions as F
 
+from tests.helpers import flight, flights_df
 from wayfare.functions import scalar as S
 from wayfare.sources.csv import N_FIELDS, parse_flight_lines, read_flights_csv, typed_flights
 
@@ -81,3 +82,13 @@ def test_bit_packing_round_trip(spark):
     r = df.select(S.pack_bits("y", "c", 1).alias("cond"), S.pack_bits("d", "i", 8).alias("cell"))
     out = r.select("cond", S.unpack_high("cell", 8).alias("d"), S.unpack_low("cell", 8).alias("i")).collect()
     assert [tuple(x) for x in out] == [(2, 40000, 19), (3, -5, 3)]
+
+
+def test_null_fields_keep_their_place(spark):
+    from wayfare.sources.csv import flights_to_csv_lines
+
+    row = flight(1, "ORD", "JFK", carrier=None)
+    df = flights_df(spark, [row]).withColumn("arr_delay_min", F.lit(None).cast("double"))
+    line = flights_to_csv_lines(df).first().value
+    fields = line.split(",")
+    assert len(fields) == 44 and fields[6] == "" and fields[37] == ""

@@ -10,7 +10,7 @@ import textwrap
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def test_python_udf_runs_without_package_on_workers(tmp_path):
+def test_queries_run_without_package_on_workers(tmp_path):
     script = textwrap.dedent(f"""
         import sys
         sys.path.insert(0, {REPO!r})

@@ -22,6 +22,7 @@ def test_two_leg_totals_all_forms(spark, sf, pairs, total, mean):
 
 def test_loose_legs_and_year_rows(spark):
     assert jobs.two_leg_join_first_left(spark, SF001).collect()[0].n_pairs == 344
+    assert jobs.two_leg_join_first_both(spark, SF001).collect()[0].n_pairs == 221  # exclusive legs
     assert jobs.two_leg_year_2007_rows(spark, SF001).count() == 175
     assert jobs.two_leg_pairs(spark, SF001).count() == 221
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF001
 from tests.helpers import flight, flights_df
 from wayfare.operators import keyed as K
+from wayfare.plans import jobs
 
 
 def test_key_bytes_and_order(spark):
@@ -82,7 +83,7 @@ def test_range_layout_and_hot_key_copies(spark, tmp_path):
     out = str(tmp_path / "hot")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
     try:
-        K.write_keyed_table(copies.unionByName(rows), out)
+        K.write_keyed_table(copies.unionByName(rows).repartition(8), out)  # several map tasks
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
     assert n_one >= 1
@@ -154,3 +155,35 @@ def test_publish_dir_keeps_first_writer(spark, tmp_path):
     assert spark.read.parquet(target).count() == 3
     import os
     assert not os.path.exists(b)
+
+
+def test_every_file_ascends_and_the_table_reads_by_name(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    rows = K.keyed_rows(jobs.flight_rows(spark, SF001), spark)
+    K.write_keyed_table(rows, path)
+    read = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    for part in read.select("file").distinct().collect():
+        keys = [bytes(r.rowkey) for r in spark.read.parquet(part.file).select("rowkey").collect()]
+        assert keys == sorted(keys)
+    schema = ", ".join(f"{c} {t}" for c, t in read.drop("file").dtypes)
+    try:
+        assert K.create_table_if_absent(spark, "wayfare_by_name", path, schema)
+        assert spark.table("wayfare_by_name").count() == rows.count()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS wayfare_by_name")
+
+
+def test_unknown_carrier_index_raises(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    assert [r.carrier for r in K.index_to_carrier(spark.sql("select 0 as carrier_idx"), spark).collect()] == ["9E"]
+    with pytest.raises(PySparkException, match="unknown carrier index: 99"):
+        K.index_to_carrier(spark.sql("select 99 as carrier_idx"), spark).collect()
+
+
+def test_packed_scan_opens_one_partition(spark, tmp_path):
+    path = str(tmp_path / "packed")
+    K.write_keyed_table(K.keyed_rows(jobs.flight_rows(spark, SF001), spark), path)
+    plan = K.scan_packed(spark, path, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "(year" in plan.split("PartitionFilters")[1].split("]")[0]

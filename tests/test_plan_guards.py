@@ -6,8 +6,9 @@ import __spark_entry__ as E
 from tests.conftest import SF001
 from wayfare.plans.inspect import final_plan
 
-NAMES = sorted(E.queries())
-PYTHON_ALLOWED = {"word_count_partition_tally"}
+from wayfare.plans import QUERIES
+
+NAMES = sorted(QUERIES)
 PAIR_OUTPUT = {"two_leg_pairs", "two_leg_year_2007_rows"}
 
 
@@ -25,7 +26,8 @@ def test_no_quadratic_or_python_operators(plans, name):
     plan = plans[name]
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     python = any(k in plan for k in ("MapInArrow", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"))
-    assert python == (name in PYTHON_ALLOWED)
+    assert not python
+    assert "RoundRobinPartitioning" not in plan
 
 
 @pytest.mark.parametrize("name", NAMES)

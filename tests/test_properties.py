@@ -35,7 +35,7 @@ def test_tally_forms_agree(spark, texts):
     toks = W.letter_tokens(df, keep=["doc_id"])
     a1 = {r.word: r.n for r in W.word_count(toks).collect()}
     a2 = {r.word: r.n for r in W.roll_up_term_frequency(W.doc_term_frequency(toks)).collect()}
-    a3 = {r.word: r.n for r in W.word_count_by_partition_tally(toks).collect()}
+    a3 = {r.word: r.n for r in W.word_count_native_tally(toks).collect()}
     assert a1 == a2 == a3
 
 

@@ -82,3 +82,12 @@ def test_single_row_double_format(spark, tmp_path):
     df = spark.createDataFrame([(466756, 23651106.0, 50.67124150519758)], "n long, s double, a double")
     write_single_row(df, out)
     assert open(glob.glob(out + "/part-*")[0]).read() == "466756\t2.3651106E7\t50.67124150519758\n"
+
+
+def test_dump_writes_every_row(spark, tmp_path):
+    from wayfare.sinks import dump
+
+    out = str(tmp_path / "dump")
+    dump(spark.range(50).selectExpr("id", "nullif(id, 7) as b"), out)
+    lines = {r.value for r in spark.read.text(out).collect()}
+    assert lines == {f"({i},{'' if i == 7 else i})" for i in range(50)}

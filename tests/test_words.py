@@ -51,18 +51,11 @@ def test_three_local_aggregation_forms_agree(spark):
     toks = jobs._letter_tokens(spark, SF001)
     a1 = W.word_count(toks)
     a2 = W.roll_up_term_frequency(W.doc_term_frequency(jobs._letter_tokens(spark, SF001, keep=["doc_id"])))
-    a3 = W.word_count_by_partition_tally(toks)
     a3n = W.word_count_native_tally(toks)
-    for other in (a2, a3, a3n):
+    for other in (a2, a3n):
         assert a1.exceptAll(other).count() == 0 and other.exceptAll(a1).count() == 0
 
 
-def test_tally_flushes_keep_results_whole(spark):
-    toks = jobs._letter_tokens(spark, SF001)
-    small = W.partition_tally(toks, max_keys=50).groupBy("word").agg(F.sum("n").alias("n"))
-    assert small.exceptAll(W.word_count(toks)).count() == 0
-
-
 def test_word_count_plan_has_partial_aggregate(spark):
     plan = jobs.word_count(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
@@ -80,13 +73,3 @@ def test_document_lines_split(spark):
 
     lines = [r.value for r in document_lines(_docs(spark, ["a\nb\r\nc\rd"])).collect()]
     assert lines == ["a", "b", "c", "d"]
-
-
-def test_spread_only_for_small_scans(spark, tmp_path):
-    from wayfare.sources.tables import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores * 2)
-    assert spread(many).rdd.getNumPartitions() == cores * 2

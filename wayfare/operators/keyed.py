@@ -25,6 +25,7 @@ from wayfare.functions.scalar import (
     unpack_high,
     unpack_low,
 )
+from wayfare.session import path_exists
 
 # Carrier dictionary, code at index 0..19.
 CARRIER_CODES = [
@@ -62,9 +63,11 @@ def carrier_to_index(df: DataFrame, spark: SparkSession, strict: bool = True) ->
 
 
 def index_to_carrier(df: DataFrame, spark: SparkSession, idx: str = "carrier_idx") -> DataFrame:
-    """J6 index -> code by broadcast lookup."""
+    """J6 index -> code by broadcast lookup; an unknown index raises."""
     dim = F.broadcast(carrier_dictionary(spark).withColumnRenamed("carrier_idx", idx))
-    return df.join(dim, on=idx, how="inner")
+    unknown = F.raise_error(F.concat(F.lit("unknown carrier index: "), F.col(idx).cast("string")))
+    return df.join(dim, on=idx, how="left").withColumn(
+        "carrier", F.coalesce(F.col("carrier"), F.when(F.col("carrier").isNull(), unknown.cast("string"))))
 
 
 def row_key(parts: list[tuple[str, int]] = KEY_PARTS) -> Column:
@@ -141,7 +144,8 @@ def write_keyed_table(rows: DataFrame, path: str, mode: str = "overwrite",
                   else rows.repartitionByRange("rowkey"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    (shaped.sortWithinPartitions("rowkey")
+    # the writer needs rows by partition; a sort that starts with it is kept as it is
+    (shaped.sortWithinPartitions(*PARTITION_COLS, "rowkey")
      .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path))
 
 
@@ -154,6 +158,8 @@ def create_table_if_absent(spark: SparkSession, name: str, path: str, schema: st
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
         f"PARTITIONED BY ({', '.join(PARTITION_COLS)}) LOCATION '{path}'")
+    if path_exists(spark, path):  # else there are no partitions yet to recover
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return True
 
 
@@ -193,10 +199,11 @@ def decode_key(df: DataFrame) -> DataFrame:
 
 def scan_packed(spark: SparkSession, path: str, cond: int) -> DataFrame:
     """S5 / P13 in the compact form: a value predicate on the packed
-    ``cond`` column (pushed to Parquet; every file holds one cond value, so
-    row-group statistics skip the rest), with delay and carrier index
+    ``cond`` column (pushed to Parquet) and on the partition it names, so no
+    other file is opened, with delay and carrier index
     decoded from ``cell`` (F12)."""
-    t = spark.read.parquet(path).where(F.col("cond") == cond)
+    t = spark.read.parquet(path).where(
+        (F.col("cond") == cond) & (F.col("year") == BASE_YEAR + (cond >> 1)) & (F.col("cancelled") == (cond & 1)))
     return t.select(
         "month",
         unpack_high("cell", 8).cast("int").alias("delay"),

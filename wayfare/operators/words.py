@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.predicates import DEFAULT_LETTERS, starts_with_letter
 from wayfare.functions.scalar import first_char
-from wayfare.operators import arrow_tally
 
 # Fixed value: the tokeniser's delimiters are exactly space, tab, LF, CR and
 # FF (not ``\s``, which would also split on vertical tab).
@@ -52,17 +51,6 @@ def roll_up_term_frequency(tf: DataFrame) -> DataFrame:
 
 
 # A per-partition tally with task-lifetime state, run as Arrow
-# batches (see ``arrow_tally``; shipped by value to the Python workers).
-def partition_tally(words: DataFrame, max_keys: int = 1 << 20) -> DataFrame:
-    """A3: (word, n) partial counts, at most one row per word per flush."""
-    return words.select("word").mapInArrow(arrow_tally.partition_tally(max_keys), "word string, n long")
-
-
-def word_count_by_partition_tally(words: DataFrame) -> DataFrame:
-    """A3 then the global sum; equals ``word_count``."""
-    return partition_tally(words).groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def word_count_native_tally(words: DataFrame) -> DataFrame:
     """A3, JVM form: tally per input partition, then the global sum."""
     per_part = words.groupBy(F.spark_partition_id().alias("pid"), "word").agg(

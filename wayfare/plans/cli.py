@@ -1,6 +1,6 @@
 """Command-line jobs over real input files, writing result files.
 
-    python -m wayfare wordcount <text path> <out dir>   [--letters mnopq] [--reducers 1]
+    python -m wayfare wordcount <text path> <out dir>   [--letters mnopq] [--reducers N]
     python -m wayfare twoleg    <csv path>  <out dir>   [--origin ORD --dest JFK]
     python -m wayfare monthly   <csv path>  <out dir>   [--year 2008]
     python -m wayfare populate  <csv path>  <table dir>
@@ -36,11 +36,11 @@ from wayfare.sources.text import read_lines
 
 
 def word_count_job(spark: SparkSession, src: str, out: str, letters: str = DEFAULT_LETTERS,
-                   reducers: int = 1, mode: str = "errorifexists") -> None:
-    """Q1: ``word<TAB>n`` part files, one per initial-letter partition, each
-    sorted by word."""
+                   reducers: int | None = None, mode: str = "errorifexists") -> None:
+    """Q1: ``word<TAB>n`` part files, each sorted by word; ``reducers`` routes
+    the words by initial to that many files."""
     counts = W.word_count(W.letter_tokens(read_lines(spark, src), text_col="value", letters=letters))
-    routed = W.route_by_initial(counts, reducers, letters).drop("part")
+    routed = W.route_by_initial(counts, reducers, letters).drop("part") if reducers else counts
     write_key_value_text(routed, out, "word", "n", mode=mode)
 
 
@@ -103,7 +103,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("input")
     ap.add_argument("output")
     ap.add_argument("--letters", default=DEFAULT_LETTERS)
-    ap.add_argument("--reducers", type=int, default=1)
+    ap.add_argument("--reducers", type=int, default=None)
     ap.add_argument("--origin", default=C.ORIGIN)
     ap.add_argument("--dest", default=C.DEST)
     ap.add_argument("--year", type=int, default=M.TARGET_YEAR)

@@ -26,7 +26,7 @@ from wayfare.sources.csv import (
 )
 from wayfare.sources.text import document_lines, read_lines
 from wayfare.sources.flights import LINEITEM_COLUMNS, flights
-from wayfare.sources.tables import read_table, spread
+from wayfare.sources.tables import read_table
 
 WORD_PARTITIONS = 3
 CARRIER_PARTITIONS = 4
@@ -36,11 +36,11 @@ WRITE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 
 # ---------------------------------------------------------------- inputs
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return read_table(spark, sf_dir, "documents", ["doc_id", "text"])
 
 
 def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flights(spark, spread(read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS)))
+    return flights(spark, read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS))
 
 
 def _letter_tokens(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def word_count_from_doc_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_count_partition_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.word_count_by_partition_tally(_letter_tokens(spark, sf_dir))
+    return W.word_count_native_tally(_letter_tokens(spark, sf_dir))
 
 
 def word_partition_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,10 +95,10 @@ def two_leg_band_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _join_first(spark: SparkSession, sf_dir: str, both: bool) -> DataFrame:
-    """P6 + P11 legs without a date window, J2 join, J3 time filter and the
-    P8 (left) / P9 (both) window applied to the joined rows; Catalyst pushes
-    the window below the join."""
-    b = _buckets(spark, sf_dir, window=None, rule="accept", loose=True,
+    """P11 legs without a date window, J2 join, J3 time filter and the window
+    applied to the joined rows: P8 (left) over the loose legs P6, P9 (both)
+    over the exclusive legs P5. Catalyst pushes the window below the join."""
+    b = _buckets(spark, sf_dir, window=None, rule="accept", loose=not both,
                  extra_keys=["year", "month"])
     joined = C.bucket_join(b, extra=["year", "month"])
     cond = in_year_month_window(*C.WINDOW, year="year1", month="month1")
@@ -166,7 +166,7 @@ def keyed_populate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"]))
+    li = read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"])
     fl = flights(spark, li, extra=WRITE_ORDER)
     rows = K.keyed_rows(fl, spark, extra=WRITE_ORDER)
     last = K.upsert_last(rows, ["l_orderkey", "l_linenumber"], WRITE_ORDER)
@@ -296,13 +296,13 @@ def flight_csv_files(spark: SparkSession, sf_dir: str, rebuild: bool = False) ->
 
 def word_count_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 + P1 + P2 + A1 over text files read line by line."""
-    lines = spread(read_lines(spark, document_text_files(spark, sf_dir)))
+    lines = read_lines(spark, document_text_files(spark, sf_dir))
     return W.word_count(W.letter_tokens(lines, text_col="value"))
 
 
 def _csv_flights(spark: SparkSession, sf_dir: str, keep: list | None = None) -> DataFrame:
     """Flights parsed from the CSV files with the strict rules."""
-    fields = spread(read_flights_csv(spark, flight_csv_files(spark, sf_dir)))
+    fields = read_flights_csv(spark, flight_csv_files(spark, sf_dir))
     return typed_flights(fields, mode="strict", keep=keep)
 
 

@@ -68,7 +68,7 @@ TWO_LEG_JOIN_FIRST_LEFT = (
     + TOTALS + f" WHERE {_JF_WIN('a')}")
 
 TWO_LEG_JOIN_FIRST_BOTH = (
-    f"WITH {FLIGHTS}, {_legs(loose=True, rule='accept', window=False, keep=', year, month')} "
+    f"WITH {FLIGHTS}, {_legs(rule='accept', window=False, keep=', year, month')} "
     + TOTALS + f" WHERE {_JF_WIN('a')} AND {_JF_WIN('b')}")
 
 TWO_LEG_UNION_AVG = f"""WITH {FLIGHTS}, {_legs(rule='accept')},

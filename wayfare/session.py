@@ -98,6 +98,11 @@ def input_token(spark: SparkSession, paths: list[str], salt: str = "") -> str:
     return digest[:16]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """True when a completed Spark write left its ``_SUCCESS`` marker."""
     p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")

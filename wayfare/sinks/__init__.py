@@ -6,7 +6,7 @@ from wayfare.sinks.files import (
     write_lines,
     write_average_delay,
     write_named_parts,
-    show,
+    dump,
 )
 
-__all__ = ["write_key_value_text", "write_single_row", "write_lines", "write_average_delay", "write_named_parts", "show"]
+__all__ = ["write_key_value_text", "write_single_row", "write_lines", "write_average_delay", "write_named_parts", "dump"]

@@ -29,9 +29,11 @@ def write_lines(df: DataFrame, path: str, column: str = "line", line_sep: str =
     df.select(F.col(column).alias("value")).write.mode(mode).option("lineSep", line_sep).text(path)
 
 
-def show(df: DataFrame, n: int = 20) -> None:
-    """K6: print a (limited) relation."""
-    df.show(n, truncate=False)
+def dump(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """K6: the whole relation, one parenthesised line a row, NULL empty."""
+    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    line = F.concat(F.lit("("), F.concat_ws(",", *fields), F.lit(")"))
+    write_lines(df.select(line.alias("line")), path, line_sep="\n", mode=mode)
 
 
 def write_average_delay(text: DataFrame, out_dir: str, mode: str = "overwrite") -> str:

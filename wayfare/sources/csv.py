@@ -123,14 +123,15 @@ def flights_to_csv_lines(flights: DataFrame, extra: dict[int, Column] | None = N
         17: _quoted(F.col("dest")),
         24: _quoted(F.col("dep_time")),
         35: _quoted(F.col("arr_time")),
-        37: F.format_string("%.2f", F.col("arr_delay_min")),
-        41: F.format_string("%.2f", F.col("cancelled").cast("double")),
-        43: F.format_string("%.2f", F.col("diverted").cast("double")),
+        37: F.when(F.col("arr_delay_min").isNotNull(), F.format_string("%.2f", F.col("arr_delay_min"))),
+        41: F.when(F.col("cancelled").cast("double").isNotNull(), F.format_string("%.2f", F.col("cancelled").cast("double"))),
+        43: F.when(F.col("diverted").cast("double").isNotNull(), F.format_string("%.2f", F.col("diverted").cast("double"))),
     }
     for pos, c in (extra or {}).items():
         if pos in by_pos:
             raise ValueError(f"position {pos} is already used")
         by_pos[pos] = c
     by_pos.update(replace or {})
-    fields = [by_pos.get(i, F.lit("")) for i in range(N_FIELDS)]
+    # a NULL is an empty field; it must not shift those after it
+    fields = [F.coalesce(by_pos.get(i, F.lit("")), F.lit("")) for i in range(N_FIELDS)]
     return flights.select(F.concat_ws(",", *fields).alias("value"))

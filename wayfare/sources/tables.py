@@ -13,20 +13,3 @@ def read_table(
     """Scan one table; naming ``columns`` keeps the Parquet ReadSchema narrow."""
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a tiny scan at least one partition per core.
-
-    A small file written as one row group yields a single scan task, which
-    leaves heavy per-row work (tokenising long texts) on one core. Only
-    when the scan has fewer partitions than the cluster has cores is it
-    round-robin split; on large inputs the scan already has thousands of
-    splits and this is a no-op, so no extra shuffle is added at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(cores) if parts < cores else df
