@@ -34,7 +34,7 @@ CARRIER_CODES = [
 ]
 BASE_YEAR = 2007
 # Bumped whenever the stored layout or key encoding changes.
-LAYOUT_VERSION = "keyed-v2"
+LAYOUT_VERSION = "keyed-v3"
 
 # (column, bytes) of the row key, in key order.
 KEY_PARTS = [
