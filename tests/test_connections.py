@@ -252,3 +252,16 @@ def test_two_job_chain_through_part_files(spark, tmp_path):
     merged = C.merge_partials(read_tab_parts(spark, out, "n_pairs long, sum_delay long")).collect()[0]
     direct = C.totals_running(b).collect()[0]
     assert tuple(merged) == tuple(direct) == (221, 3722, pytest.approx(16.84162895927602))
+
+
+def test_union_average_keeps_fractions_and_skips_nulls(spark):
+    def average(first, second):
+        rows = flights_df(spark, [flight(1, "ORD", "LAX", arr="0900", delay=first or 0),
+                                  flight(2, "LAX", "JFK", dep="1000", delay=second or 0)])
+        if first is None:
+            rows = rows.withColumn("arr_delay_min", F.expr("if(l_orderkey = 1, null, arr_delay_min)"))
+        legs = C.tag_legs(rows, rule="accept", exact=True)
+        return C.union_average(C.bucket_join(C.time_buckets(legs))).collect()[0].avg_delay
+
+    assert average(5.9, 7.9) == 13.8
+    assert average(None, 7) == 14.0

@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from tests.helpers import flight, flights_df
 from wayfare.functions import scalar as S
-from wayfare.sources.csv import N_FIELDS, parse_flight_lines, read_flights_csv, typed_flights
+from wayfare.functions.predicates import leg1_exclusive, leg2_exclusive
+from wayfare.operators import connections as C
+from wayfare.sources.csv import (
+    N_FIELDS,
+    field_count,
+    parse_flight_lines,
+    read_flights_csv,
+    two_leg_flights,
+    typed_flights,
+)
 
 
 def _line(**fields):
@@ -92,3 +101,43 @@ def test_null_fields_keep_their_place(spark):
     line = flights_to_csv_lines(df).first().value
     fields = line.split(",")
     assert len(fields) == 44 and fields[6] == "" and fields[37] == ""
+
+
+_LEG = dict(year="2007", month="7", flight_date="2007-07-01", carrier="AA", dep_time="0900", arr_time="1000",
+            arr_delay_min="5.90", cancelled="0.00", diverted="0.00")
+
+
+def test_wide_lines_are_read_and_short_ones_raise(spark, tmp_path):
+    line = _line(**_LEG, origin='"ORD"', dest="LAX")
+    wide = line + ',"a, b",x' + "," * 60
+    (tmp_path / "wide.csv").write_text(f"{wide}\n\n{line}\n")
+    rows = typed_flights(read_flights_csv(spark, str(tmp_path / "wide.csv"))).collect()
+    assert [(r.origin, r.arr_delay_min, r.diverted) for r in rows] == [("ORD", 5.9, 0)] * 2
+    short = spark.createDataFrame([(line.rsplit(",", 1)[0],)], "value string")
+    with pytest.raises(SPARK_ERRORS):  # also where no missing field is asked for
+        parse_flight_lines(short).select("origin_raw").collect()
+
+
+def test_commas_in_quotes_are_no_fields(spark):
+    df = spark.createDataFrame([('a,"b,c ""d,e""",f',), ("",), (None,)], "value string")
+    assert [r.n for r in df.select(field_count(F.col("value")).alias("n")).collect()] == [3, 1, None]
+
+
+def test_two_leg_job_parses_only_what_it_reaches(spark, tmp_path):
+    lines = [
+        _line(year="Year", month="Month", origin="Origin", dest="Dest", cancelled="Cancelled"),  # a header
+        _line(**_LEG | {"cancelled": ""}, origin="SEA", dest="ATL"),  # another route
+        _line(**_LEG | {"year": "2006", "month": "x"}, origin="ORD", dest="LAX"),  # another year
+        _line(**_LEG | {"cancelled": "1.00", "arr_delay_min": ""}, origin="ORD", dest="LAX"),  # not flown
+        _line(**_LEG, origin="ORD", dest="LAX"),
+        _line(**_LEG | {"dep_time": "1001", "arr_delay_min": "7.90"}, origin="LAX", dest="JFK"),
+    ]
+
+    def totals(some):
+        fields = parse_flight_lines(spark.createDataFrame([(x,) for x in some], "value string"))
+        legs = leg1_exclusive("ORD", "JFK") | leg2_exclusive("ORD", "JFK")
+        return C.totals_running(C.time_buckets(C.tag_legs(two_leg_flights(fields, legs, C.WINDOW)))).collect()[0]
+
+    assert tuple(totals(lines)) == (1, 12, 12.0)
+    with pytest.raises(SPARK_ERRORS):  # a delay that is read must be a number
+        totals(lines + [_line(**_LEG | {"arr_delay_min": ""}, origin="ORD", dest="LAX")])

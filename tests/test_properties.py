@@ -39,8 +39,6 @@ def test_tally_forms_agree(spark, texts):
     assert a1 == a2 == a3
 
 
-import math  # noqa: E402
-
 from tests.helpers import flight, flights_df  # noqa: E402
 from wayfare.operators import keyed as K  # noqa: E402
 from wayfare.operators import monthly as M  # noqa: E402
@@ -67,12 +65,8 @@ def test_monthly_ceiling_matches_model(spark, rows):
             groups.setdefault((c, m), []).append(d)
     assert {k: n for k, (n, _) in got.items()} == {k: len(v) for k, v in groups.items()}
     for k, v in groups.items():
-        mean = sum(v) / len(v)
-        on_integer = abs(mean - round(mean)) < 1e-9  # summation order may tip the ceiling
-        if not on_integer:
-            assert got[k][1] == math.ceil(mean)
-        else:
-            assert got[k][1] in (round(mean), round(mean) + 1)
+        cents = sum(round(x * 100) for x in v)  # exact
+        assert got[k][1] == -(-cents // (100 * len(v)))
 
 
 _key = st.fixed_dictionaries({

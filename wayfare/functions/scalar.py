@@ -50,6 +50,14 @@ def mean_or_zero(total: ColumnOrName, n: ColumnOrName) -> Column:
     return F.when(_col(n) > 0, _col(total) / _col(n)).otherwise(F.lit(0.0))
 
 
+# F5 over F14: ceiling of a mean, 0 for an empty group. ``total`` is a decimal, so the
+# remainder is exact and the ceiling does not depend on rounding or on the order of the sum.
+def ceil_mean(total: ColumnOrName, n: ColumnOrName) -> Column:
+    rest = F.pmod(_col(total), _col(n))
+    whole = ((_col(total) - rest) / _col(n)).cast("int") + F.when(rest > 0, 1).otherwise(0)
+    return F.when(_col(n) > 0, whole).otherwise(0)
+
+
 # ceiling to int (ceil alone returns bigint).
 def ceil_int(c: ColumnOrName) -> Column:
     return F.ceil(_col(c)).cast("int")

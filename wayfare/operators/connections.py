@@ -43,6 +43,7 @@ WINDOW = ((2007, 6), (2008, 5))
 
 KEY = ["flight_date", "transit"]
 BIG = "bigint"
+DELAY = "decimal(18,6)"
 
 
 def tag_legs(
@@ -53,13 +54,15 @@ def tag_legs(
     rule: str = "reject",
     loose: bool = False,
     keep: list[str] | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """One pass that emits (flight_date, transit, t, d, leg).
 
     ``loose`` uses the one-sided leg rules (a record may then be both legs);
     ``rule`` is ``reject`` (drop flag == 1 after truncation) or ``accept``
     (keep flag == 0); ``window`` filters on the record's year/month, None
-    to skip. ``keep`` carries extra columns (e.g. year, month, ids).
+    to skip. ``keep`` carries extra columns (e.g. year, month, ids). The delay
+    ``d`` is truncated to an int; ``exact`` keeps it, to six decimal places.
 
     With exclusive rules a record is at most one leg (a CASE); with loose
     rules it may be both, so legs come from a small generator.
@@ -85,29 +88,32 @@ def tag_legs(
         "flight_date",
         F.when(is1, F.col("dest")).otherwise(F.col("origin")).alias("transit"),
         F.when(is1, F.col("arr_time")).otherwise(F.col("dep_time")).alias("t"),
-        F.col("arr_delay_min").cast("int").alias("d"),
+        F.col("arr_delay_min").cast(DELAY if exact else "int").alias("d"),
         "leg",
     )
 
 
 def time_buckets(tagged: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
     """Pre-aggregate both legs: one row per (date, transit, t[, extra]) with a
-    struct ``legs`` = (n1, s1, n2, s2): leg-1 arrivals and their delay sum,
-    leg-2 departures and theirs, at that time.
+    struct ``legs`` = (n1, s1, m1, n2, s2, m2): leg-1 arrivals, the sum and the
+    count of their delays that are not NULL, and the same of leg-2 departures,
+    at that time.
 
-    The sums travel as one struct so that Catalyst keeps all four in the
+    The sums travel as one struct so that Catalyst keeps all of them in the
     aggregate whichever of them a consumer reads; the two sides of a bucket
     join then have identical subtrees and share one scan and one shuffle
     (``ReusedExchange``) instead of each re-reading the input."""
     keys = KEY + ["t"] + (extra_keys or [])
-    zero = F.lit(0).cast(BIG)
+    total = BIG if dict(tagged.dtypes)["d"] == "int" else "decimal(28,6)"
 
-    def part(leg: int, v: Column) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("leg") == leg, v)).cast(BIG), zero)
+    def part(leg: int, v: Column, kind: str = BIG) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("leg") == leg, v)).cast(kind), F.lit(0).cast(kind))
 
-    return tagged.groupBy(*keys).agg(F.struct(
-        part(1, F.lit(1)).alias("n1"), part(1, F.col("d")).alias("s1"),
-        part(2, F.lit(1)).alias("n2"), part(2, F.col("d")).alias("s2")).alias("legs"))
+    known = F.when(F.col("d").isNotNull(), 1)
+    return tagged.groupBy(*keys).agg(F.struct(*[
+        c for i in (1, 2) for c in (
+            part(i, F.lit(1)).alias(f"n{i}"), part(i, F.col("d"), total).alias(f"s{i}"),
+            part(i, known).alias(f"m{i}"))]).alias("legs"))
 
 
 def _leg(field: str) -> Column:
@@ -177,7 +183,7 @@ def _sides(buckets: DataFrame, extra: list[str] | None = None) -> tuple[DataFram
     def side(tag: str) -> DataFrame:
         return buckets.where(_leg(f"n{tag}") > 0).select(
             *KEY, F.col("t").alias(f"t{tag}"), _leg(f"n{tag}").alias(f"n{tag}"),
-            _leg(f"s{tag}").alias(f"s{tag}"), *[F.col(c).alias(f"{c}{tag}") for c in extra])
+            _leg(f"s{tag}").alias(f"s{tag}"), _leg(f"m{tag}").alias(f"m{tag}"), *[F.col(c).alias(f"{c}{tag}") for c in extra])
 
     return side("1"), side("2")
 
@@ -216,10 +222,8 @@ def band_prune(buckets: DataFrame) -> DataFrame:
     pruned = step2.select(
         *[c for c in buckets.columns if c != "legs"],
         F.struct(
-            F.when(keep1, _leg("n1")).otherwise(zero).alias("n1"),
-            F.when(keep1, _leg("s1")).otherwise(zero).alias("s1"),
-            F.when(keep2, _leg("n2")).otherwise(zero).alias("n2"),
-            F.when(keep2, _leg("s2")).otherwise(zero).alias("s2")).alias("legs"),
+            *[F.when(kept, _leg(f"{field}{i}")).otherwise(zero).alias(f"{field}{i}")
+              for i, kept in ((1, keep1), (2, keep2)) for field in "nsm"]).alias("legs"),
     )
     return pruned.where((_leg("n1") > 0) | (_leg("n2") > 0))
 
@@ -245,13 +249,13 @@ def union_average(joined: DataFrame) -> DataFrame:
     """U1 + A6: average over the bag union of both legs' delays, times two.
 
     Each joined bucket pair stands for n1*n2 flight pairs; leg 1 contributes
-    delay s1*n2 and leg 2 n1*s2 over that many values. The two delay
-    relations are bag-unioned (duplicates kept) and averaged."""
-    w = F.col("n1") * F.col("n2")
+    delay s1*n2 over m1*n2 delays that are not NULL, and leg 2 n1*s2 over
+    n1*m2. The two delay relations are bag-unioned (duplicates kept) and
+    averaged; like any average, it skips NULLs."""
     u = bag_union_of_projections(
         joined,
-        [w.alias("n"), (F.col("s1") * F.col("n2")).alias("s")],
-        [w.alias("n"), (F.col("n1") * F.col("s2")).alias("s")],
+        [(F.col("m1") * F.col("n2")).alias("n"), (F.col("s1") * F.col("n2")).alias("s")],
+        [(F.col("n1") * F.col("m2")).alias("n"), (F.col("n1") * F.col("s2")).alias("s")],
     )
     n, s = F.sum("n"), F.sum("s")
     return u.agg(F.when(n > 0, s.cast("double") / n.cast("double") * 2).alias("avg_delay"))

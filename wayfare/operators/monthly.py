@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfare.functions.predicates import not_flagged, year_and_valid_month
-from wayfare.functions.scalar import ceil_int, mean_or_zero
+from wayfare.functions.scalar import ceil_mean
 
 TARGET_YEAR = 2008
 MONTHS = list(range(1, 13))
@@ -33,10 +33,13 @@ def monthly_input(flights: DataFrame, year: int = TARGET_YEAR, truncate: bool =
 
 
 def monthly_delay(rows: DataFrame) -> DataFrame:
-    """A7 + F5 + F14: (carrier, month, n, sum_delay, avg_delay=ceil(mean))."""
+    """A7 + F5 + F14: (carrier, month, n, sum_delay, avg_delay=ceil(mean)).
+    Delays are summed as decimals of six places, so the order of rows and
+    tasks cannot change the ceiling."""
     agg = rows.groupBy("carrier", "month").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("delay").alias("sum_delay"))
-    return agg.withColumn("avg_delay", ceil_int(mean_or_zero("sum_delay", "n")))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("delay").cast("decimal(18,6)")).alias("total"))
+    return agg.select("carrier", "month", "n", F.col("total").cast("double").alias("sum_delay"),
+                      ceil_mean("total", "n").alias("avg_delay"))
 
 
 def monthly_vector(long: DataFrame, value: str = "avg_delay") -> DataFrame:

@@ -20,7 +20,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.functions.predicates import DEFAULT_LETTERS
+from wayfare.functions.predicates import DEFAULT_LETTERS, leg1_exclusive, leg2_exclusive
 from wayfare.operators import connections as C
 from wayfare.operators import keyed as K
 from wayfare.operators import monthly as M
@@ -31,7 +31,7 @@ from wayfare.sinks import (
     write_named_parts,
     write_single_row,
 )
-from wayfare.sources.csv import read_flights_csv, typed_flights
+from wayfare.sources.csv import read_flights_csv, two_leg_flights, typed_flights
 from wayfare.sources.text import read_lines
 
 
@@ -53,7 +53,9 @@ def two_leg_job(spark: SparkSession, src: str, out: str, origin: str = C.ORIGIN,
     """Q2: one line ``n_pairs<TAB>sum_delay<TAB>avg_delay``; the sum is
     written as a double (``2.3651106E7`` style), as the original result file
     has it."""
-    tagged = C.tag_legs(_strict_flights(spark, src), origin=origin, dest=dest)
+    legs = leg1_exclusive(origin, dest) | leg2_exclusive(origin, dest)
+    flights = two_leg_flights(read_flights_csv(spark, src), legs, C.WINDOW)
+    tagged = C.tag_legs(flights, origin=origin, dest=dest)
     totals = C.totals_running(C.time_buckets(tagged))
     line = totals.select("n_pairs", F.col("sum_delay").cast("double").alias("sum_delay"), "avg_delay")
     write_single_row(line, out, mode=mode)

@@ -11,7 +11,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.functions.predicates import in_year_month_window
+from wayfare.functions.predicates import in_year_month_window, leg1_exclusive, leg2_exclusive
 from wayfare.operators import connections as C
 from wayfare.operators import keyed as K
 from wayfare.operators import layout as L
@@ -22,10 +22,11 @@ from wayfare.sources.csv import (
     flights_to_csv_lines,
     parse_flight_lines,
     read_flights_csv,
+    two_leg_flights,
     typed_flights,
 )
 from wayfare.sources.text import document_lines, read_lines
-from wayfare.sources.flights import LINEITEM_COLUMNS, flights
+from wayfare.sources.flights import LINEITEM_COLUMNS, flights, rough_flights
 from wayfare.sources.tables import read_table
 
 WORD_PARTITIONS = 3
@@ -43,6 +44,14 @@ def flight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flights(spark, read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS))
 
 
+def rough_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rough_flights(spark, flight_rows(spark, sf_dir))
+
+
+def _known_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rough_rows(spark, sf_dir).where(F.col("arr_delay_min").isNotNull())
+
+
 def _letter_tokens(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     return W.letter_tokens(documents(spark, sf_dir), keep=keep)
 
@@ -73,9 +82,9 @@ def letter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------- Q2: connections
-def _buckets(spark: SparkSession, sf_dir: str, **tag_args) -> DataFrame:
+def _buckets(spark: SparkSession, sf_dir: str, rows=flight_rows, **tag_args) -> DataFrame:
     extra = tag_args.pop("extra_keys", None)
-    tagged = C.tag_legs(flight_rows(spark, sf_dir), keep=extra, **tag_args)
+    tagged = C.tag_legs(rows(spark, sf_dir), keep=extra, **tag_args)
     return C.time_buckets(tagged, extra)
 
 
@@ -117,7 +126,34 @@ def two_leg_join_first_both(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_leg_union_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U1 + A6 with the accept rule (filter-first form)."""
-    return C.union_average(C.bucket_join(_buckets(spark, sf_dir, rule="accept")))
+    return C.union_average(C.bucket_join(_buckets(spark, sf_dir, rule="accept", exact=True)))
+
+
+def two_leg_join_first_avg(spark: SparkSession, sf_dir: str, rows=flight_rows) -> DataFrame:
+    """U1 + A6 over the loose legs P6 with the left window P8."""
+    b = _buckets(spark, sf_dir, rows, window=None, rule="accept", loose=True, exact=True,
+                 extra_keys=["year", "month"])
+    joined = C.bucket_join(b, extra=["year", "month"])
+    return C.union_average(joined.where(in_year_month_window(*C.WINDOW, year="year1", month="month1")))
+
+
+def two_leg_running_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + A4 + A5 over delays that are not whole, a flag of 2 and a month of 0."""
+    return C.totals_running(_buckets(spark, sf_dir, _known_delay))
+
+
+def two_leg_union_avg_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 + A6 over delays that are NULL or not whole and a flag of 2."""
+    return C.union_average(C.bucket_join(_buckets(spark, sf_dir, rough_rows, rule="accept", exact=True)))
+
+
+def two_leg_join_first_avg_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return two_leg_join_first_avg(spark, sf_dir, rough_rows)
+
+
+def monthly_delay_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 over delays that are not whole, a flag of 2 and a month of 0."""
+    return M.monthly_delay(M.monthly_input(_known_delay(spark, sf_dir)))
 
 
 def two_leg_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,7 +353,9 @@ def csv_flights_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def two_leg_running_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 end to end from flight CSV files (dates compared as text)."""
-    return C.totals_running(C.time_buckets(C.tag_legs(_csv_flights(spark, sf_dir))))
+    fields = read_flights_csv(spark, flight_csv_files(spark, sf_dir))
+    legs = leg1_exclusive(C.ORIGIN, C.DEST) | leg2_exclusive(C.ORIGIN, C.DEST)
+    return C.totals_running(C.time_buckets(C.tag_legs(two_leg_flights(fields, legs, C.WINDOW))))
 
 
 def monthly_delay_text_csv(spark: SparkSession, sf_dir: str) -> DataFrame:

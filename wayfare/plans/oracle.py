@@ -4,10 +4,13 @@ Spark results (counts BIGINT, ceilings INT, means DOUBLE)."""
 
 from __future__ import annotations
 
-from wayfare.sources.flights import flights_sql
+from wayfare.sources.flights import ROUGH_SQL, flights_sql
 
 WRITE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 FLIGHTS = f"flights AS ({flights_sql('lineitem')})"
+ROUGH = f"base AS ({flights_sql('lineitem')}), flights AS ({ROUGH_SQL.format(flights='base')})"
+ROUGH_KNOWN = (f"base AS ({flights_sql('lineitem')}), rough AS ({ROUGH_SQL.format(flights='base')}), "
+               "flights AS (SELECT * FROM rough WHERE arr_delay_min IS NOT NULL)")
 FLIGHTS_X = f"flights AS ({flights_sql('lineitem', extra=WRITE_ORDER)})"
 
 TOKENS = r"""tokens AS (
@@ -33,16 +36,16 @@ WINDOW_YM = "((year = 2007 AND month >= 6) OR (year = 2008 AND month <= 5))"
 
 
 def _legs(loose: bool = False, rule: str = "reject", window: bool = True,
-          keep: str = "") -> str:
+          keep: str = "", delay: str = "CAST(trunc(arr_delay_min) AS INT)") -> str:
     flags = ("cancelled <> 1 AND diverted <> 1" if rule == "reject"
              else "cancelled = 0 AND diverted = 0")
     w = f" AND {WINDOW_YM}" if window else ""
     o1 = "origin = 'ORD'" if loose else "origin = 'ORD' AND dest <> 'JFK'"
     o2 = "dest = 'JFK'" if loose else "origin <> 'ORD' AND dest = 'JFK'"
     return (
-        f"f1 AS (SELECT flight_date, dest AS transit, arr_time AS t, CAST(arr_delay_min AS INT) AS d{keep} "
+        f"f1 AS (SELECT flight_date, dest AS transit, arr_time AS t, {delay} AS d{keep} "
         f"FROM flights WHERE {o1} AND {flags}{w}), "
-        f"f2 AS (SELECT flight_date, origin AS transit, dep_time AS t, CAST(arr_delay_min AS INT) AS d{keep} "
+        f"f2 AS (SELECT flight_date, origin AS transit, dep_time AS t, {delay} AS d{keep} "
         f"FROM flights WHERE {o2} AND {flags}{w})")
 
 
@@ -71,10 +74,25 @@ TWO_LEG_JOIN_FIRST_BOTH = (
     f"WITH {FLIGHTS}, {_legs(rule='accept', window=False, keep=', year, month')} "
     + TOTALS + f" WHERE {_JF_WIN('a')} AND {_JF_WIN('b')}")
 
-TWO_LEG_UNION_AVG = f"""WITH {FLIGHTS}, {_legs(rule='accept')},
+# the delay as it is: to six places, so that its sum is exact, and NULLs skipped
+_EXACT = "CAST(arr_delay_min AS DECIMAL(18,6))"
+
+
+def _union_avg(flights: str, legs: str, where: str = "") -> str:
+    return f"""WITH {flights}, {legs},
 p AS (SELECT a.d AS d1, b.d AS d2 FROM f1 a JOIN f2 b
- ON a.flight_date = b.flight_date AND a.transit = b.transit AND a.t < b.t)
-SELECT avg(d) * 2 AS avg_delay FROM (SELECT d1 AS d FROM p UNION ALL SELECT d2 AS d FROM p) u"""
+ ON a.flight_date = b.flight_date AND a.transit = b.transit AND a.t < b.t {where})
+SELECT CAST(sum(d) AS DOUBLE) / count(d) * 2 AS avg_delay
+FROM (SELECT d1 AS d FROM p UNION ALL SELECT d2 AS d FROM p) u"""
+
+
+_FILTER_FIRST = _legs(rule="accept", delay=_EXACT)
+_JOIN_FIRST = _legs(loose=True, rule="accept", window=False, keep=", year, month", delay=_EXACT)
+TWO_LEG_UNION_AVG = _union_avg(FLIGHTS, _FILTER_FIRST)
+TWO_LEG_JOIN_FIRST_AVG = _union_avg(FLIGHTS, _JOIN_FIRST, f"WHERE {_JF_WIN('a')}")
+TWO_LEG_UNION_AVG_ROUGH = _union_avg(ROUGH, _FILTER_FIRST)
+TWO_LEG_JOIN_FIRST_AVG_ROUGH = _union_avg(ROUGH, _JOIN_FIRST, f"WHERE {_JF_WIN('a')}")
+TWO_LEG_RUNNING_ROUGH = f"WITH {ROUGH_KNOWN}, {_legs()} {TOTALS}"
 
 TWO_LEG_PAIRS = f"""WITH {FLIGHTS}, {_legs(keep=', l_orderkey, l_linenumber')}
 SELECT a.flight_date, a.transit, a.t AS a_t, a.d AS a_d, a.l_orderkey AS a_l_orderkey,
@@ -96,6 +114,10 @@ def _monthly(delay: str = "arr_delay_min") -> str:
             "GROUP BY carrier, month)")
 
 
+MONTHLY_ROUGH = f"""WITH {ROUGH_KNOWN}, s AS (SELECT carrier, month, count(*) AS n, sum({_EXACT}) AS total
+ FROM flights WHERE year = 2008 AND month BETWEEN 1 AND 12 AND cancelled <> 1 GROUP BY carrier, month)
+SELECT carrier, month, n, CAST(total AS DOUBLE) AS sum_delay, CAST(ceil(CAST(total AS DOUBLE) / n) AS INT) AS avg_delay
+FROM s"""
 MONTHLY = f"WITH {FLIGHTS}, {_monthly()} SELECT * FROM m"
 
 _SLOTS = ", ".join(
@@ -152,9 +174,14 @@ ORACLE = {
     "two_leg_join_first_left": TWO_LEG_JOIN_FIRST_LEFT,
     "two_leg_join_first_both": TWO_LEG_JOIN_FIRST_BOTH,
     "two_leg_union_avg": TWO_LEG_UNION_AVG,
+    "two_leg_union_avg_rough": TWO_LEG_UNION_AVG_ROUGH,
+    "two_leg_join_first_avg": TWO_LEG_JOIN_FIRST_AVG,
+    "two_leg_join_first_avg_rough": TWO_LEG_JOIN_FIRST_AVG_ROUGH,
+    "two_leg_running_rough": TWO_LEG_RUNNING_ROUGH,
     "two_leg_pairs": TWO_LEG_PAIRS,
     "two_leg_year_2007_rows": TWO_LEG_YEAR_2007,
     "monthly_delay": MONTHLY,
+    "monthly_delay_rough": MONTHLY_ROUGH,
     "monthly_delay_vector": MONTHLY_VECTOR,
     "monthly_delay_text": MONTHLY_TEXT,
     "monthly_delay_ordered": MONTHLY_ORDERED,

@@ -5,6 +5,8 @@ result in the destination."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,10 +61,12 @@ def write_named_parts(df: DataFrame, out_dir: str, prefix: str, column: str = "l
         clash = [st for st in fs.listStatus(root) if st.getPath().getName().startswith(prefix)]
         if clash and not overwrite:
             raise FileExistsError(f"{out_dir} already holds {prefix}* files")
-        for st in clash:
-            fs.delete(st.getPath(), False)
-    staging = out_dir.rstrip("/") + "/_staging_" + prefix.rstrip("_")
-    write_lines(df, staging, column=column, line_sep=line_sep, mode="overwrite")
+    else:
+        clash = []
+    staging = f"{out_dir.rstrip('/')}/_staging_{prefix.rstrip('_')}_{uuid.uuid4().hex[:12]}"
+    write_lines(df, staging, column=column, line_sep=line_sep, mode="errorifexists")
+    for st in clash:  # the new lines are committed; only now the old ones go
+        fs.delete(st.getPath(), False)
     parts = sorted(str(st.getPath()) for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staging))
                    if st.getPath().getName().startswith("part-"))
     names = []

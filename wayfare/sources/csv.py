@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from wayfare.functions.predicates import in_year_month_window, not_flagged
 from wayfare.functions.scalar import blank_zero, java_trim, strict_double, strict_int
 
 N_FIELDS = 44
@@ -38,10 +39,9 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "header": "false",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
-    "mode": "FAILFAST",
+    "mode": "PERMISSIVE",  # what may be malformed, the number of fields, is checked apart
 }
 
 
@@ -57,16 +57,26 @@ def flight_csv_schema(n_fields: int = N_FIELDS) -> StructType:
 
 
 def read_flights_csv(spark: SparkSession, path: str, n_fields: int = N_FIELDS) -> DataFrame:
-    """Positional string fields from CSV files (splittable, no inference)."""
-    return spark.read.options(**CSV_OPTIONS).schema(flight_csv_schema(n_fields)).csv(path)
+    """Positional string fields from CSV files (splittable, no inference);
+    blank lines are skipped."""
+    lines = spark.read.text(path)
+    return parse_flight_lines(lines.where(F.trim("value") != ""), n_fields=n_fields)
+
+
+def field_count(line: Column) -> Column:
+    """Fields of a CSV line; commas inside quotes do not count."""
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
 def parse_flight_lines(lines: DataFrame, value: str = "value", n_fields: int = N_FIELDS,
                        keep: list[str] | None = None) -> DataFrame:
-    """Parse a column of CSV lines into positional string fields."""
+    """Parse a column of CSV lines into positional string fields. Fields past
+    ``n_fields`` are ignored; a line with fewer raises."""
     schema = flight_csv_schema(n_fields)
-    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header",)}
-    parsed = F.from_csv(F.col(value), schema.simpleString(), opts).alias("r")
+    fields = F.from_csv(F.col(value), schema.simpleString(), CSV_OPTIONS)
+    short = F.raise_error(F.concat(F.lit(f"fewer than {n_fields} fields: "), F.col(value)))
+    parsed = F.when(field_count(F.col(value)) < n_fields, short).otherwise(fields).alias("r")
     return lines.select(*(keep or []), parsed).select(*(keep or []), "r.*")
 
 
@@ -103,6 +113,26 @@ def typed_flights(fields: DataFrame, mode: str = "strict", keep: list[str] | Non
     )
 
 
+def two_leg_flights(fields: DataFrame, legs: Column, window: tuple[tuple[int, int], tuple[int, int]]) -> DataFrame:
+    """Flights typed strictly, but only as far as the two-leg job reads them:
+    the route (``legs``, over origin and dest) first, then the window, then
+    the flags, then the delay. A number that is not reached is NULL, however
+    malformed, so a header or a blank flag of another route does no harm."""
+    texts = ["flight_date", "carrier", "origin", "dest", "dep_time", "arr_time"]
+    numbers = ["year", "month", "arr_delay_min", "cancelled", "diverted"]
+    rows = fields.select(*[java_trim(_raw(c)).alias(c) for c in texts], *[_raw(c) for c in numbers])
+    flag = lambda name: strict_double(_raw(name)).cast("int")
+    (first, _), (last, _) = window
+    rows = rows.withColumn("year", F.when(legs, strict_int(_raw("year"))))
+    rows = rows.withColumn("month", F.when(F.col("year").between(first, last), strict_int(_raw("month"))))
+    inside = in_year_month_window(*window)
+    rows = rows.withColumn("cancelled", F.when(inside, flag("cancelled")))
+    rows = rows.withColumn("diverted", F.when(inside, flag("diverted")))
+    flown = inside & not_flagged("cancelled", "diverted")
+    rows = rows.withColumn("arr_delay_min", F.when(flown, strict_double(_raw("arr_delay_min"))))
+    return rows.select(*texts, *numbers)
+
+
 def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 

@@ -37,6 +37,21 @@ LINEITEM_COLUMNS = [
 ]
 
 
+# The same flights with delays that are NULL or not whole, a flag of 2 and a month of 0.
+ROUGH_SQL = """
+SELECT flight_date, origin, dest, dep_time, arr_time, carrier, year,
+ CASE WHEN l_orderkey % 19 = 0 THEN 0 ELSE month END AS month,
+ CASE WHEN (l_orderkey + l_linenumber) % 17 = 0 THEN NULL
+  ELSE arr_delay_min + CAST(l_orderkey % 100 AS DOUBLE) / 100 END AS arr_delay_min,
+ CASE WHEN l_orderkey % 13 = 0 THEN 2 ELSE cancelled END AS cancelled, diverted
+FROM {flights}
+"""
+
+
+def rough_flights(spark: SparkSession, flights: DataFrame) -> DataFrame:
+    return spark.sql(ROUGH_SQL, flights=flights)
+
+
 def _with_extra(extra: list[str] | None) -> str:
     """``extra`` passes further lineitem columns through unchanged."""
     return FLIGHTS_SQL.replace("{extra}", "".join(f", {c}" for c in (extra or [])))
