@@ -94,8 +94,8 @@ def apply_rules(
     base_failed: fewer than ten words, or more than 20 % of them in repeated
     windows. A line is above the limits where at least ``min_documents``
     different texts of its host have it and they make at least ``min_share``
-    of the host's different texts; copies of one text count once, as copies
-    are another operator's work. kept is false when base_failed, or when the
+    of the host's different texts, nulls not counted; copies of one text count
+    once, as copies are another operator's work. kept is false when base_failed, or when the
     removed lines leave fewer than ten words or less than ``min_left`` of
     them. Null and empty texts have zero counts and fail. A null host is a
     host of its own. Equal rows get equal results; an empty table gives an
@@ -108,7 +108,9 @@ def apply_rules(
     base = without(docs, *METRICS, "base_failed", "n_removed_words", "kept")
     first, second = content_key(doc_id, text)
     lines = materialise(line_rows(base, text, doc_id, host), "host_lines")
-    texts = base.select(F.col(host).alias("_host"), F.xxhash64(text).alias("_text")).groupBy("_host").agg(
+    # the hash of a null is a number, but a null is no text
+    own = F.when(F.col(text).isNotNull(), F.xxhash64(text)).alias("_text")
+    texts = base.select(F.col(host).alias("_host"), own).groupBy("_host").agg(
         F.count_distinct("_text").alias("_n_texts"))
     counted = lines.groupBy("_host", "_k1", "_k2").agg(F.count_distinct("_text").alias("_n")).where(
         F.col("_n") >= min_documents)
