@@ -1,10 +1,12 @@
 """Inputs on which an operator once did less than the whole job."""
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from wayfare.llm import rules
+from wayfare.llm import neighbours, rules
 from wayfare.testing import frames_equal
 
 
@@ -23,3 +25,28 @@ def test_line_limits_on_large_hosts_match_sql(spark, n_texts, gone):
     con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
     ok, why = frames_equal(got, con.sql(E.oracle_sql()["op8_quality_rules"]).df())
     assert ok, why
+
+
+# ----------------------------------------------------------------- embeddings
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+
+
+def test_recall_of_few_links_is_measured(spark):
+    rng = np.random.default_rng(11)
+    rows = rng.normal(0, 1, (6000, 16))
+    rows[3000:3003] = rows[:3] * (1 + rng.normal(0, 0.01, (3, 16)))  # 3 isolated pairs
+    nodes = neighbours.classes(vectors(spark, rows), "vec_id", "embedding").cache()
+    x = neighbours.unit(rows)
+    linked = int(((x @ x.T >= 0.95).sum(1) > 1).sum())
+    none = spark.createDataFrame([], "node long, n long")
+    assert neighbours.audit(nodes, 6000, none, 0.95) == (0.0, linked)
+
+
+def test_recall_below_the_bar_is_an_error(spark, monkeypatch):
+    rows = np.random.default_rng(12).normal(0, 1, (40, 16))
+    rows[20] = rows[0] * 1.01 + 1e-4
+    lost = lambda nodes, *_: nodes.select("node", "node", F.lit(0.0).alias("sim")).toDF("src", "dst", "sim").limit(0)
+    monkeypatch.setattr(neighbours, "descend", lost)
+    with pytest.raises(RuntimeError, match="recall 0.0000 over 2 linked"):
+        neighbours.near_duplicates(vectors(spark, rows)).count()

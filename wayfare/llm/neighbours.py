@@ -24,12 +24,12 @@ from wayfare.llm.components import connected_components
 THRESHOLD = 0.95
 NEIGHBOURS, REVERSED, BEST_IN_GROUP = 16, 16, 8
 # Vectors that start out in one random group and in how many groups each is
-# (a list that stayed in one group would never leave it); most rounds of one
-# descent, and the share of list places that must still change for another.
-START_GROUP, STARTS, ROUNDS, STILL = 48, 4, 7, 0.01
-# Vectors whose links are counted over all vectors, the recall asked for, and
-# how often the lists are doubled for it.
-AUDIT_ROWS, RECALL, DOUBLINGS = 1024, 0.97, 2
+# (a list that stayed in one group would never leave it), and the share of
+# list places that must still change for another round.
+START_GROUP, STARTS, STILL = 48, 4, 0.01
+# Vectors first audited and most at once, how many linked ones an audit asks
+# for, and the recall asked for.
+AUDIT_ROWS, AUDIT_AT_ONCE, AUDIT_LINKED, RECALL = 1024, 8192, 100, 0.97
 # Codes are rounded to 8 bits; a pair this far below the threshold by its
 # codes is still compared exactly.
 SLACK = 0.01
@@ -140,14 +140,17 @@ def best_of(pairs: DataFrame, by: str, size: int) -> DataFrame:
     return pairs.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= size).drop("_rank")
 
 
-def descend(nodes: DataFrame, n_nodes: int, size: int) -> DataFrame:
-    """The neighbour lists (src, dst, sim) after NN-descent from random groups."""
+def descend(nodes: DataFrame, n_nodes: int, size: int, turn: int = 0, known: DataFrame | None = None) -> DataFrame:
+    """The neighbour lists (src, dst, sim) after NN-descent from random groups
+    (others in each ``turn``) and the lists ``known``, until they are still."""
     n_groups = max(1, n_nodes // START_GROUP)
-    start = nodes.select("node", F.explode(F.array(*map(F.lit, range(STARTS)))).alias("start"))
+    starts = range(turn * STARTS, (turn + 1) * STARTS)
+    start = nodes.select("node", F.explode(F.array(*map(F.lit, starts))).alias("start"))
     start = start.select((F.pmod(F.xxhash64("start", "node"), F.lit(n_groups)) + F.col("start") * n_groups).alias("group"), "node")
-    first = compare(start, nodes, None, -(-size // STARTS)).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
+    first = compare(start, nodes, None, -(-size // STARTS))
+    first = (first if known is None else first.unionByName(known)).groupBy("src", "dst").agg(F.max("sim").alias("sim"))
     lists = materialise(best_of(first, "src", size), "neighbours")
-    for _ in range(ROUNDS):
+    while True:
         back = best_of(lists, "dst", REVERSED)
         groups = (lists.select(F.col("src").alias("group"), F.col("dst").alias("node"))
                   .unionByName(back.select(F.col("dst").alias("group"), F.col("src").alias("node")))
@@ -217,36 +220,56 @@ def block_counts(members: DataFrame, threshold: float) -> DataFrame:
     return parts.groupBy("node").agg(F.sum("n").alias("n"))
 
 
-def audit(nodes: DataFrame, degrees: DataFrame, threshold: float) -> float:
-    """Share of its links that was found for a vector, on average over the
-    linked ones of a sample: the sample (at most ``AUDIT_ROWS``) is compared
-    with all vectors, block by block."""
-    sample = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(AUDIT_ROWS).select("node", "vector").toArrow()
+def audit(nodes: DataFrame, n_nodes: int, degrees: DataFrame, threshold: float) -> tuple[float, int]:
+    """(recall, linked): the share of its links that was found for a vector,
+    on average over the linked ones of a sample, and how many these were. The
+    sample is compared with all vectors, block by block, and grows until
+    ``AUDIT_LINKED`` are linked or it holds all vectors."""
+    whole = 1 << 30
+    chance = F.pmod(F.xxhash64(F.lit("audit"), "node"), F.lit(whole))
+    done, rows, found, linked = 0, AUDIT_ROWS, 0.0, 0
+    while linked < AUDIT_LINKED and done < whole:
+        upto = min(whole, done + -(-rows * whole // max(1, n_nodes)))
+        part = _audit_part(nodes, nodes.where((chance >= done) & (chance < upto)), degrees, threshold)
+        found, linked = found + part[0], linked + part[1]
+        done, rows = upto, min(2 * rows, AUDIT_AT_ONCE)
+    return (found / linked if linked else 1.0), linked
+
+
+def _audit_part(nodes: DataFrame, some: DataFrame, degrees: DataFrame, threshold: float) -> tuple[float, int]:
+    """Sum of the found shares of the linked vectors in ``some``, and their number."""
+    sample = some.select("node", "vector").toArrow()
     queries = sample["node"].to_numpy()
     lists = sample["vector"].to_pylist()
     if not lists:
-        return 1.0
+        return 0.0, 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = {n: unit(np.array([v for v in lists if len(v) == n])) for n in {len(v) for v in lists}}
-        names = {n: np.array([q for q, v in zip(queries, lists) if len(v) == n]) for n in wanted}
+        wanted = []
+        for n in {len(v) for v in lists}:
+            block = unit(np.array([v for v in lists if len(v) == n]))
+            names = np.array([q for q, v in zip(queries, lists) if len(v) == n])
+            wanted += [(n, block[s:s + AUDIT_ROWS], names[s:s + AUDIT_ROWS]) for s in range(0, len(names), AUDIT_ROWS)]
         for batch in batches:
             own, many = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             rows = batch.column(2).to_pylist()
-            for n, block in wanted.items():
-                at = [i for i, v in enumerate(rows) if len(v) == n]
-                if not at:
+            width = np.array([len(v) for v in rows])
+            full = {n: unit(np.array([v for v in rows if len(v) == n])) for n in set(width.tolist())}
+            for n, block, names in wanted:
+                if n not in full:
                     continue
-                near = unit(np.array([rows[i] for i in at])) @ block.T >= threshold
-                near &= own[at][:, None] != names[n]
+                at = np.nonzero(width == n)[0]
+                near = full[n] @ block.T >= threshold
+                near &= own[at][:, None] != names
                 total = many[at] @ near
-                some = total > 0
-                yield pa.RecordBatch.from_arrays([pa.array(names[n][some]), pa.array(total[some])], names=["node", "n"])
+                hit = total > 0
+                yield pa.RecordBatch.from_arrays([pa.array(names[hit]), pa.array(total[hit])], names=["node", "n"])
 
     true = nodes.select("node", "copies", "vector").mapInArrow(run, "node bigint, n bigint")
     totals = true.groupBy("node").agg(F.sum("n").alias("true")).join(degrees, "node", "left")
     share = F.least("true", F.coalesce("n", F.lit(0))) / F.col("true")
-    return totals.agg(F.coalesce(F.avg(share), F.lit(1.0)).alias("recall")).first()["recall"]
+    row = totals.agg(F.coalesce(F.sum(share), F.lit(0.0)).alias("found"), F.count(F.lit(1)).alias("linked")).first()
+    return row["found"], row["linked"]
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -259,15 +282,16 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     different lengths, link with nothing. Equal vectors are compared once. An
     empty table gives an empty table; other columns are not kept.
 
-    The lists are doubled while the audited recall is below ``RECALL``, at
-    most ``DOUBLINGS`` times. A list that is full of links says that there may
+    The lists are doubled, from other random groups and what was found, while
+    the audited recall is below ``RECALL``; it is an error if it still is with
+    lists of all vectors. A list that is full of links says that there may
     be more: the whole component around it is then compared in blocks.
     """
     nodes = materialise(classes(vectors, vec_id, embedding), "vector_classes")
     n_nodes = nodes.count()
-    size = neighbours
-    for step in range(DOUBLINGS + 1):
-        lists = descend(nodes, n_nodes, size)
+    size, turn, lists = neighbours, 0, None
+    while True:
+        lists = descend(nodes, n_nodes, size, turn, lists)
         near = lists.where(F.col("sim") >= threshold - SLACK)
         pairs = near.select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v")).distinct()
         links = materialise(exact_links(pairs, nodes, threshold), "vector_links")
@@ -282,9 +306,12 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
                   .groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("n"))
                   .join(counted, "node", "left_anti"))
         degrees = materialise(single.unionByName(counted), "degrees")
-        if step == DOUBLINGS or audit(nodes, degrees, threshold) >= RECALL:
+        recall, linked = audit(nodes, n_nodes, degrees, threshold)
+        if recall >= RECALL:
             break
-        size *= 2
+        if size >= n_nodes:
+            raise RuntimeError(f"recall {recall:.4f} over {linked} linked vectors is below {RECALL}")
+        size, turn = 2 * size, turn + 1
     home = nodes.select("node", "least", "copies").join(components, "node", "left").join(degrees, "node", "left")
     home = materialise(home.select("node", "least", F.coalesce("component", "node").alias("component"),
                                    (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "homes")
