@@ -50,3 +50,18 @@ def test_recall_below_the_bar_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "descend", lost)
     with pytest.raises(RuntimeError, match="recall 0.0000 over 2 linked"):
         neighbours.near_duplicates(vectors(spark, rows)).count()
+
+
+def test_full_lists_lose_no_links_between_groups(spark, monkeypatch):
+    """Each list is filled by its own sub-group; sub-groups are at cosine 0.96."""
+    rng, sizes, descend = np.random.default_rng(13), [], neighbours.descend
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 32)
+    monkeypatch.setattr(neighbours, "descend", lambda n, c, size, *more: sizes.append(size) or descend(n, c, size, *more))
+    axes = np.eye(24)[:4]
+    centres = [0.96**0.5 * axes[0] + 0.2 * e for e in axes[1:]]
+    rows = [*(c + rng.normal(0, 1e-4, 24) for c in centres for _ in range(80)), *rng.normal(0, 1, (60, 24))]
+    got = {r["vec_id"]: r for r in neighbours.near_duplicates(vectors(spark, rows)).collect()}
+    assert sizes == [16]
+    assert [got[i]["n_links"] for i in range(300)] == [239] * 240 + [0] * 60
+    assert [got[i]["component_id"] for i in range(300)] == [0] * 240 + list(range(240, 300))
+    assert [i for i in got if not got[i]["kept"]] == list(range(1, 240))

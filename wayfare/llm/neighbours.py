@@ -3,7 +3,8 @@
 Every distinct vector has a list of its nearest neighbours so far. In a round,
 the vectors in and around one list are compared with one another (neighbours
 of neighbours) and each keeps the best. Lists that hold nothing but links are
-saturated and are enlarged to the whole group around them. A sample compared
+saturated: the groups around them are compared in blocks, each with itself and
+with the others that are near enough for links. A sample compared
 with all vectors audits the recall. Pairs at or above the threshold, in double
 precision, are links.
 """
@@ -220,6 +221,68 @@ def block_counts(members: DataFrame, threshold: float) -> DataFrame:
     return parts.groupBy("node").agg(F.sum("n").alias("n"))
 
 
+def across(members: DataFrame, threshold: float) -> DataFrame:
+    """(node, n, partner): for every member (component, node, vector, copies)
+    of the saturated groups, how many vectors of other groups it is linked to,
+    and one of these; a node comes up once for each pair of blocks. Groups are
+    compared where the angle between their first vectors is at most that of
+    the threshold and their two widths."""
+    units = members.groupBy("component").agg(
+        F.min_by("vector", "node").alias("first"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    units = materialise(units, "saturated_units")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    near = dot("vector", "first") / (F.sqrt(dot("vector", "vector")) * F.sqrt(dot("first", "first")))
+    widths = (members.join(units, "component").groupBy("component")
+              .agg(F.max(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), near)))).alias("width")))
+    units = units.join(widths, "component")
+    n_blocks = -(-units.count() // BLOCK_ROWS) or 1
+    placed = (units.withColumn("block", F.pmod(F.xxhash64(F.lit("unit"), "component"), F.lit(n_blocks)).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))))
+    reach = float(np.arccos(threshold)) + 1e-4
+
+    def pick(group: pa.Table) -> pa.Table:
+        block, name, width, blocks = (group[c].to_numpy() for c in ("block", "component", "width", "blocks"))
+        rows = group["first"].to_pylist()
+        size = np.array([len(v) for v in rows])
+        full = unit(np.array([np.pad(np.asarray(v), (0, size.max() - len(v))) for v in rows]))
+        low, high = (np.nonzero(block == group[c][0].as_py())[0] for c in ("low", "high"))
+        angle = np.arccos(np.clip(full[low] @ full[high].T, -1, 1))
+        close = (angle <= reach + width[low][:, None] + width[high]) & (size[low][:, None] == size[high])
+        if group["low"][0].as_py() == group["high"][0].as_py():
+            close &= name[low][:, None] < name[high]
+        a, b = np.nonzero(close)
+        a, b = low[a], high[b]
+        return pa.table({"a": name[a], "b": name[b], "a_blocks": blocks[a], "b_blocks": blocks[b]})
+
+    pairs = (placed.select(F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                           "block", "component", "first", "width", "blocks")
+             .groupBy("low", "high").applyInArrow(pick, "a bigint, b bigint, a_blocks int, b_blocks int"))
+    pairs = materialise(pairs, "saturated_pairs")
+    own = lambda n: F.pmod(F.xxhash64(F.lit("block"), "node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = (pairs.join(members.withColumnRenamed("component", "a"), "a")
+            .select("a", "b", own("a_blocks").alias("x"), each("b_blocks").alias("y"), F.lit(True).alias("left"),
+                    "node", "copies", "vector"))
+    right = (pairs.join(members.withColumnRenamed("component", "b"), "b")
+             .select("a", "b", each("a_blocks").alias("x"), own("b_blocks").alias("y"), F.lit(False).alias("left"),
+                     "node", "copies", "vector"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        side = group["left"].to_numpy()
+        node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
+        full = unit(np.array(group["vector"].to_pylist()))
+        a, b = np.nonzero(side)[0], np.nonzero(~side)[0]
+        if not len(a) or not len(b):
+            return pa.table({c: pa.array([], pa.int64()) for c in ("node", "n", "partner")})
+        linked = full[a] @ full[b].T >= threshold
+        out = pa.table({"node": np.concatenate([node[a], node[b]]),
+                        "n": np.concatenate([linked @ copies[b], linked.T @ copies[a]]),
+                        "partner": np.concatenate([node[b][linked.argmax(1)], node[a][linked.argmax(0)]])})
+        return out.filter(pa.array(out["n"].to_numpy() > 0))
+
+    return left.unionByName(right).groupBy("a", "b", "x", "y").applyInArrow(meet, "node bigint, n bigint, partner bigint")
+
+
 def audit(nodes: DataFrame, n_nodes: int, degrees: DataFrame, threshold: float) -> tuple[float, int]:
     """(recall, linked): the share of its links that was found for a vector,
     on average over the linked ones of a sample, and how many these were. The
@@ -285,7 +348,8 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     The lists are doubled, from other random groups and what was found, while
     the audited recall is below ``RECALL``; it is an error if it still is with
     lists of all vectors. A list that is full of links says that there may
-    be more: the whole component around it is then compared in blocks.
+    be more: the whole component around it is then compared in blocks, also
+    with other such components near it.
     """
     nodes = materialise(classes(vectors, vec_id, embedding), "vector_classes")
     n_nodes = nodes.count()
@@ -297,15 +361,22 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         links = materialise(exact_links(pairs, nodes, threshold), "vector_links")
         components = materialise(connected_components(links), "vector_components")
         full = near.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= size)
-        crowded = full.join(components, "node").select("component").distinct()
-        members = components.join(crowded, "component", "left_semi").join(
-            nodes.select("node", "copies", "vector"), "node")
+        group = F.coalesce("component", "node").alias("component")
+        crowded = full.join(components, "node", "left").select(group).distinct()
+        members = (nodes.join(components, "node", "left").select(group, "node", "copies", "vector")
+                   .join(crowded, "component", "left_semi"))
+        members = materialise(members, "members")
+        outer = materialise(across(members, threshold), "outer_links")
         counted = materialise(block_counts(members, threshold), "block_counts")
         ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         single = (ends.join(nodes.select(F.col("node").alias("v"), "copies"), "v")
                   .groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("n"))
                   .join(counted, "node", "left_anti"))
-        degrees = materialise(single.unionByName(counted), "degrees")
+        inner = single.unionByName(counted).unionByName(outer.select("node", "n"))
+        degrees = materialise(inner.groupBy("node").agg(F.sum("n").alias("n")), "degrees")
+        joints = outer.select(F.col("node").alias("u"), F.col("partner").alias("v"))
+        if not joints.isEmpty():
+            components = materialise(connected_components(links.unionByName(joints)), "vector_components")
         recall, linked = audit(nodes, n_nodes, degrees, threshold)
         if recall >= RECALL:
             break
