@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from wayfare.llm import neighbours, rules
+from wayfare.llm import language, neighbours, rules
 from wayfare.testing import frames_equal
 
 
@@ -65,3 +65,14 @@ def test_full_lists_lose_no_links_between_groups(spark, monkeypatch):
     assert [got[i]["n_links"] for i in range(300)] == [239] * 240 + [0] * 60
     assert [got[i]["component_id"] for i in range(300)] == [0] * 240 + list(range(240, 300))
     assert [i for i in got if not got[i]["kept"]] == list(range(1, 240))
+
+
+# ------------------------------------------------------------------ languages
+def test_rare_languages_are_learnt(spark):
+    common, rare = "the dog and the cat that we could see ", "den hund und die katze sehen wir nicht "
+    rows = [(i, (rare if i % 400 == 7 else common) * 2, "de" if i % 400 == 7 else "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs, rows=40)
+    assert model.names == ["de", "en"]
+    texts = spark.createDataFrame([(1, rare), (2, common), (3, "could the cat see qqxw zzvk")], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language.identify(texts, model).orderBy("doc_id").collect()] == ["de", "en", "en"]

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import WordIds, append_columns, held_out, ngrams, texts_as_bytes
+from wayfare.llm.common import WordIds, append_columns, held_out, ngrams, texts_as_bytes, with_rank
 
-# Documents to learn from, chosen by a hash of the id.
-SAMPLE_ROWS = 4000
+# Documents of each language to learn from, chosen by a hash of the id.
+SAMPLE_ROWS = 1000
 NGRAM_ROWS = 1 << 15
 # Nats that a change of language between two words costs, how many
 # observations the n-grams of a word count for, and what a word outside a
@@ -71,7 +71,10 @@ class Languages:
         self.names = names
         share = scripts / np.maximum(scripts.sum(1, keepdims=True), 1)
         self.scripts = share >= MIN_SCRIPT_SHARE  # (language, script)
-        smooth = grams + 0.1
+        # all languages count the same, or one with few texts would be the
+        # likeliest for every n-gram that none has
+        total = grams.sum(1, keepdims=True)
+        smooth = grams * (total.max(initial=1) / np.maximum(total, 1)) + 0.1
         self.logp = np.log(smooth / smooth.sum(1, keepdims=True)).T.astype(np.float32)  # (n-gram, language)
 
     def scores(self, words: list[bytes]) -> np.ndarray:
@@ -189,12 +192,13 @@ class Tagger:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
           rows: int = SAMPLE_ROWS) -> Languages:
-    """Learn from at most ``rows`` documents with a language whose crc32
-    modulo 4 is not 2. N-grams are counted in tasks; the driver gets one
+    """Learn every language of the documents whose crc32 modulo 4 is not 2,
+    each from at most ``rows`` of them, however rare it is. N-grams are counted in tasks; the driver gets one
     count for each language and hashed n-gram, never texts."""
     known = docs.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(doc_id, 4, 2))
-    picked = (known.select(doc_id, lang).distinct()
-              .orderBy(F.xxhash64(F.lit("sample"), doc_id), doc_id, lang).limit(rows))
+    ids = known.select(doc_id, lang).distinct()
+    ranked = with_rank(ids, [lang], F.xxhash64(F.lit("sample"), doc_id), [F.col(doc_id)], "_place")
+    picked = ranked.where(F.col("_place") <= rows).drop("_place")
     sample = docs.select(doc_id, lang, text).join(F.broadcast(picked), [doc_id, lang]).select(lang, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
