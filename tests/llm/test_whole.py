@@ -1,12 +1,16 @@
 """Inputs on which an operator once did less than the whole job."""
 
+import itertools
+
 import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from wayfare.llm import language, neighbours, rules
+from tests.llm.test_operators import groups_by
+from wayfare.llm import language, neighbours, rules, simhash
+from wayfare.llm.components import connected_components
 from wayfare.testing import frames_equal
 
 
@@ -76,3 +80,17 @@ def test_rare_languages_are_learnt(spark):
     assert model.names == ["de", "en"]
     texts = spark.createDataFrame([(1, rare), (2, common), (3, "could the cat see qqxw zzvk")], "doc_id long, text string")
     assert [r["lang_pred"] for r in language.identify(texts, model).orderBy("doc_id").collect()] == ["de", "en", "en"]
+
+
+# -------------------------------------------------------------------- simhash
+@pytest.mark.parametrize("limit", [1, 2, 3])
+def test_links_across_blocks_use_the_limit(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "BLOCKS", 16)
+    rng = np.random.default_rng(14)
+    codes = [0x2A5 << 40 | int(c) for c in rng.integers(0, 1 << 24, 40)]
+    codes += [c ^ ((1 << limit) - 1 << 59) for c in codes]  # partners differ in bits that their blocks share
+    found = simhash.links(spark.createDataFrame([(c,) for c in sorted(codes)], "code bigint"), limit)
+    got = {r["node"]: r["component"] for r in connected_components(found).collect()}
+    close = lambda a, b: ((a ^ b) % (1 << 64)).bit_count() <= limit
+    expected = groups_by(sorted(codes), [(a, b) for a, b in itertools.combinations(sorted(codes), 2) if close(a, b)])
+    assert {c: got.get(c, c) for c in codes} == expected

@@ -102,7 +102,7 @@ def _blocks(codes: DataFrame) -> DataFrame:
     return codes.select("code").mapInArrow(number, "code bigint, block int")
 
 
-def _route(blocks: DataFrame) -> DataFrame:
+def _route(blocks: DataFrame, limit: int) -> DataFrame:
     """Every code once for each block at or after its own that may hold a
     partner: the blocks' shared bits are the index's top levels."""
     top = (blocks.groupBy("block").agg(F.bit_and("code").alias("ones"), F.bit_or("code").alias("any"))
@@ -110,7 +110,7 @@ def _route(blocks: DataFrame) -> DataFrame:
     ids = top["block"].to_numpy(np.int32)
     ones, some = (top[c].to_numpy(np.int64).view(np.uint64) for c in ("ones", "any"))
 
-    def run(batches: Iterator[pa.RecordBatch], limit: int = MAX_DISTANCE) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = GrayIndex(~(ones ^ some), ones)
         for batch in batches:
             codes = batch.column(0).to_numpy().view(np.uint64)
@@ -184,7 +184,7 @@ def links(codes: DataFrame, limit: int = MAX_DISTANCE) -> DataFrame:
     """Links (u, v) that connect all distinct ``code`` values at most
     ``limit`` bits apart: not all pairs, but the same components."""
     blocks = _blocks(codes)
-    routed = _route(blocks)
+    routed = _route(blocks, limit)
 
     def batch_of(pair: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in pair], names=["u", "v"])
