@@ -44,6 +44,18 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def boxed(columns: list[str]) -> Column:
+    """The caller's columns as one struct ``_row``, beside which an operator
+    may name its own columns as it likes."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
+
+
+def unboxed(df: DataFrame, added: dict[str, Column]) -> DataFrame:
+    """The caller's columns out of ``_row`` again, and the ``added`` ones."""
+    own = [F.col("_row").getField(f.name).alias(f.name) for f in df.schema["_row"].dataType.fields]
+    return df.select(*own, *[c.alias(name) for name, c in added.items()])
+
+
 def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id as text leaves ``remainder``; null ids: false."""
     crc = F.crc32(F.col(doc_id).cast("string").cast("binary"))

@@ -6,7 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm import language, lines, mixing, neighbours, packing, pii, quality, rules, simhash, toxicity
+from wayfare.llm import (
+    decontaminate,
+    divergence,
+    language,
+    lines,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    rules,
+    simhash,
+    spelling,
+    toxicity,
+)
 from wayfare.llm.common import held_out, table
 from wayfare.llm.oracle import ORACLE  # noqa: F401  (registered beside QUERIES)
 
@@ -65,6 +79,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.find_benchmark_words(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        listed.alias("items_sha256"), "contaminated")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergences(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_mil, op2_mix_sources, op3_personal_data, op4_toxicity_gru, op5_simhash, op6_language, op7_pack,
-    op8_quality_rules, op9_embedding_dedup, op10_line_dedup)}
+    op8_quality_rules, op9_embedding_dedup, op10_line_dedup, op11_decontaminate, op12_spelling, op13_divergence)}
