@@ -22,7 +22,7 @@ MIN_DOCUMENTS, TOP = 10, 10
 SCALE = 1_000_000_000
 # Counts that a task's stripes hold before they are spilled, and bytes of a
 # text folded at once.
-STRIPE_COUNTS, SLICE_BYTES = 400_000, 1 << 20
+STRIPE_COUNTS, SLICE_BYTES = 1_000_000, 1 << 20
 # Sources compared at once, cells of a matrix of shares, and blocks of sums of
 # two times SOURCE_BLOCK sources that a task holds before it spills them.
 SOURCE_BLOCK, CELLS, SUM_BLOCKS = 128, 1 << 20, 256
@@ -161,7 +161,7 @@ def merge(stripes: DataFrame, min_documents: int) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield from join(rest)
 
-    dealt = stripes.repartition("lang", "term").sortWithinPartitions("lang", "term")
+    dealt = stripes.repartition("lang", "term").sortWithinPartitions("term", "lang")
     return dealt.mapInArrow(run, STRIPES)
 
 
