@@ -10,7 +10,7 @@ def flight(i, origin, dest, dep="0800", arr="0900", delay=0.0, date=(2007, 7, 1)
            cancelled=0, diverted=0, year=None, month=None):
     d = dt.date(*date)
     return (i, 1, year if year is not None else d.year, month if month is not None else d.month, d,
-            carrier, 1, origin, dest, dep, arr, float(delay), cancelled, diverted)
+            carrier, 1, origin, dest, dep, arr, None if delay is None else float(delay), cancelled, diverted)
 
 
 def flights_df(spark, rows):

@@ -1,10 +1,13 @@
 """Word operators: tokeniser edges, case, routing, and A1 = A2 = A3."""
 
+import glob
+
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from wayfare.operators import words as W
 from wayfare.plans import jobs
+from wayfare.sinks import write_routed
 
 
 def _docs(spark, texts):
@@ -39,12 +42,23 @@ def test_partition_rule_matches_mod(spark):
     assert routed == {"m1": 0, "N2": 1, "o3": 2, "P4": 0, "q5": 1, "zz": 0}
 
 
-def test_routed_output_sorted_within_partition(spark):
-    counts = spark.createDataFrame([(w, 1) for w in ["of", "Of", "mb", "ma", "Ma"]], "word string, n long")
-    parts = W.route_by_initial(counts, 3).rdd.glom().collect()
-    for p in parts:
-        ws = [r.word for r in p]
-        assert ws == sorted(ws, key=lambda s: s.encode())
+def test_hot_route_is_split_and_every_file_sorted(spark, tmp_path):
+    """One letter holds 90 % of the words; its rows go to several files."""
+    words = [f"o{i:05d}" for i in range(9000)] + [f"{c}{i}" for c in "mnpq" for i in range(250)]
+    source, out = str(tmp_path / "counts"), str(tmp_path / "routed")
+    spark.createDataFrame([(w, 1) for w in words], "word string, n long").repartition(8).write.parquet(source)
+    routed = W.route_by_initial(spark.read.parquet(source), 3)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_routed(routed, out, "part", ["word"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    assert len(glob.glob(f"{out}/part=2/part-*")) > 1
+    rows = spark.read.parquet(out).select("word", "part", "_metadata.file_path", "_metadata.row_index").collect()
+    assert sorted(r.word for r in rows) == sorted(words)
+    for file in {r.file_path for r in rows}:
+        inside = [r.word for r in sorted((r for r in rows if r.file_path == file), key=lambda r: r.row_index)]
+        assert inside == sorted(inside)
 
 
 def test_three_local_aggregation_forms_agree(spark):

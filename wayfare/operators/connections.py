@@ -62,7 +62,9 @@ def tag_legs(
     ``rule`` is ``reject`` (drop flag == 1 after truncation) or ``accept``
     (keep flag == 0); ``window`` filters on the record's year/month, None
     to skip. ``keep`` carries extra columns (e.g. year, month, ids). The delay
-    ``d`` is truncated to an int; ``exact`` keeps it, to six decimal places.
+    ``d`` is truncated to an int, and a flight whose delay is NULL is no leg, so
+    that counts and sums skip it alike; ``exact`` keeps the delay to six
+    decimal places, NULLs too, for averages that skip these alone.
 
     With exclusive rules a record is at most one leg (a CASE); with loose
     rules it may be both, so legs come from a small generator.
@@ -73,6 +75,8 @@ def tag_legs(
     cond = flags
     if window is not None:
         cond = cond & in_year_month_window(*window)
+    if not exact:
+        cond = cond & F.col("arr_delay_min").isNotNull()
     pre = flights.where(cond & (on1 | on2))
     if loose:  # one output row per leg the record plays; NULL slots dropped
         legs = F.explode(F.array(F.when(on1, F.lit(1)), F.when(on2, F.lit(2))))
@@ -155,8 +159,9 @@ def running_pairs(buckets: DataFrame) -> DataFrame:
 
 
 def partial_totals(buckets: DataFrame) -> DataFrame:
-    """A4 as rows: one (n_pairs, sum_delay) partial per (date, transit) group,
-    the unit a later job can merge (``merge_partials``)."""
+    """A4 as rows: one (n_pairs, sum_delay) partial per (date, transit) group
+    with a second leg, the unit a later job can merge (``merge_partials``); a
+    group whose departures all leave too early has a partial of zeros."""
     return running_pairs(buckets).groupBy(*KEY).agg(
         F.sum("pairs").alias("n_pairs"), F.sum("delay").alias("sum_delay"))
 
@@ -228,6 +233,42 @@ def band_prune(buckets: DataFrame) -> DataFrame:
     return pruned.where((_leg("n1") > 0) | (_leg("n2") > 0))
 
 
+def leg_bounds(tagged: DataFrame) -> DataFrame:
+    """Per (date, transit) with both legs, the earliest leg-1 arrival and
+    the latest leg-2 departure where some connection fits between them: one
+    row a group, however many flights it has."""
+    time_of = lambda leg: F.when(F.col("leg") == leg, F.col("t"))
+    bounds = tagged.groupBy(*KEY).agg(F.min(time_of(1)).alias("first_arr"), F.max(time_of(2)).alias("last_dep"))
+    return bounds.where(F.col("first_arr") < F.col("last_dep"))
+
+
+def prune_by_bounds(tagged: DataFrame, bounds: DataFrame) -> DataFrame:
+    """J4 before the shuffle: drop leg-2 departures at or before the earliest
+    arrival, leg-1 arrivals at or after the latest departure and groups
+    without a connection, where the rows are read. Result-neutral. ``bounds``
+    are broadcast: the caller has checked their size."""
+    met = tagged.join(F.broadcast(bounds), KEY)
+    keep = F.when(F.col("leg") == 1, F.col("t") < F.col("last_dep")).otherwise(F.col("t") > F.col("first_arr"))
+    return met.where(keep).select(*tagged.columns)
+
+
+def joined_counts(tagged: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """J1 + P14 without the pairs: the joined relation as rows of different
+    (leg 1, leg 2) column values with ``n``, how many flight pairs have them.
+    Each leg's equal rows are counted before the join, so what is joined and
+    what comes out grows with the different values and not with the square of
+    the flights that share them. Every column of either leg is there, with the
+    suffix 1 or 2, for filters after the join."""
+    carry = carry or []
+
+    def side(leg: int) -> DataFrame:
+        rows = tagged.where(F.col("leg") == leg).groupBy(*KEY, "t", "d", *carry).agg(F.count(F.lit(1)).alias("n"))
+        return rows.select(*KEY, *[F.col(c).alias(f"{c}{leg}") for c in ["t", "d", *carry, "n"]])
+
+    joined = side(1).join(side(2), KEY).where(F.col("t1") < F.col("t2"))
+    return joined.withColumn("n", F.col("n1") * F.col("n2")).drop("n1", "n2")
+
+
 def bag_union(*relations: DataFrame) -> DataFrame:
     """Bag union of independent relations (duplicates kept; never the
     de-duplicating SQL UNION)."""

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.functions.scalar import (
     binary_key,
@@ -138,22 +139,78 @@ def write_keyed_table(rows: DataFrame, path: str, mode: str = "overwrite",
     whose keys are known to be spread.
     """
     if layout == "rebalance":
-        shaped = rows.hint("rebalance", "year", "cancelled", "month")
+        shaped = sorted_for_table(rows)
     elif layout == "range":
-        shaped = (rows.repartitionByRange(n_ranges, "rowkey") if n_ranges
+        ranged = (rows.repartitionByRange(n_ranges, "rowkey") if n_ranges
                   else rows.repartitionByRange("rowkey"))
+        shaped = ranged.sortWithinPartitions(*PARTITION_COLS, "rowkey")
     else:
         raise ValueError(f"unknown layout {layout!r}")
-    # the writer needs rows by partition; a sort that starts with it is kept as it is
-    (shaped.sortWithinPartitions(*PARTITION_COLS, "rowkey")
-     .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path))
+    shaped.write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path)
+
+
+def sorted_for_table(rows: DataFrame) -> DataFrame:
+    """Rows as the table's files have them: dealt by partition and month, a
+    hot one split by AQE, and sorted. The writer needs rows by partition; a
+    sort that starts with it is kept as it is."""
+    return rows.hint("rebalance", "year", "cancelled", "month").sortWithinPartitions(*PARTITION_COLS, "rowkey")
+
+
+# K9: the key of the split table has the month first, which spreads a load
+# over the ranges.
+SPLIT_KEY_PARTS = [("month", 1), ("year", 2), ("cancelled", 1), ("carrier_idx", 1), ("l_orderkey", 7), ("l_linenumber", 1)]
+
+
+def even_splits(start: bytes, stop: bytes, n_ranges: int) -> list[bytes]:
+    """The ``n_ranges - 1`` split points of a table of ``n_ranges`` ranges:
+    ``start``, ``stop`` and evenly spaced keys between them. The first range
+    has the keys below ``start`` and the last one those from ``stop`` on."""
+    if n_ranges < 3 or len(start) != len(stop) or start >= stop:
+        raise ValueError("splits need three ranges or more and two keys of one length in order")
+    low, high = int.from_bytes(start, "big"), int.from_bytes(stop, "big")
+    return [(low + (high - low) * i // (n_ranges - 2)).to_bytes(len(start), "big") for i in range(n_ranges - 1)]
+
+
+def range_number(key: str, splits: list[bytes]) -> Column:
+    """0 for keys below the first split point, ..., len(splits) for the last range."""
+    return F.size(F.filter(F.array(*map(F.lit, splits)), lambda point: point <= F.col(key)))
+
+
+def write_split_table(rows: DataFrame, path: str, splits: list[bytes], key: str = "rowkey") -> None:
+    """K9: the table in the ranges that the caller's split points make, each
+    a folder of files sorted by key; AQE splits a hot range into several. The
+    key bounds of every file go to ``_bounds`` in the same folder (one row a
+    file), which ``scan_split_range`` reads first."""
+    placed = rows.withColumn("range", range_number(key, splits))
+    (placed.hint("rebalance", "range").sortWithinPartitions("range", key)
+     .write.partitionBy("range").parquet(path))
+    made = rows.sparkSession.read.schema(placed.schema).parquet(path)
+    bounds = made.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
+    bounds.write.parquet(f"{path.rstrip('/')}/_bounds")
+
+
+def scan_split_range(spark: SparkSession, path: str, start: bytes, stop: bytes, key: str = "rowkey") -> DataFrame:
+    """S6 over a split table: rows with start <= key < stop, out of the files
+    whose bounds say that they may have some; no other file is opened."""
+    bounds = spark.read.parquet(f"{path.rstrip('/')}/_bounds")
+    files = [r["file"] for r in bounds.where((F.col("low") < F.lit(stop)) & (F.col("high") >= F.lit(start)))
+             .select("file").collect()]
+    whole = spark.read.parquet(path)
+    some = spark.read.schema(whole.schema).option("basePath", path).parquet(*files) if files else whole.limit(0)
+    return some.where((F.col(key) >= F.lit(start)) & (F.col(key) < F.lit(stop)))
 
 
 def create_table_if_absent(spark: SparkSession, name: str, path: str, schema: str) -> bool:
     """K8: register an external partitioned table unless it exists.
 
-    Returns False (and leaves the table alone) when it already exists."""
+    Returns False (and leaves the table and its rows alone) when it already
+    exists; it is an error if its columns are others than those asked for."""
     if spark.catalog.tableExists(name):
+        there = {f.name.lower(): f.dataType for f in spark.table(name).schema}
+        wanted = {f.name.lower(): f.dataType for f in T.StructType.fromDDL(schema)}
+        if there != wanted:
+            raise ValueError(f"{name} exists with other columns: {spark.table(name).schema.simpleString()}")
         return False
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
@@ -163,17 +220,32 @@ def create_table_if_absent(spark: SparkSession, name: str, path: str, schema: st
     return True
 
 
-def scan_predicate(spark: SparkSession, path: str, year: int, cancelled: int = 0) -> DataFrame:
+def append_by_name(rows: DataFrame, name: str) -> None:
+    """Append to a catalog table; columns go by name. Another set of columns
+    is an error, raised before anything is written."""
+    there = [f.name for f in rows.sparkSession.table(name).schema]
+    if sorted(map(str.lower, there)) != sorted(map(str.lower, rows.columns)):
+        raise ValueError(f"{name} has the columns {there}, the rows {rows.columns}")
+    (rows.select(*there).hint("rebalance", *PARTITION_COLS[:1]).sortWithinPartitions(*PARTITION_COLS)
+     .write.mode("append").insertInto(name))
+
+
+def opened(spark: SparkSession, table: str | DataFrame) -> DataFrame:
+    """A keyed table by its path, or one that is read already."""
+    return spark.read.parquet(table) if isinstance(table, str) else table
+
+
+def scan_predicate(spark: SparkSession, table: str | DataFrame, year: int, cancelled: int = 0) -> DataFrame:
     """Partition-pruned scan (year, cancelled)."""
-    t = spark.read.parquet(path)
+    t = opened(spark, table)
     return t.where((F.col("year") == year) & (F.col("cancelled") == cancelled))
 
 
-def scan_key_range(spark: SparkSession, path: str, start: dict[str, int],
+def scan_key_range(spark: SparkSession, table: str | DataFrame, start: dict[str, int],
                    stop: dict[str, int]) -> DataFrame:
     """Rows with start <= rowkey < stop (unsigned byte order)."""
     lo, hi = literal_key(start), literal_key(stop)
-    t = spark.read.parquet(path)
+    t = opened(spark, table)
     cond = (F.col("rowkey") >= F.lit(lo)) & (F.col("rowkey") < F.lit(hi))
     for c in PARTITION_COLS:  # a shared prefix becomes a partition filter
         if c in start and start.get(c) == stop.get(c):

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def route_by_index(df: DataFrame, index: Column, k: int) -> DataFrame:
-    """Place each row in partition ``index mod k`` (unknown/NULL -> 0),
-    exposing it as ``part``. Meant for small, already-aggregated results."""
-    pid = F.coalesce(F.pmod(index, F.lit(k)), F.lit(0)) if k > 0 else F.lit(0)
-    return df.repartitionById(max(k, 1), pid).withColumn("part", F.spark_partition_id())
+    """Each row with its route ``part`` = ``index mod k`` (unknown/NULL ->
+    0), a column computed in place; ``sinks.write_routed`` writes by it."""
+    part = F.coalesce(F.pmod(index, F.lit(k)), F.lit(0)) if k > 0 else F.lit(0)
+    return df.withColumn("part", part.cast("int"))
 
 
 def cluster_sorted(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

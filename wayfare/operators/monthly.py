@@ -34,9 +34,9 @@ def monthly_input(flights: DataFrame, year: int = TARGET_YEAR, truncate: bool =
 
 def monthly_delay(rows: DataFrame) -> DataFrame:
     """A7 + F5 + F14: (carrier, month, n, sum_delay, avg_delay=ceil(mean)).
-    Delays are summed as decimals of six places, so the order of rows and
+    A flight whose delay is NULL is neither counted nor summed. Delays are summed as decimals of six places, so the order of rows and
     tasks cannot change the ceiling."""
-    agg = rows.groupBy("carrier", "month").agg(
+    agg = rows.where(F.col("delay").isNotNull()).groupBy("carrier", "month").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("delay").cast("decimal(18,6)")).alias("total"))
     return agg.select("carrier", "month", "n", F.col("total").cast("double").alias("sum_delay"),
                       ceil_mean("total", "n").alias("avg_delay"))

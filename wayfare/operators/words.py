@@ -50,7 +50,6 @@ def roll_up_term_frequency(tf: DataFrame) -> DataFrame:
     return tf.groupBy("word").agg(F.sum("tf").alias("n"))
 
 
-# A per-partition tally with task-lifetime state, run as Arrow
 def word_count_native_tally(words: DataFrame) -> DataFrame:
     """A3, JVM form: tally per input partition, then the global sum."""
     per_part = words.groupBy(F.spark_partition_id().alias("pid"), "word").agg(
@@ -72,11 +71,9 @@ def initial_partition(word: Column, k: int, letters: str = DEFAULT_LETTERS) -> C
 
 
 def route_by_initial(counts: DataFrame, k: int, letters: str = DEFAULT_LETTERS) -> DataFrame:
-    """O3 + O6: place each counted word in partition ``initial_partition``,
-    sorted by word (byte order) inside each partition, and expose the
-    partition index as ``part``. Run it on final counts, never on tokens."""
-    routed = counts.repartitionById(k, initial_partition(F.col("word"), k, letters))
-    return routed.sortWithinPartitions("word").withColumn("part", F.spark_partition_id())
+    """O3: every counted word with its route ``part``, a column computed in
+    place; ``sinks.write_routed`` lays the files out by it."""
+    return counts.withColumn("part", initial_partition(F.col("word"), k, letters))
 
 
 def letter_totals(counts: DataFrame) -> DataFrame:

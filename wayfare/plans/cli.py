@@ -10,7 +10,8 @@
 ``average_delay_NNNNN`` files directly into the output directory.
 
 Each job is one Spark lineage; an existing output directory is an error
-unless ``--overwrite`` is given (``populate`` always replaces the table).
+unless ``--overwrite`` is given. ``populate`` merges into an existing table,
+and replaces it with ``--overwrite``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from wayfare.operators import connections as C
 from wayfare.operators import keyed as K
 from wayfare.operators import monthly as M
 from wayfare.operators import words as W
+from wayfare.operators.merge import merge_load, with_record
 from wayfare.sinks import (
+    versions,
     write_average_delay,
     write_key_value_text,
     write_named_parts,
@@ -38,10 +41,12 @@ from wayfare.sources.text import read_lines
 def word_count_job(spark: SparkSession, src: str, out: str, letters: str = DEFAULT_LETTERS,
                    reducers: int | None = None, mode: str = "errorifexists") -> None:
     """Q1: ``word<TAB>n`` part files, each sorted by word; ``reducers`` routes
-    the words by initial to that many files."""
+    the words by initial to that many ``part=<k>`` folders."""
     counts = W.word_count(W.letter_tokens(read_lines(spark, src), text_col="value", letters=letters))
-    routed = W.route_by_initial(counts, reducers, letters).drop("part") if reducers else counts
-    write_key_value_text(routed, out, "word", "n", mode=mode)
+    if reducers:
+        write_key_value_text(W.route_by_initial(counts, reducers, letters), out, "word", "n", mode=mode, route="part")
+    else:
+        write_key_value_text(counts, out, "word", "n", mode=mode)
 
 
 def _strict_flights(spark: SparkSession, src: str) -> DataFrame:
@@ -77,23 +82,33 @@ def monthly_job(spark: SparkSession, src: str, out: str, year: int = M.TARGET_YE
     return _write_report(M.monthly_text(M.monthly_vector(long)), out, mode, named_parts)
 
 
-def populate_job(spark: SparkSession, src: str, table: str) -> None:
-    """Q4 ingest: blank numbers read as 0, unknown carriers rejected. Plain
-    CSV has no record key, so a generated id orders rows inside the key."""
+#: What a flight is known by when a file is loaded again; its delay and flags may change.
+SCHEDULE = ["flight_date", "carrier", "origin", "dest", "dep_time", "arr_time"]
+
+
+def populate_job(spark: SparkSession, src: str, table: str, fresh: bool = False) -> int:
+    """Q4 ingest: blank numbers read as 0, unknown carriers rejected. A load
+    is merged into an existing table (K7): flights that are there are written
+    over, so loading a file twice changes nothing. Plain CSV has no record
+    number; the hash of the schedule stands for it in the row key. ``fresh``
+    replaces the table. Returns its version."""
     fl = typed_flights(read_flights_csv(spark, src), mode="ingest").select(
-        "*", F.monotonically_increasing_id().alias("l_orderkey"), F.lit(0).alias("l_linenumber"))
-    K.write_keyed_table(K.keyed_rows(fl, spark), table)
+        "*", F.pmod(F.xxhash64(*SCHEDULE), F.lit(1 << 55)).alias("l_orderkey"), F.lit(0).alias("l_linenumber"))
+    rows = K.keyed_rows(fl, spark, extra=[c for c in SCHEDULE if c != "carrier"])
+    keyed = with_record(rows, SCHEDULE, ["cancelled", "delay"]).drop(*[c for c in SCHEDULE if c != "carrier"])
+    return merge_load(spark, table, keyed, fresh)
 
 
 def compute_job(spark: SparkSession, table: str, out: str, year: int = M.TARGET_YEAR,
                 by_range: bool = False, mode: str = "errorifexists",
                 named_parts: bool = False) -> str:
     """Q3 over the keyed table: predicate scan (default) or key-range scan."""
+    keyed = versions.read(spark, table)
     if by_range:
-        t = K.scan_key_range(spark, table, {"year": year, "cancelled": 0, "month": 1},
+        t = K.scan_key_range(spark, keyed, {"year": year, "cancelled": 0, "month": 1},
                              {"year": year, "cancelled": 0, "month": 13})
     else:
-        t = K.scan_predicate(spark, table, year, 0).where(F.col("month").between(1, 12))
+        t = K.scan_predicate(spark, keyed, year, 0).where(F.col("month").between(1, 12))
     rows = t.select("carrier", "month", F.col("delay").cast("double").alias("delay"))
     return _write_report(M.monthly_text(M.monthly_vector(M.monthly_delay(rows))), out, mode,
                          named_parts)
@@ -123,6 +138,6 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "monthly":
         monthly_job(spark, args.input, args.output, args.year, mode, args.named_parts)
     elif args.job == "populate":
-        populate_job(spark, args.input, args.output)
+        populate_job(spark, args.input, args.output, fresh=args.overwrite)
     else:
         compute_job(spark, args.input, args.output, args.year, args.range, mode, args.named_parts)

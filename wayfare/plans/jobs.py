@@ -6,18 +6,26 @@ input tables; nothing is sampled, capped or filtered to a subset.
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wayfare.functions.scalar import tab_fields
 from wayfare.functions.predicates import in_year_month_window, leg1_exclusive, leg2_exclusive
 from wayfare.operators import connections as C
 from wayfare.operators import keyed as K
 from wayfare.operators import layout as L
 from wayfare.operators import monthly as M
 from wayfare.operators import words as W
-from wayfare.session import input_token, is_committed, publish_dir, shared_dir, table_path
+from wayfare.operators.merge import merge_load, with_record
+from wayfare.session import input_token, shared_dir, table_path, written
+from wayfare.sinks import (
+    dump,
+    versions,
+    write_average_delay,
+    write_key_value_text,
+    write_routed,
+    write_single_row,
+)
 from wayfare.sources.csv import (
     flights_to_csv_lines,
     parse_flight_lines,
@@ -25,8 +33,8 @@ from wayfare.sources.csv import (
     two_leg_flights,
     typed_flights,
 )
-from wayfare.sources.text import document_lines, read_lines
-from wayfare.sources.flights import LINEITEM_COLUMNS, flights, rough_flights
+from wayfare.sources.text import document_lines, read_lines, read_tab_parts
+from wayfare.sources.flights import FLIGHTS_SQL, LINEITEM_COLUMNS, flights, rough_flights
 from wayfare.sources.tables import read_table
 
 WORD_PARTITIONS = 3
@@ -48,10 +56,6 @@ def rough_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rough_flights(spark, flight_rows(spark, sf_dir))
 
 
-def _known_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rough_rows(spark, sf_dir).where(F.col("arr_delay_min").isNotNull())
-
-
 def _letter_tokens(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     return W.letter_tokens(documents(spark, sf_dir), keep=keep)
 
@@ -74,6 +78,7 @@ def word_count_partition_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_partition_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3: the route of every counted word."""
     return W.route_by_initial(word_count(spark, sf_dir), WORD_PARTITIONS)
 
 
@@ -81,6 +86,16 @@ def letter_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.letter_totals(word_count(spark, sf_dir))
 
 
+def word_count_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + O3 + O6, then S4: the counts as ``word<TAB>n`` lines in a folder
+    for each route, read again."""
+    out = shared_dir(spark, "results", "word_count", unique=True)
+    routed = word_partition_assignment(spark, sf_dir)
+    write_key_value_text(routed, out, "word", "n", route="part")
+    lines = spark.read.text(out).select(tab_fields("value").alias("f"), F.col("part").cast("int").alias("part"))
+    return lines.select(F.get("f", 0).alias("word"), F.get("f", 1).cast("bigint").alias("n"), "part")
+
+
 # ---------------------------------------------------- Q2: connections
 def _buckets(spark: SparkSession, sf_dir: str, rows=flight_rows, **tag_args) -> DataFrame:
     extra = tag_args.pop("extra_keys", None)
@@ -103,6 +118,46 @@ def two_leg_band_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.totals_join(C.band_prune(_buckets(spark, sf_dir)))
 
 
+#: Most (date, transit) groups whose bounds are broadcast: under 100 MB.
+BOUND_GROUPS = 1 << 20
+
+
+def two_leg_bounds_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 before the shuffle, then J1 + A4 + A5: the bounds of each group are
+    made first and applied where the legs are read; with more groups than
+    ``BOUND_GROUPS``, rows are pruned after the shuffle instead."""
+    tagged = C.tag_legs(flight_rows(spark, sf_dir))
+    bounds = written(C.leg_bounds(tagged), "leg_bounds")
+    if bounds.count() > BOUND_GROUPS:
+        return C.totals_join(C.band_prune(C.time_buckets(tagged)))
+    return C.totals_join(C.time_buckets(C.prune_by_bounds(tagged, bounds)))
+
+
+def two_leg_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs: the first writes A4's partial rows as tab-separated part
+    files, the second reads them again (S4) and merges them (A5)."""
+    out = shared_dir(spark, "chain", "partials", unique=True)
+    C.partial_totals(_buckets(spark, sf_dir)).select("n_pairs", "sum_delay").write.option("sep", "\t").csv(out)
+    return C.merge_partials(read_tab_parts(spark, out, "n_pairs bigint, sum_delay bigint"))
+
+
+def two_leg_flattened_2007(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined relation of the accepted legs, with every column of
+    both, and the number of flight pairs of each row; a filter on the left
+    leg's year, as text cast to a number, follows the join."""
+    tagged = C.tag_legs(flight_rows(spark, sf_dir), window=None, rule="accept", exact=True, keep=["year", "month"])
+    joined = C.joined_counts(tagged, carry=["year", "month"])
+    flat = joined.select("*", *[F.col(f"d{i}").cast("double").alias(f"delay{i}") for i in (1, 2)]).drop("d1", "d2")
+    return flat.where(F.col("year1").cast("string").cast("int") == 2007)
+
+
+def two_leg_result_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 + O7: the totals as one line of one file, read again."""
+    out = shared_dir(spark, "results", "two_leg", unique=True)
+    write_single_row(two_leg_running(spark, sf_dir), out)
+    return read_tab_parts(spark, out, "n_pairs bigint, sum_delay bigint, avg_delay double")
+
+
 def _join_first(spark: SparkSession, sf_dir: str, both: bool) -> DataFrame:
     """P11 legs without a date window, J2 join, J3 time filter and the window
     applied to the joined rows: P8 (left) over the loose legs P6, P9 (both)
@@ -138,8 +193,8 @@ def two_leg_join_first_avg(spark: SparkSession, sf_dir: str, rows=flight_rows) -
 
 
 def two_leg_running_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 + A4 + A5 over delays that are not whole, a flag of 2 and a month of 0."""
-    return C.totals_running(_buckets(spark, sf_dir, _known_delay))
+    """W1 + A4 + A5 over delays that are NULL or not whole, a flag of 2 and a month of 0."""
+    return C.totals_running(_buckets(spark, sf_dir, rough_rows))
 
 
 def two_leg_union_avg_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,8 +207,8 @@ def two_leg_join_first_avg_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_delay_rough(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A7 over delays that are not whole, a flag of 2 and a month of 0."""
-    return M.monthly_delay(M.monthly_input(_known_delay(spark, sf_dir)))
+    """A7 over delays that are NULL or not whole, a flag of 2 and a month of 0."""
+    return M.monthly_delay(M.monthly_input(rough_rows(spark, sf_dir)))
 
 
 def two_leg_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +243,55 @@ def monthly_delay_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.ordered_by_month(monthly_delay(spark, sf_dir))
 
 
+def monthly_delay_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + O4 + O6: the carrier-months written in files by route, sorted by
+    carrier and month, and the order read off the files: ``place`` counts the
+    rows of a carrier by their position in its file, and ``in_order`` says
+    that the row before, in the same file, does not come after."""
+    out = shared_dir(spark, "results", "monthly", unique=True)
+    indexed = K.carrier_to_index(monthly_delay(spark, sf_dir), spark, strict=False)
+    routed = L.route_by_index(indexed, F.col("carrier_idx"), CARRIER_PARTITIONS)
+    write_routed(routed, out, "part", ["carrier", "month"])
+    rows = spark.read.parquet(out).select(
+        "part", "carrier", "month", "avg_delay", F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("position"))
+    at = Window.partitionBy("file").orderBy("position")
+    own = Window.partitionBy("file", "carrier").orderBy("position")
+    key = F.struct("carrier", "month")
+    return rows.select(
+        F.col("part").cast("int").alias("part"), "carrier", "month", "avg_delay", F.row_number().over(own).alias("place"),
+        F.coalesce(F.lag(key).over(at) <= key, F.lit(True)).alias("in_order"))
+
+
+def monthly_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 + K4 + K5, then S1: the report as CRLF lines in ``average_delay``,
+    read again."""
+    out = write_average_delay(monthly_delay_text(spark, sf_dir), shared_dir(spark, "results", "report", unique=True),
+                              mode="errorifexists")
+    return read_lines(spark, out).select(F.substring("value", 1, 2).alias("carrier"), F.col("value").alias("line"))
+
+
+def monthly_dump_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6, then S1: every row of the vector as a parenthesised line."""
+    out = shared_dir(spark, "results", "dump", unique=True)
+    dump(monthly_delay_vector(spark, sf_dir), out)
+    return read_lines(spark, out).withColumnRenamed("value", "line")
+
+
+def monthly_delay_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K10 + K11: a table written, an attempt to create it again, which is an
+    error and leaves it alone, and its replacement by the monthly means."""
+    root = shared_dir(spark, "results", "replaced", unique=True)
+    long = monthly_delay(spark, sf_dir)
+    versions.replace(long.where("month <= 6"), root, "errorifexists")
+    try:
+        versions.replace(long.limit(0), root, "errorifexists")
+        raise AssertionError("an existing table was created again")
+    except FileExistsError:
+        versions.replace(long, root)
+    return versions.read(spark, root)
+
+
 def carrier_partition_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     carriers = monthly_delay_vector(spark, sf_dir).select("carrier")
     indexed = K.carrier_to_index(carriers, spark, strict=False)
@@ -209,40 +313,104 @@ def keyed_upsert_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.drop(*WRITE_ORDER).withColumn("rowkey", F.hex("rowkey"))
 
 
+RECORD = ["l_orderkey", "l_linenumber"]
+
+
+def _second_load(rows: DataFrame) -> DataFrame:
+    """Of some orders again all records: a half as they were, a half late by
+    another 7 minutes, of these a third with the flag turned, which moves them
+    to another partition; and new records under new orders."""
+    again = rows.where("l_orderkey % 3 = 0")
+    late = F.col("l_orderkey") % 2 == 0
+    turned = late & (F.col("l_linenumber") % 3 == 0)
+    changed = again.withColumns({
+        "arr_delay_min": F.when(late, F.col("arr_delay_min") + 7).otherwise(F.col("arr_delay_min")),
+        "cancelled": F.when(turned, 1 - F.col("cancelled")).otherwise(F.col("cancelled"))})
+    return changed.unionByName(rows.where("l_orderkey % 50 = 7").withColumn("l_orderkey", F.col("l_orderkey") + 10**9))
+
+
+def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: a load into a new table, then one into the existing table that
+    repeats, changes, moves and adds records; the last write of each stays."""
+    root = shared_dir(spark, "tables", "merged", unique=True)
+    li = read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"])
+    first = flights(spark, li, extra=WRITE_ORDER)
+    for load in (first, _second_load(first)):
+        rows = K.keyed_rows(load, spark, extra=WRITE_ORDER)
+        # equal records are interchangeable only if what they say is equal too
+        merge_load(spark, root, with_record(rows, RECORD, WRITE_ORDER + ["delay"]))
+    return versions.read(spark, root).drop("record", *WRITE_ORDER).withColumn("rowkey", F.hex("rowkey"))
+
+
+SPLIT_RANGES = 20
+
+
+def _split_key(month: int) -> bytes:
+    return K.literal_key({"month": month}, K.SPLIT_KEY_PARTS)
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> str:
+    """K9: the keyed rows under a key led by the month, in 20 ranges split
+    evenly from month 2 to month 12."""
+    def write(path: str) -> None:
+        rows = K.keyed_rows(flight_rows(spark, sf_dir), spark)
+        rows = rows.withColumn("rowkey", K.row_key(K.SPLIT_KEY_PARTS))
+        K.write_split_table(rows, path, K.even_splits(_split_key(2), _split_key(12), SPLIT_RANGES))
+
+    return _derived(spark, sf_dir, "lineitem", "flights_split", f"split-v1 {FLIGHTS_SQL}", write)
+
+
+def keyed_split_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: how many rows each range has, and their first and last month."""
+    t = spark.read.parquet(split_table(spark, sf_dir))
+    return t.groupBy(F.col("range").cast("int").alias("range")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+
+
+def keyed_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 over the split table: the files that may have months 3 to 5, then
+    the monthly means of the target year out of them."""
+    t = K.scan_split_range(spark, split_table(spark, sf_dir), _split_key(3), _split_key(6))
+    kept = t.where((F.col("year") == M.TARGET_YEAR) & (F.col("cancelled") == 0))
+    return M.monthly_delay(kept.select("carrier", "month", F.col("delay").cast("double").alias("delay")))
+
+
+def keyed_scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: a catalog table created if absent, filled by name, created again,
+    which keeps it and its rows, and read by name."""
+    rows = K.keyed_rows(flight_rows(spark, sf_dir), spark)
+    path = shared_dir(spark, "tables", "catalog", unique=True)
+    name = "wayfare_" + path.rsplit("-", 1)[1]
+    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+    if not K.create_table_if_absent(spark, name, path, schema):
+        raise AssertionError(f"{name} was there before")
+    K.append_by_name(rows, name)
+    if K.create_table_if_absent(spark, name, path, schema):
+        raise AssertionError(f"{name} was created twice")
+    t = spark.table(name).where((F.col("year") == M.TARGET_YEAR) & (F.col("cancelled") == 0))
+    kept = t.where(F.col("month").between(1, 12))
+    return M.monthly_delay(kept.select("carrier", "month", F.col("delay").cast("double").alias("delay")))
+
+
 def _derived(spark: SparkSession, sf_dir: str, source: str, name: str, version: str,
              write, rebuild: bool = False) -> str:
     """Path of a table derived from ``source`` under the shared checkpoint
-    folder, written by ``write(path)`` unless a committed copy made from the
-    same input files exists (create if absent).
-
-    The first copy is written to a unique staging folder and then renamed
-    into place only if no other writer published meanwhile, so concurrent
-    first runs never overwrite each other or a table being read. ``rebuild``
-    writes a fresh copy to a new unique path (for timing the job) and leaves
-    the published one alone."""
-    try:
-        token = input_token(spark, [table_path(sf_dir, source)], salt=version)
-    except Exception:  # no file-system access from the driver: private copy each time
-        token = hashlib.sha1(f"{sf_dir}:{version}".encode()).hexdigest()[:16]
-        path = shared_dir(spark, "tables", f"{name}_{token}", unique=True)
-        write(path)
-        return path
-    path = shared_dir(spark, "tables", f"{name}_{token}")
+    folder, written by ``write(path)`` unless one made from the same input
+    files by the same ``version`` exists (create if absent; of two concurrent
+    first writers the faster one's table is used). ``rebuild`` writes a fresh
+    copy to a path of its own (for timing the job)."""
+    token = input_token(spark, [table_path(sf_dir, source)], salt=version)
     if rebuild:
         fresh = shared_dir(spark, "tables", f"{name}_{token}_rebuild", unique=True)
         write(fresh)
         return fresh
-    if not is_committed(spark, path):
-        staging = shared_dir(spark, "tables", f"_staging_{name}_{token}", unique=True)
-        write(staging)
-        publish_dir(spark, staging, path)
-    return path
+    return versions.publish(spark, shared_dir(spark, "tables", f"{name}_{token}"), write, "ignore")
 
 
 def keyed_table(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
     """Populate the keyed flights table (K7-K9) for ``sf_dir`` and return its
     path; an existing committed copy for the same input is reused (K8)."""
-    return _derived(spark, sf_dir, "lineitem", "flights_keyed", K.LAYOUT_VERSION,
+    return _derived(spark, sf_dir, "lineitem", "flights_keyed", f"{K.LAYOUT_VERSION} {FLIGHTS_SQL}",
                     lambda p: K.write_keyed_table(K.keyed_rows(flight_rows(spark, sf_dir), spark), p),
                     rebuild)
 
@@ -327,7 +495,7 @@ def flight_csv_files(spark: SparkSession, sf_dir: str, rebuild: bool = False) ->
             3: F.col("l_linenumber").cast("string"), 8: F.col("l_orderkey").cast("string")})
         lines.write.mode("overwrite").text(p)
 
-    return _derived(spark, sf_dir, "lineitem", "flights_csv", "csv-v1", write, rebuild)
+    return _derived(spark, sf_dir, "lineitem", "flights_csv", f"csv-v1 {FLIGHTS_SQL}", write, rebuild)
 
 
 def word_count_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:

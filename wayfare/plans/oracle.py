@@ -4,13 +4,11 @@ Spark results (counts BIGINT, ceilings INT, means DOUBLE)."""
 
 from __future__ import annotations
 
-from wayfare.sources.flights import ROUGH_SQL, flights_sql
+from wayfare.sources.flights import CARRIERS, ROUGH_SQL, flights_sql
 
 WRITE_ORDER = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 FLIGHTS = f"flights AS ({flights_sql('lineitem')})"
 ROUGH = f"base AS ({flights_sql('lineitem')}), flights AS ({ROUGH_SQL.format(flights='base')})"
-ROUGH_KNOWN = (f"base AS ({flights_sql('lineitem')}), rough AS ({ROUGH_SQL.format(flights='base')}), "
-               "flights AS (SELECT * FROM rough WHERE arr_delay_min IS NOT NULL)")
 FLIGHTS_X = f"flights AS ({flights_sql('lineitem', extra=WRITE_ORDER)})"
 
 TOKENS = r"""tokens AS (
@@ -92,7 +90,8 @@ TWO_LEG_UNION_AVG = _union_avg(FLIGHTS, _FILTER_FIRST)
 TWO_LEG_JOIN_FIRST_AVG = _union_avg(FLIGHTS, _JOIN_FIRST, f"WHERE {_JF_WIN('a')}")
 TWO_LEG_UNION_AVG_ROUGH = _union_avg(ROUGH, _FILTER_FIRST)
 TWO_LEG_JOIN_FIRST_AVG_ROUGH = _union_avg(ROUGH, _JOIN_FIRST, f"WHERE {_JF_WIN('a')}")
-TWO_LEG_RUNNING_ROUGH = f"WITH {ROUGH_KNOWN}, {_legs()} {TOTALS}"
+# a leg without a known delay is neither counted nor summed
+TWO_LEG_RUNNING_ROUGH = f"WITH {ROUGH}, {_legs()} {TOTALS} AND a.d IS NOT NULL AND b.d IS NOT NULL"
 
 TWO_LEG_PAIRS = f"""WITH {FLIGHTS}, {_legs(keep=', l_orderkey, l_linenumber')}
 SELECT a.flight_date, a.transit, a.t AS a_t, a.d AS a_d, a.l_orderkey AS a_l_orderkey,
@@ -114,8 +113,8 @@ def _monthly(delay: str = "arr_delay_min") -> str:
             "GROUP BY carrier, month)")
 
 
-MONTHLY_ROUGH = f"""WITH {ROUGH_KNOWN}, s AS (SELECT carrier, month, count(*) AS n, sum({_EXACT}) AS total
- FROM flights WHERE year = 2008 AND month BETWEEN 1 AND 12 AND cancelled <> 1 GROUP BY carrier, month)
+MONTHLY_ROUGH = f"""WITH {ROUGH}, s AS (SELECT carrier, month, count(arr_delay_min) AS n, sum({_EXACT}) AS total
+ FROM flights WHERE arr_delay_min IS NOT NULL AND year = 2008 AND month BETWEEN 1 AND 12 AND cancelled <> 1 GROUP BY carrier, month)
 SELECT carrier, month, n, CAST(total AS DOUBLE) AS sum_delay, CAST(ceil(CAST(total AS DOUBLE) / n) AS INT) AS avg_delay
 FROM s"""
 MONTHLY = f"WITH {FLIGHTS}, {_monthly()} SELECT * FROM m"
@@ -132,7 +131,6 @@ MONTHLY_TEXT = (f"WITH {FLIGHTS}, {_monthly()}, v AS (SELECT carrier, {_SLOTS} F
 MONTHLY_ORDERED = (f"WITH {FLIGHTS}, {_monthly()} SELECT carrier, month, avg_delay, "
                    "CAST(row_number() OVER (PARTITION BY carrier ORDER BY month) AS INT) AS rn FROM m")
 
-CARRIERS = "9E,AA,AQ,AS,B6,CO,DL,EV,F9,FL,HA,MQ,NW,OH,OO,UA,US,WN,XE,YV"
 CARRIER_PARTITION = (
     f"WITH {FLIGHTS}, {_monthly()}, c AS (SELECT DISTINCT carrier FROM m), "
     f"d AS (SELECT unnest(string_split('{CARRIERS}', ',')) AS carrier, "
@@ -159,6 +157,43 @@ KEYED_UPSERT_LAST = (
 KEYED_MONTHLY = (f"WITH {FLIGHTS}, {_monthly('CAST(CAST(arr_delay_min AS INT) AS DOUBLE)')} "
                  "SELECT * FROM m")
 
+TWO_LEG_FLATTENED = f"""WITH {FLIGHTS}, {_legs(rule='accept', window=False, keep=', year, month', delay='arr_delay_min')}
+SELECT a.flight_date, a.transit, a.t AS t1, a.d AS delay1, a.year AS year1, a.month AS month1,
+ b.t AS t2, b.d AS delay2, b.year AS year2, b.month AS month2, count(*) AS n
+FROM f1 a JOIN f2 b ON a.flight_date = b.flight_date AND a.transit = b.transit AND a.t < b.t
+WHERE a.year = 2007 GROUP BY ALL"""
+
+_COLS = "l_orderkey, l_linenumber, year, month, carrier, carrier_idx, arr_delay_min, cancelled"
+_OCC = f"row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(WRITE_ORDER)}, arr_delay_min)"
+KEYED_MERGE = f"""WITH base AS ({flights_sql('lineitem', extra=WRITE_ORDER)}),
+again AS (SELECT * REPLACE (
+  CASE WHEN l_orderkey % 2 = 0 THEN arr_delay_min + 7 ELSE arr_delay_min END AS arr_delay_min,
+  CASE WHEN l_orderkey % 2 = 0 AND l_linenumber % 3 = 0 THEN 1 - cancelled ELSE cancelled END AS cancelled)
+ FROM base WHERE l_orderkey % 3 = 0),
+added AS (SELECT * REPLACE (l_orderkey + 1000000000 AS l_orderkey) FROM base WHERE l_orderkey % 50 = 7),
+loads AS (SELECT 1 AS load, {_OCC} AS occ, {_COLS} FROM base
+ UNION ALL SELECT 2, {_OCC}, {_COLS} FROM (SELECT * FROM again UNION ALL SELECT * FROM added)),
+flights AS (SELECT * FROM loads
+ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, occ ORDER BY load DESC) = 1)
+SELECT {_KEYED_COLS} FROM flights"""
+
+# the keys as numbers of 13 bytes, month first; 20 ranges need 19 split points
+_SPLIT_KEY = (f"(((((month::HUGEINT * 65536 + year) * 256 + {_CANCEL}) * 256 + carrier_idx) * 72057594037927936 "
+              "+ l_orderkey) * 256 + l_linenumber)")
+_MONTH = "79228162514264337593543950336::HUGEINT"  # 2 ** 96
+SPLIT_RANGES = f"""WITH {FLIGHTS}, keyed AS (SELECT month, {_SPLIT_KEY} AS k FROM flights),
+points AS (SELECT 2 * {_MONTH} + (10 * {_MONTH} * i) // 18 AS p FROM range(19) r(i)),
+placed AS (SELECT month, (SELECT count(*) FROM points WHERE p <= k) AS range FROM keyed)
+SELECT CAST(range AS INT) AS range, count(*) AS n, min(month) AS first_month, max(month) AS last_month
+FROM placed GROUP BY 1"""
+MONTHLY_SPLITS = KEYED_MONTHLY + " WHERE month BETWEEN 3 AND 5"
+_IDX = f"list_position(string_split('{CARRIERS}', ','), carrier) - 1"
+MONTHLY_FILES = (f"WITH {FLIGHTS}, {_monthly()} SELECT CAST(({_IDX}) % 4 AS INT) AS part, carrier, month, avg_delay, "
+                 "CAST(row_number() OVER (PARTITION BY carrier ORDER BY month) AS INT) AS place, true AS in_order FROM m")
+_DUMP = " || ',' || ".join(f"m{i:02d}" for i in range(1, 13))
+MONTHLY_DUMP = (f"WITH {FLIGHTS}, {_monthly()}, v AS (SELECT carrier, {_SLOTS} FROM m GROUP BY carrier) "
+                f"SELECT '(' || carrier || ',' || {_DUMP} || ')' AS line FROM v")
+
 CSV_ROUNDTRIP = f"WITH {FLIGHTS} SELECT * FROM flights"
 
 ORACLE = {
@@ -196,4 +231,17 @@ ORACLE = {
     "csv_flights_files": CSV_ROUNDTRIP,
     "two_leg_running_csv": TWO_LEG_TOTAL,
     "monthly_delay_text_csv": MONTHLY_TEXT,
+    "word_count_files": WORD_PARTITION,
+    "two_leg_bounds_pruned": TWO_LEG_TOTAL,
+    "two_leg_chain": TWO_LEG_TOTAL,
+    "two_leg_flattened_2007": TWO_LEG_FLATTENED,
+    "two_leg_result_file": TWO_LEG_TOTAL,
+    "monthly_delay_files": MONTHLY_FILES,
+    "monthly_report_files": MONTHLY_TEXT,
+    "monthly_dump_files": MONTHLY_DUMP,
+    "monthly_delay_replaced": MONTHLY,
+    "keyed_merge": KEYED_MERGE,
+    "keyed_split_ranges": SPLIT_RANGES,
+    "keyed_scan_splits": MONTHLY_SPLITS,
+    "keyed_scan_table": KEYED_MONTHLY,
 }

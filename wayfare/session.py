@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans shuffles at runtime, splits
 # skewed join partitions and coalesces small ones; the UI stays off.
@@ -77,7 +77,8 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system) of a path string."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -90,34 +91,24 @@ def input_token(spark: SparkSession, paths: list[str], salt: str = "") -> str:
 
     entries = []
     for path in paths:
-        p, fs = _fs(spark, path)
-        stats = fs.listStatus(p) if fs.getFileStatus(p).isDirectory() else [fs.getFileStatus(p)]
-        for st in stats:
+        p, fs = file_system(spark, path)
+        files = fs.listFiles(p, True)  # with those of nested folders
+        while files.hasNext():
+            st = files.next()
             entries.append((str(st.getPath()), st.getLen(), st.getModificationTime()))
     digest = hashlib.sha1(repr((salt, sorted(entries))).encode()).hexdigest()
     return digest[:16]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     return bool(fs.exists(p))
 
 
-def is_committed(spark: SparkSession, path: str) -> bool:
-    """True when a completed Spark write left its ``_SUCCESS`` marker."""
-    p, fs = _fs(spark, path.rstrip("/") + "/_SUCCESS")
-    return bool(fs.exists(p))
-
-
-def publish_dir(spark: SparkSession, staging: str, target: str) -> bool:
-    """Move a committed ``staging`` directory to ``target`` unless ``target``
-    exists already (another writer published first). Returns True when this
-    call published; on False the staging copy is removed."""
-    src, fs = _fs(spark, staging)
-    dst, _ = _fs(spark, target)
-    if not fs.exists(dst):
-        fs.mkdirs(dst.getParent())
-        if fs.rename(src, dst):
-            return True
-    fs.delete(src, True)
-    return False
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder of the shared checkpoint folder and
+    read back: computed once, and safe when an executor is lost."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "written", name, unique=True)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

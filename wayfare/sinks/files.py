@@ -12,15 +12,35 @@ from pyspark.sql import functions as F
 
 
 def write_key_value_text(df: DataFrame, path: str, key: str, value: str,
-                         mode: str = "errorifexists", sort: bool = True) -> None:
-    """K1 (+O6): ``key<TAB>value`` lines, key-ordered inside each part file."""
-    out = df.sortWithinPartitions(key) if sort else df
-    out.select(F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string"))
-               .alias("value")).write.mode(mode).text(path)
+                         mode: str = "errorifexists", sort: bool = True, route: str | None = None) -> None:
+    """K1 (+O6): ``key<TAB>value`` lines, key-ordered inside each part file;
+    with ``route`` in a folder for each value of that column (O3)."""
+    by = [route] if route else []
+    out = df.hint("rebalance", route) if route else df
+    out = out.sortWithinPartitions(*by, key) if sort else out
+    lines = F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string")).alias("value")
+    out.select(*by, lines).write.mode(mode).partitionBy(*by).text(path)
+
+
+def write_routed(df: DataFrame, path: str, route: str, order: list[str], mode: str = "errorifexists") -> None:
+    """O3/O4 + O6: Parquet files in one folder for each value of ``route``,
+    rows sorted by ``order`` in each file. The rows are dealt by ``rebalance``,
+    so Spark splits a hot route over several tasks and files instead of giving
+    it to one."""
+    (df.hint("rebalance", route).sortWithinPartitions(route, *order)
+     .write.mode(mode).partitionBy(route).parquet(path))
+
+
+#: More rows than this are no tiny result.
+SINGLE_ROWS = 100_000
 
 
 def write_single_row(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """K2 (+O7): a tiny result as one tab-separated part file; NULL -> empty."""
+    """K2 (+O7): a tiny result as one tab-separated part file; NULL -> empty.
+    A result of more than ``SINGLE_ROWS`` rows is an error before any is
+    written: one task would have to write it."""
+    if df.limit(SINGLE_ROWS + 1).count() > SINGLE_ROWS:
+        raise ValueError(f"more than {SINGLE_ROWS} rows are too many for one file")
     df.coalesce(1).write.mode(mode).option("sep", "\t").option("header", "false").csv(path)
 
 

@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The 20 carrier codes (index 0-19) and the five airports.
-CARRIERS = "9E,AA,AQ,AS,B6,CO,DL,EV,F9,FL,HA,MQ,NW,OH,OO,UA,US,WN,XE,YV"
+from wayfare.operators.keyed import CARRIER_CODES
+
+CARRIERS = ",".join(CARRIER_CODES)
+# The five airports.
 AIRPORTS = "ORD,JFK,LAX,ATL,SEA"
 
 FLIGHTS_SQL = f"""
