@@ -36,36 +36,69 @@ def vectors(spark, rows):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
 
 
-def test_recall_of_few_links_is_measured(spark):
-    rng = np.random.default_rng(11)
-    rows = rng.normal(0, 1, (6000, 16))
-    rows[3000:3003] = rows[:3] * (1 + rng.normal(0, 0.01, (3, 16)))  # 3 isolated pairs
-    nodes = neighbours.classes(vectors(spark, rows), "vec_id", "embedding").cache()
-    x = neighbours.unit(rows)
-    linked = int(((x @ x.T >= 0.95).sum(1) > 1).sum())
+def numbered(spark, rows):
+    nodes = neighbours.classes(vectors(spark, rows), "vec_id", "embedding")
+    return nodes.withColumn("node", F.col("least")).cache()
+
+
+def test_few_links_are_audited_by_planted_copies(spark):
+    """No vector of 6,000 is linked: copies of some tell the recall."""
+    nodes = numbered(spark, np.random.default_rng(11).normal(0, 1, (6000, 24)))
+    plants = neighbours.planted_copies(nodes, 6000, 0.95).withColumn("node", -1 - F.monotonically_increasing_id()).cache()
+    n = plants.count()
+    assert 150 < n < 400
+    found = plants.select("node", F.col("origin").alias("src"), F.lit(0.96).alias("sim"))
+    lists = lambda some: some.select("src", F.col("node").alias("dst"), "sim")
     none = spark.createDataFrame([], "node long, n long")
-    assert neighbours.audit(nodes, 6000, none, 0.95) == (0.0, linked)
+    assert neighbours.audit(nodes, 6000, none, plants, lists(found), 12, 0.95) == (1.0, n)
+    half = found.where("node % 2 = 0")
+    assert neighbours.audit(nodes, 6000, none, plants, lists(half), 12, 0.95) == (pytest.approx(half.count() / n), n)
+
+
+def test_isolated_pairs_are_found(spark):
+    """Ten near pairs among 8,000 unrelated vectors."""
+    rng = np.random.default_rng(15)
+    rows = rng.normal(0, 1, (8000, 32))
+    rows[7990:] = rows[:10] + rng.normal(0, 0.2, (10, 32)) * 1.2
+    linked = {(int(a), int(b)) for a, b in zip(*np.nonzero(neighbours.unit(rows) @ neighbours.unit(rows).T >= 0.95)) if a < b}
+    got = {r["vec_id"]: r for r in neighbours.near_duplicates(vectors(spark, rows)).where("n_links > 0").collect()}
+    assert len(linked) >= 5 and sum(a in got and b in got for a, b in linked) >= 0.9 * len(linked)
+    assert set(got) <= {x for p in linked for x in p}
+
+
+def test_bounds_hold_for_one_large_component(spark):
+    """One component dwarfs the others, which the 8-bit codes then lose."""
+    rng = np.random.default_rng(16)
+    rows = rng.normal(0, 1, (300, 200))
+    rows[:, 0] = 40
+    codes, off = neighbours.coded(list(rows))
+    x = neighbours.unit(rows)
+    gap = np.abs(neighbours.decode(codes) @ neighbours.decode(codes).T - x @ x.T)
+    assert (gap <= off[:, None] + off).all() and off.max() > 0.01
 
 
 def test_recall_below_the_bar_is_an_error(spark, monkeypatch):
     rows = np.random.default_rng(12).normal(0, 1, (40, 16))
     rows[20] = rows[0] * 1.01 + 1e-4
-    lost = lambda nodes, *_: nodes.select("node", "node", F.lit(0.0).alias("sim")).toDF("src", "dst", "sim").limit(0)
-    monkeypatch.setattr(neighbours, "descend", lost)
-    with pytest.raises(RuntimeError, match="recall 0.0000 over 2 linked"):
+    none = spark.createDataFrame([], neighbours.PAIRS + ", new int")
+    monkeypatch.setattr(neighbours, "descend", lambda nodes, *_: (none, nodes.select("node").limit(0)))
+    with pytest.raises(RuntimeError, match="recall 0.0000 over 2 vectors"):
         neighbours.near_duplicates(vectors(spark, rows)).count()
 
 
-def test_full_lists_lose_no_links_between_groups(spark, monkeypatch):
-    """Each list is filled by its own sub-group; sub-groups are at cosine 0.96."""
+@pytest.mark.parametrize("at_once", [4096, 1])
+def test_full_lists_lose_no_links_between_groups(spark, monkeypatch, at_once):
+    """Each list is filled by its own sub-group; sub-groups are at cosine 0.96.
+    With few units at once, groups meet through lists of their first vectors."""
     rng, sizes, descend = np.random.default_rng(13), [], neighbours.descend
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 32)
-    monkeypatch.setattr(neighbours, "descend", lambda n, c, size, *more: sizes.append(size) or descend(n, c, size, *more))
+    monkeypatch.setattr(neighbours, "UNITS_AT_ONCE", at_once)
+    monkeypatch.setattr(neighbours, "descend", lambda n, size, *more: sizes.append(size) or descend(n, size, *more))
     axes = np.eye(24)[:4]
     centres = [0.96**0.5 * axes[0] + 0.2 * e for e in axes[1:]]
     rows = [*(c + rng.normal(0, 1e-4, 24) for c in centres for _ in range(80)), *rng.normal(0, 1, (60, 24))]
     got = {r["vec_id"]: r for r in neighbours.near_duplicates(vectors(spark, rows)).collect()}
-    assert sizes == [16]
+    assert sizes == [12]
     assert [got[i]["n_links"] for i in range(300)] == [239] * 240 + [0] * 60
     assert [got[i]["component_id"] for i in range(300)] == [0] * 240 + list(range(240, 300))
     assert [i for i in got if not got[i]["kept"]] == list(range(1, 240))
