@@ -1,6 +1,7 @@
 """Inputs on which an operator once did less than the whole job."""
 
 import itertools
+import re
 
 import duckdb
 import numpy as np
@@ -9,26 +10,87 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tests.llm.test_operators import groups_by
-from wayfare.llm import language, neighbours, rules, simhash
+from wayfare.llm import language, lines, mixing, neighbours, pii, rules, simhash, toxicity
 from wayfare.llm.components import connected_components
 from wayfare.testing import frames_equal
 
 
 # -------------------------------------------------------------- quality rules
-@pytest.mark.parametrize("n_texts, gone", [(1000, True), (1001, False), (3000, False)])
-def test_line_limits_on_large_hosts_match_sql(spark, n_texts, gone):
-    """The share counts a host's different texts: a null or a copy is none."""
+FOOTER = "\nthe common footer of this host"
+
+
+@pytest.mark.parametrize("n, share, gone", [(300, 0.0, True), (3000, 0.0, True), (300, 0.01, True), (3000, 0.01, False)])
+def test_line_limits_count_documents(spark, n, share, gone):
+    """Ten documents with a footer, four of them copies and one without an
+    id, lose it, however large their host, unless a share is asked for."""
     own = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
-    rows = [(i, "hot", own(i) + ("\nthe common footer of this host" if i < 10 else "")) for i in range(n_texts)]
-    rows += [(n_texts, "hot", None), (n_texts + 1, "hot", rows[0][2]), (n_texts + 2, None, own(0))]
+    rows = [(i, "hot", own(i) + (FOOTER if i < 6 else "")) for i in range(n)]
+    rows += [(n + i, "hot", rows[0][2]) for i in range(3)] + [(None, "hot", rows[0][2])]
+    rows += [(n + 10, "hot", None), (n + 11, None, rows[0][2]), (n + 12, "cold", rows[0][2]), (0, "hot", rows[0][2])]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    got = rules.apply_rules(docs).select("doc_id", *rules.METRICS, "base_failed", "kept", "n_removed_words").toPandas()
-    assert (got["n_removed_words"] > 0).sum() == (11 if gone else 0)
-    con = duckdb.connect()
-    con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
-    ok, why = frames_equal(got, con.sql(E.oracle_sql()["op8_quality_rules"]).df())
-    assert ok, why
+    got = rules.apply_rules(docs, min_share=share).select(
+        "doc_id", *rules.METRICS, "base_failed", "kept", "n_removed_words").toPandas()
+    assert (got["n_removed_words"] > 0).sum() == (11 if gone else 0)  # the repeated row counts once and loses it, too
+    if share == 0.0:
+        con = duckdb.connect()
+        con.execute("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
+        con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+        exp = con.sql(E.oracle_sql()["op8_quality_rules"]).df()
+        apart = lambda df: df[df.doc_id.notna() & (df.doc_id != 0)]  # noqa: E731  (the SQL joins by id)
+        ok, why = frames_equal(apart(got), apart(exp))
+        assert ok, why
+
+
+# ------------------------------------------------------------------- toxicity
+def test_toxic_texts_of_any_length_are_learnt(spark):
+    """Every toxic text is over 4,000 bytes, with one toxic passage in it."""
+    rng = np.random.default_rng(17)
+    word = lambda n: " ".join(f"c{x}" for x in rng.integers(0, 60, n))
+    rows = [(i, f"{word(450)} {'you vile scum ' * 4} {word(450)}" if i % 4 == 0 else word(int(rng.integers(5, 900)))) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(240)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert min(len(t) for i, t in rows if i % 4 == 0) > 3000
+    assert sum(got[i] == int(i % 4 == 0) for i in range(240)) >= 232
+
+
+def test_windows_are_spaced_over_the_whole_text():
+    text = b" ".join(b"w%d" % i for i in range(10_000))
+    some = toxicity.windows_of(text, 20)
+    assert len(some) == 20 and some[0].startswith(b"w0 ") and some[-1].endswith(b" w9999")
+    assert toxicity.windows_of(b"") == [b""] and len(toxicity.windows_of(text, 10**6)) == 417
+
+
+# -------------------------------------------------------------- personal data
+@pytest.mark.parametrize("text, spans", [
+    ("Call 415-555-0187, 415-555-0188", ["415-555-0187", "415-555-0188"]),
+    ("Call 415-555-0187, 415-555-0188; 212-555-0199.", ["415-555-0187", "415-555-0188", "212-555-0199"]),
+    ("4111 1111 1111 1111, 415-555-0187", ["415-555-0187"]),
+    ("4111 1111 1111 1111 415-555-0187", []),
+    ("(415) 555 0187 (415) 555 0188", ["(415) 555 0187", "(415) 555 0188"]),
+])
+def test_neighbouring_spans_are_kept_apart(text, spans):
+    places = [m.span() for m in re.finditer(r"\S+", text)]
+    tags = np.array([0 if text[a:b] == "Call" else pii.KINDS.index("phone") + 1 for a, b in places], np.int8)
+    got = pii.added_spans(text, tags, pii.base_spans(text))
+    assert [text[a:b] for _, a, b in got] == spans
+
+
+# ---------------------------------------------------------------- clashing names
+INTERNAL = ["_row", "_doc1", "_doc2", "_text", "_host", "_words", "_lines", "_order", "_removed", "_dropped", "_place",
+            "_source", "_split", "_inside", "_below", "_body", "_hashes", "_windows", "_tied", "source_no", "base", "extra",
+            "count", "k1", "k2", "first", "line", "_k1", "_k2", "_n", "fingerprint_", "k", "_component"]
+
+
+@pytest.mark.parametrize("apply", [rules.apply_rules, lines.dedup_lines, mixing.mix, simhash.one_of_each_group])
+def test_internal_names_are_safe(spark, apply):
+    rows = [(i, f"line one of {i % 7}\nand a common line\n" + "some more words " * (i % 5), f"s{i % 3}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plain = apply(docs)
+    wide = apply(docs.withColumns({c: F.lit(f"my {c}") for c in INTERNAL}))
+    assert set(wide.columns) == set(plain.columns) | set(INTERNAL)
+    assert wide.select(*INTERNAL).distinct().collect() == [tuple(f"my {c}" for c in INTERNAL)]
+    assert sorted(map(str, wide.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
 # ----------------------------------------------------------------- embeddings

@@ -19,8 +19,8 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 UPPER_ASCII = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER_ASCII = "abcdefghijklmnopqrstuvwxyz"
 
-# Sub-groups into which a group is split before it is ranked.
-RANK_SPLITS = 4096
+# Rows of a group that is ranked in one task, and the ranges of a larger one.
+RANK_ROWS, RANK_SPLITS = 50_000, 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -117,44 +117,39 @@ def texts_as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def with_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column],
-              rank: str = "rank") -> DataFrame:
+def with_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column], rank: str = "rank",
+              size: str | None = None) -> DataFrame:
     """Number the rows of each group 1, 2, ... in the order of the long
-    ``order`` (a hash, so that values spread evenly), then ``ties``.
-
-    A group may hold a third of all rows, so no task ever sorts one whole
-    group: each is split into ``RANK_SPLITS`` ranges of ``order``; rows are
-    numbered inside a range and the counts of the lower ranges (at most
-    ``RANK_SPLITS`` rows a group) are added."""
+    ``order`` (a hash, so that values spread evenly), then ``ties``. The
+    columns ``group`` hold no nulls.
+
+    A group may hold a third of all rows, so it is split into ``RANK_SPLITS``
+    ranges of ``order``; rows are numbered inside a range and the counts of
+    the lower ranges are added. Where a column ``size`` says how many rows a
+    group has, only one of more than ``RANK_ROWS`` is split; the others are
+    ranked as they are, in one shuffle."""
+    large = F.lit(True) if size is None else F.col(size) > RANK_ROWS
     split = F.shiftrightunsigned(order, 64 - (RANK_SPLITS.bit_length() - 1)).cast("int")
-    rows = df.withColumns({"_order": order, "_split": split})
-    keys = [F.coalesce(F.col(g).cast("string"), F.lit("")).alias(f"_g{i}") for i, g in enumerate(group)]
-    nulls = [F.col(g).isNull().alias(f"_n{i}") for i, g in enumerate(group)]
-    names = [f"_g{i}" for i in range(len(group))] + [f"_n{i}" for i in range(len(group))]
-    rows = rows.select("*", *keys, *nulls)
-    counts = rows.groupBy(*names, "_split").agg(F.count(F.lit(1)).alias("_count"))
-    below = Window.partitionBy(*names).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_below", F.coalesce(F.sum("_count").over(below), F.lit(0))).drop("_count")
-    inside = Window.partitionBy(*names, "_split").orderBy("_order", *ties)
-    numbered = rows.withColumn("_inside", F.row_number().over(inside))
-    joined = numbered.join(counts, [*names, "_split"])
+    rows = df.withColumns({"_order": order, "_split": F.when(large, split).otherwise(F.lit(0))})
+    counts = rows.where(large).groupBy(*group, "_split").agg(F.count(F.lit(1)).alias("_count"))
+    lower = Window.partitionBy(*group).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    below = counts.select(*group, "_split", F.coalesce(F.sum("_count").over(lower), F.lit(0)).alias("_below"))
+    inside = Window.partitionBy(*group, "_split").orderBy("_order", *ties)
+    joined = rows.withColumn("_inside", F.row_number().over(inside)).join(below, [*group, "_split"], "left")
     kept = [F.col(f"`{c}`") for c in df.columns if c != rank]
-    return joined.select(*kept, (F.col("_below") + F.col("_inside")).alias(rank))
+    return joined.select(*kept, (F.coalesce("_below", F.lit(0)) + F.col("_inside")).alias(rank))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id",
-                    per_class: bool = False, longest: int | None = None, text: str = "text") -> DataFrame:
+                    per_class: bool = False, text: str = "text") -> DataFrame:
     """(doc_id, text, label) for at most ``rows`` labelled documents whose
-    crc32 modulo 5 is not 0, chosen by a hash of the id; with ``per_class``
-    half of them from either class. The ids are few by that bound, so the
-    join with the documents is a broadcast. An id labelled twice has the
-    larger label. ``longest`` leaves out texts of more bytes."""
+    crc32 modulo 5 is not 0, chosen by a hash of the id, whatever their
+    length; with ``per_class`` half of them from either class. The ids are few
+    by that bound, so the join with the documents is a broadcast. An id
+    labelled twice has the larger label."""
     ids = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
            .where(~held_out(doc_id, 5, 0)).groupBy(doc_id).agg(F.max(label).alias("label")))
     chance = F.xxhash64(F.lit("sample"), doc_id)
-    if longest:
-        short = docs.where(F.octet_length(text) <= longest).select(doc_id)
-        ids = ids.join(short, doc_id, "left_semi")
     pick = lambda df, n: df.orderBy(chance, doc_id).limit(n)
     if per_class:
         chosen = pick(ids.where("label = 0"), rows // 2).unionByName(pick(ids.where("label = 1"), rows // 2))

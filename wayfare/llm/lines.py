@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import content_key, materialise, row_slices, texts_as_bytes, without
+from wayfare.llm.common import boxed, content_key, materialise, row_slices, texts_as_bytes, unboxed, without
 
 MIN_DOCUMENTS = 10
 MIN_CHARS = 1
@@ -29,7 +29,7 @@ def line_keys(text: bytes) -> list[bytes]:
     return [line.strip() for line in text.lower().split(b"\n")]
 
 
-def explode_keys(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
+def explode_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """One row for each line with a key: its document (two hashes), position,
     128-bit key and whether the key is new in its document."""
 
@@ -58,7 +58,7 @@ def explode_keys(docs: DataFrame, text: str, min_chars: int) -> DataFrame:
                      pa.array(firsts, pa.bool_())],
                     names=["_doc1", "_doc2", "_place", "k1", "k2", "first"])
 
-    return docs.select("_doc1", "_doc2", text).mapInArrow(run, LINE_SCHEMA)
+    return docs.select("_doc1", "_doc2", "_text").mapInArrow(run, LINE_SCHEMA)
 
 
 def dedup_lines(
@@ -73,7 +73,8 @@ def dedup_lines(
     Every row counts as one document. A key shorter than ``min_chars`` code
     points is never dropped. ``text`` is replaced by the lines that stay,
     joined by ``\\n``; ``n_lines`` (before dropping) and ``n_dropped`` are
-    added, and columns of the input with these names give way. Null and empty
+    added, and columns of the input with these names give way; any other name
+    is safe. Null and empty
     texts are one empty line, which stays. Repeated rows and null ids are
     documents like others; an empty table gives an empty table.
 
@@ -84,8 +85,9 @@ def dedup_lines(
     """
     base = without(docs, "n_lines", "n_dropped")
     first, second = content_key(doc_id, text)
-    rows = base.withColumns({"_doc1": first, "_doc2": second})
-    lines = materialise(explode_keys(rows, text, min_chars), "line_keys")
+    rows = docs.select(boxed([c for c in base.columns if c != text]), first.alias("_doc1"), second.alias("_doc2"),
+                       F.col(text).alias("_text"))
+    lines = materialise(explode_keys(rows, min_chars), "line_keys")
 
     frequent = (lines.where("first").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_documents"))
                 .where(F.col("n_documents") >= min_documents).select("k1", "k2"))
@@ -93,13 +95,11 @@ def dedup_lines(
                .groupBy("_doc1", "_doc2").agg(F.collect_set("_place").alias("_dropped")))
 
     split = (rows.join(dropped, ["_doc1", "_doc2"], "left")
-             .withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)))
+             .withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1)))
     # array_except works by hashing and keeps the order of the positions
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_dropped"))
     kept = F.array_join(F.transform(stay, lambda p: F.get(F.col("_lines"), p)), "\n")
-    new_text = F.when(F.col("_dropped").isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(kept)
-    columns = [new_text.alias(c) if c == text else F.col(f"`{c}`") for c in base.columns]
-    return split.select(
-        *columns,
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint").alias("n_dropped"))
+    new_text = F.when(F.col("_dropped").isNull(), F.coalesce("_text", F.lit(""))).otherwise(kept)
+    out = unboxed(split, {text: new_text, "n_lines": F.size("_lines").cast("bigint"),
+                          "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint")})
+    return out.select(*[F.col(f"`{c}`") for c in base.columns], "n_lines", "n_dropped")

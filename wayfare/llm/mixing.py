@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import append_columns, content_key, materialise, texts_as_bytes, with_rank, without
+from wayfare.llm.common import append_columns, boxed, content_key, materialise, texts_as_bytes, unboxed, with_rank, without
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -127,8 +127,8 @@ def knapsack(sizes: np.ndarray, free: np.ndarray, rest: int, seed: int) -> np.nd
 
 
 def _fitted(histogram: DataFrame, seed: int) -> DataFrame:
-    """(source_no, size, base, extra): all documents are taken ``base`` times
-    and ``extra`` of a size once more. A group is one source's histogram: a
+    """(source_no, size, count, base, extra): all documents are taken ``base``
+    times and ``extra`` of the ``count`` of a size once more. A group is one source's histogram: a
     row for each distinct size, however many documents have it."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -138,9 +138,10 @@ def _fitted(histogram: DataFrame, seed: int) -> DataFrame:
         base = words // whole if whole else 0
         sizes, counts = (rows[c].to_numpy(np.int64) for c in ("size", "count"))
         extra = fit_budget(sizes, counts, words - base * whole, seed)
-        return pd.DataFrame({"source_no": rows["source_no"].to_numpy(), "size": sizes, "base": base, "extra": extra})
+        return pd.DataFrame({"source_no": rows["source_no"].to_numpy(), "size": sizes, "count": counts, "base": base,
+                             "extra": extra})
 
-    return histogram.groupBy("source_no").applyInPandas(fit, "source_no int, size long, base long, extra long")
+    return histogram.groupBy("source_no").applyInPandas(fit, "source_no int, size long, count long, base long, extra long")
 
 
 def mix(
@@ -163,27 +164,33 @@ def mix(
     table gives an empty table. Columns of the input with the names of the
     added ones give way.
 
-    Sizes are counted once and written with the kept columns. The hot source
-    is ranked in pieces (``with_rank``), never in one task.
+    Sizes are counted once and written with the kept columns. Only documents
+    of sizes of which some are taken and some not are ranked, large groups of
+    them in pieces (``with_rank``). Targets and plan have a row for each source
+    and each of its sizes.
     """
     added = ["size", "source_size", "target", "repeats", "taken"]
     clean = without(docs, *added)
     keep = [c for c in (keep or clean.columns) if c in clean.columns]
-    key = content_key(doc_id, text)
-    rows = with_sizes(clean.withColumns({"_doc1": key[0], "_doc2": key[1], "_source": F.col(source)}), text)
-    sized = materialise(rows.select(*keep, "_doc1", "_doc2", "_source", "size"), "sizes")
+    first, second = content_key(doc_id, text)
+    rows = docs.select(boxed(keep), first.alias("_doc1"), second.alias("_doc2"), F.col(source).alias("_source"),
+                       F.col(text).alias("_text"))
+    sized = materialise(with_sizes(rows, "_text").drop("_text"), "sizes")
 
     targets = materialise(source_targets(sized, "_source", weights, share), "targets")
     placed = _placed(sized, targets)
     histogram = (placed.groupBy("source_no", "size").agg(F.count(F.lit(1)).alias("count"))
                  .join(targets.drop("source"), "source_no"))
     plan = materialise(_fitted(histogram, seed), "mix_plan")
+    planned = placed.join(plan, ["source_no", "size"])
+    some = (F.col("extra") > 0) & (F.col("extra") < F.col("count"))
     order = F.xxhash64(F.lit(seed), "_doc1", "_doc2")
-    ranked = with_rank(placed, ["source_no", "size"], order, [F.col("_doc1"), F.col("_doc2")])
-    chosen = (ranked.join(plan, ["source_no", "size"]).join(targets.drop("source"), "source_no")
-              .withColumn("repeats", (F.col("base") + (F.col("rank") <= F.col("extra")).cast("long"))))
-    return chosen.select(*keep, "size", "source_size", "target", "repeats",
-                         (F.col("size") * F.col("repeats")).alias("taken"))
+    ranked = with_rank(planned.where(some), ["source_no", "size"], order, [F.col("_doc1"), F.col("_doc2")], size="count")
+    # all or none of the documents of other sizes are taken once more
+    whole = planned.where(~some).withColumn("rank", F.lit(1))
+    chosen = ranked.unionByName(whole).join(targets.drop("source"), "source_no").withColumn(
+        "repeats", F.col("base") + (F.col("rank") <= F.col("extra")).cast("long"))
+    return unboxed(chosen, {c: F.col(c) for c in added[:-1]} | {"taken": F.col("size") * F.col("repeats")})
 
 
 def _placed(sized: DataFrame, targets: DataFrame) -> DataFrame:

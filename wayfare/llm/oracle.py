@@ -36,11 +36,8 @@ lines AS (
   SELECT doc_id, source, body, unnest(string_split(body, chr(10))) AS line FROM body),
 full_lines AS (SELECT *, lower(trim(line, {SPACES})) AS key FROM lines WHERE trim(line, {SPACES}) <> ''),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
-hosts AS (SELECT source, count(DISTINCT text) AS n_texts FROM body GROUP BY source),
 frequent AS (
-  SELECT l.source, l.key FROM full_lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, l.key, h.n_texts
-  HAVING count(DISTINCT l.body) >= 10 AND count(DISTINCT l.body) >= 0.01 * h.n_texts),
+  SELECT source, key FROM full_lines GROUP BY source, key HAVING count(DISTINCT row(doc_id, body)) >= 10),
 removed AS (
   SELECT doc_id, sum(len(regexp_extract_all(l.key, '[^\\x20\\x09-\\x0D]+'))) AS n
   FROM full_lines l JOIN frequent f ON l.key = f.key AND l.source IS NOT DISTINCT FROM f.source

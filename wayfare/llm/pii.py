@@ -381,9 +381,14 @@ class Finder:
             yield base, added_spans(text, mine, base) if mine.any() else []
 
 
+# Words of one added span at most: a card of 19 digits, each a word.
+MOST_WORDS = 20
+
+
 def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of words with one tag, less signs at their ends, that have the
-    right form and touch no base span."""
+    """Runs of words with one tag as spans of the right form. A run ends at a
+    base span; one that is no span as a whole is cut, as a list of numbers is,
+    if all of its parts are spans then (as few as do)."""
     places = [m.span() for m in re.finditer(r"\S+", text)]
     if len(places) != len(tags):
         return []
@@ -392,24 +397,48 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
     for s, e in zip(edges, edges[1:]):
         if tags[s] == 0:
             continue
-        start, end = places[s][0], places[e - 1][1]
-        body = text[start:end]
         kind = KINDS[tags[s] - 1]
-        left = body.lstrip(".,;:!?\"'<>{}[]" + "(" * (kind != "phone"))
-        start += len(body) - len(left)
-        end = start + len(left.rstrip(".,;:!?\"'<>{}" + ")" * (kind in ("card", "ip"))))
-        clear = all(e2 <= start or end <= s2 for _, s2, e2 in base)
-        if start < end and clear and well_formed(kind, text[start:end]):
-            out.append((kind, start, end))
+        free = [all(e2 <= a or b <= s2 for _, s2, e2 in base) for a, b in places[s:e]]
+        cuts = [s - 1, *(s + k for k, clear in enumerate(free) if not clear), e]
+        for a, b in zip(cuts, cuts[1:]):
+            out += tiled(text, kind, places[a + 1:b])
     return out
 
 
+def tiled(text: str, kind: str, places: list[tuple[int, int]]) -> list[Span]:
+    """The fewest spans of a kind that together take all words at ``places``,
+    or none if that can't be. One may begin after a word that ends with a sign
+    of lists, or at a plus or bracket: spaces alone are inside numbers, too."""
+    begins = [i == 0 or text[places[i - 1][1] - 1] in ",;|/" or text[a] in "+(" for i, (a, _) in enumerate(places)]
+    ways: list[list[Span] | None] = [[]]  # of the first 0, 1, ... words
+    for end in range(1, len(places) + 1):
+        best = None
+        for start in range(max(0, end - MOST_WORDS), end):
+            if ways[start] is None or not begins[start] or best is not None and len(best) <= len(ways[start]) + 1:
+                continue
+            span = trimmed(text, kind, places[start][0], places[end - 1][1])
+            if span:
+                best = [*ways[start], span]
+        ways.append(best)
+    return ways[-1] or []
+
+
+def trimmed(text: str, kind: str, start: int, end: int) -> Span | None:
+    """The text between two places, less signs at its ends, if it has the form of the kind."""
+    body = text[start:end]
+    left = body.lstrip(".,;:!?\"'<>{}[]" + "(" * (kind != "phone"))
+    start += len(body) - len(left)
+    end = start + len(left.rstrip(".,;:!?\"'<>{}" + ")" * (kind in ("card", "ip"))))
+    return (kind, start, end) if start < end and well_formed(kind, text[start:end]) else None
+
+
 def find_personal_data(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone and base_sha256 of the base
     spans, n_added and ``spans``: all spans, ``kind:start:end`` in code points
     by kind as listed and then start, joined by commas.
 
-    Null and empty texts have no spans. Equal texts get equal results; an
+    Null and empty texts have no spans; very long ones are read whole, in
+    windows of words. Equal texts get equal results; an
     empty table gives an empty table; columns of the input with the names of
     the added ones give way."""
     added = T.StructType([*(T.StructField(f"n_{k}", T.LongType()) for k in KINDS),

@@ -11,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import SPACE, SPACE_CHARS, content_key, materialise, without
+from wayfare.llm.common import SPACE, SPACE_CHARS, boxed, content_key, materialise, unboxed, without
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
-# A line is removed where so many different documents of its host have it,
-# and they are so large a share of the host's documents.
+# A line is removed where so many documents of its host have it.
 MIN_DOCUMENTS = 10
-MIN_SHARE = 0.01
 # A document is depleted with fewer words than MIN_WORDS or this share left.
 MIN_LEFT = 0.3
 
@@ -67,15 +65,12 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_tied")
 
 
-def line_rows(docs: DataFrame, text: str, doc_id: str, host: str) -> DataFrame:
-    """(host, document, place, text hash, key, words) for each line with a word."""
-    first, second = content_key(doc_id, text)
-    rows = docs.select(F.col(host).alias("_host"), first.alias("_doc1"), second.alias("_doc2"),
-                       F.xxhash64(text).alias("_text"),
-                       F.posexplode_outer(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "\n", -1))
-                       .alias("_place", "line"))
-    line = rows.withColumn("line", F.btrim("line", F.lit(SPACE_CHARS))).where("line <> ''")
-    return line.select("_host", "_doc1", "_doc2", "_place", "_text", F.xxhash64("line").alias("_k1"),
+def line_rows(rows: DataFrame) -> DataFrame:
+    """(host, document, place, key, words) for each line with a word."""
+    each = rows.select("_host", "_doc1", "_doc2",
+                       F.posexplode_outer(F.split(F.lower(F.coalesce("_text", F.lit(""))), "\n", -1)).alias("_place", "line"))
+    line = each.withColumn("line", F.btrim("line", F.lit(SPACE_CHARS))).where("line <> ''")
+    return line.select("_host", "_doc1", "_doc2", "_place", F.xxhash64("line").alias("_k1"),
                        F.xxhash64(F.lit("second"), "line").alias("_k2"),
                        F.size(F.split("line", SPACE + "+")).alias("_words"))
 
@@ -86,51 +81,51 @@ def apply_rules(
     doc_id: str = "doc_id",
     host: str = "source",
     min_documents: int = MIN_DOCUMENTS,
-    min_share: float = MIN_SHARE,
+    min_share: float = 0.0,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """``docs`` with the base counts, base_failed, n_removed_words and kept.
 
     base_failed: fewer than ten words, or more than 20 % of them in repeated
-    windows. A line is above the limits where at least ``min_documents``
-    different texts of its host have it and they make at least ``min_share``
-    of the host's different texts, nulls not counted; copies of one text count
-    once, as copies are another operator's work. kept is false when base_failed, or when the
-    removed lines leave fewer than ten words or less than ``min_left`` of
-    them. Null and empty texts have zero counts and fail. A null host is a
-    host of its own. Equal rows get equal results; an empty table gives an
-    empty table. Columns of the input with the names of the added ones give
-    way.
+    windows. A line is above the limit where at least ``min_documents``
+    documents of its host have it, copies and documents without an id
+    included; ``min_share`` asks for a share of the host's documents, too.
+    A document is a row, but rows of equal id and text are one. kept is false
+    when base_failed, or when the removed lines leave fewer than ten words or
+    less than ``min_left`` of them. Null and empty texts have zero counts and
+    fail. A null host is a host of its own. Equal rows get equal results; an
+    empty table gives an empty table; very long texts are handled whole.
+    Columns of the input with the names of the added ones give way; any other
+    name is safe.
 
     A line or host with a third of all rows is counted by pre-aggregation:
-    distinct (host, line, text) first, then sums.
+    distinct (host, line, document) first, then sums.
     """
     base = without(docs, *METRICS, "base_failed", "n_removed_words", "kept")
     first, second = content_key(doc_id, text)
-    lines = materialise(line_rows(base, text, doc_id, host), "host_lines")
-    # the hash of a null is a number, but a null is no text
-    own = F.when(F.col(text).isNotNull(), F.xxhash64(text)).alias("_text")
-    texts = base.select(F.col(host).alias("_host"), own).groupBy("_host").agg(
-        F.count_distinct("_text").alias("_n_texts"))
-    counted = lines.groupBy("_host", "_k1", "_k2").agg(F.count_distinct("_text").alias("_n")).where(
+    rows = docs.select(boxed(base.columns), first.alias("_doc1"), second.alias("_doc2"),
+                       F.col(text).alias("_text"), F.col(host).alias("_host"))
+    lines = materialise(line_rows(rows), "host_lines")
+    common = lines.groupBy("_host", "_k1", "_k2").agg(F.count_distinct("_doc1", "_doc2").alias("_n")).where(
         F.col("_n") >= min_documents)
-    common = (counted.alias("c").join(texts.alias("t"), F.col("c._host").eqNullSafe(F.col("t._host")))
-              .where(F.col("_n") >= min_share * F.col("_n_texts")).select("c._host", "_k1", "_k2"))
+    if min_share > 0:
+        hosts = rows.groupBy("_host").agg(F.count_distinct("_doc1", "_doc2").alias("_of"))
+        common = (common.alias("c").join(hosts.alias("t"), F.col("c._host").eqNullSafe(F.col("t._host")))
+                  .where(F.col("_n") >= min_share * F.col("_of")).select("c._host", "_k1", "_k2"))
     removed = (lines.alias("l").join(common.alias("c"), (F.col("l._k1") == F.col("c._k1"))
                                      & (F.col("l._k2") == F.col("c._k2"))
                                      & F.col("l._host").eqNullSafe(F.col("c._host")))
                # equal rows give each of their lines more than once
                .select("_doc1", "_doc2", "_place", "_words").distinct()
                .groupBy("_doc1", "_doc2").agg(F.sum("_words").alias("_removed")))
-    measured = with_metrics(base.withColumns({"_doc1": first, "_doc2": second}), text)
-    return _verdict(measured.join(removed, ["_doc1", "_doc2"], "left"), base.columns, min_left)
+    measured = with_metrics(rows.drop("_host"), "_text").drop("_text")
+    return _verdict(measured.join(removed, ["_doc1", "_doc2"], "left"), min_left)
 
 
-def _verdict(rows: DataFrame, columns: list[str], min_left: float) -> DataFrame:
+def _verdict(rows: DataFrame, min_left: float) -> DataFrame:
     gone = F.coalesce(F.col("_removed"), F.lit(0)).cast("bigint")
     left = F.col("n_words") - F.col("n_removed_words")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumns({"n_removed_words": gone, "base_failed": failed})
-    return rows.select(
-        *[F.col(f"`{c}`") for c in columns], *METRICS, "base_failed", "n_removed_words",
-        (~F.col("base_failed") & (left >= MIN_WORDS) & (left >= min_left * F.col("n_words"))).alias("kept"))
+    kept = ~F.col("base_failed") & (left >= MIN_WORDS) & (left >= min_left * F.col("n_words"))
+    return unboxed(rows, {c: F.col(c) for c in [*METRICS, "base_failed", "n_removed_words"]} | {"kept": kept})

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import append_columns, content_key, materialise, texts_as_bytes, without
+from wayfare.llm.common import append_columns, boxed, content_key, materialise, texts_as_bytes, unboxed
 from wayfare.llm.components import connected_components
 from wayfare.llm.gray import GrayIndex, gray_rank
 
@@ -254,13 +254,14 @@ def near_duplicates(
 def one_of_each_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                       shingle_words: int = SHINGLE_WORDS, limit: int = MAX_DISTANCE) -> DataFrame:
     """``docs`` with one row of each group: the smallest id, then the smallest
-    hash of the row; null ids come last. Of equal rows one stays."""
+    hash of the row; null ids come last. Of equal rows one stays. Any column
+    names are safe."""
     order = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_doc1", "_doc2")
     groups = near_duplicates(docs, text, doc_id, shingle_words, limit)
     # a component is named by its smallest id, and rows without one by their code
     name = F.coalesce(F.col("component_id").cast("string"), hex_code(F.col("fingerprint")))
     kept = groups.groupBy(name).agg(F.min(order).alias("k")).select("k._doc1", "k._doc2")
     first, second = content_key(doc_id, text)
-    rows = without(docs, "_doc1", "_doc2").withColumns({"_doc1": first, "_doc2": second})
+    rows = docs.select(boxed(docs.columns), first.alias("_doc1"), second.alias("_doc2"))
     stay = rows.join(kept, ["_doc1", "_doc2"], "left_semi")
-    return stay.dropDuplicates(["_doc1", "_doc2"]).drop("_doc1", "_doc2")
+    return unboxed(stay.dropDuplicates(["_doc1", "_doc2"]), {})

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import Adam, WordIds, append_columns, labelled_sample, ngrams, sigmoid, texts_as_bytes
+from wayfare.llm.common import Adam, WordIds, append_columns, labelled_sample, ngrams, row_slices, sigmoid, texts_as_bytes
 
 WINDOW_WORDS, STRIDE = 32, 24
 THRESHOLD = 0.5
-# Labelled documents to learn from (half toxic, if there are as many), and
-# the longest text among them in bytes.
-SAMPLE_ROWS, SAMPLE_BYTES = 2400, 4000
+# Labelled documents to learn from (half toxic, if there are as many), of any
+# length, and windows of each, evenly spaced over its whole text.
+SAMPLE_ROWS, SAMPLE_WINDOWS = 2400, 128
 EMBED, HIDDEN, ATTENTION = 6, 6, 6
 NGRAM_ROWS = 1 << 13
 MIN_WORD_TEXTS = 3
@@ -204,10 +204,20 @@ def subset(parts: dict, words: np.ndarray) -> dict:
     return {"rows": parts["rows"][words], "grams": parts["grams"][grams], "starts": starts, "counts": counts}
 
 
-def fit(texts: list[bytes], y: np.ndarray, seed: int = SEED) -> Recurrent:
-    """Train on whole texts: in every step the windows that now score highest
+def windows_of(text: bytes, most: int = SAMPLE_WINDOWS) -> list[bytes]:
+    """The overlapping windows of a text, or ``most`` of them, evenly spaced
+    from the first to the last."""
+    words = text.split()
+    start, size, _ = cut(np.array([len(words)]))
+    pick = np.arange(len(start)) if len(start) <= most else np.linspace(0, len(start) - 1, most).astype(int)
+    return [b" ".join(words[start[i]:start[i] + size[i]]) for i in pick]
+
+
+def fit(texts: list[list[bytes]], y: np.ndarray, seed: int = SEED) -> Recurrent:
+    """Train on the windows of texts: in every step the windows that now score highest
     stand for their texts (two for texts that are not toxic)."""
-    split = [t.split() for t in texts]
+    bags = [[w.split() for w in windows] for windows in texts]
+    split = [[x for w in bag for x in w] for bag in bags]
     names = {x: i for i, x in enumerate(sorted(set(chain.from_iterable(split))))}
     lengths = np.array([len(x) for x in split], np.int64)
     flat = np.fromiter((names[x] for x in chain.from_iterable(split)), np.int64)
@@ -239,8 +249,12 @@ def fit(texts: list[bytes], y: np.ndarray, seed: int = SEED) -> Recurrent:
     rng = np.random.default_rng(seed)
     adam = Adam(model.w, RATE)
     by_class = [np.nonzero(label == c)[0] for c in (0, 1)]
-    ids, first = to_ids(flat + 1, lengths)
-    stops = np.append(first[1:], len(ids))
+    counts = np.array([len(bag) for bag in bags])
+    ids = np.zeros((counts.sum(), WINDOW_WORDS), np.int64)
+    for row, words in zip(ids, chain.from_iterable(bags)):
+        row[:len(words)] = [names[x] + 1 for x in words]
+    first = np.cumsum(counts) - counts
+    stops = first + counts
     for _ in range(STEPS):
         pick = np.concatenate([rng.choice(c, min(len(c), BATCH_TEXTS // 2), replace=False) for c in by_class])
         rows = np.concatenate([np.arange(first[i], stops[i]) for i in pick])
@@ -263,13 +277,24 @@ def fit(texts: list[bytes], y: np.ndarray, seed: int = SEED) -> Recurrent:
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
           rows: int = SAMPLE_ROWS) -> Recurrent:
-    """Learn from at most ``rows`` labelled documents (crc32 modulo 5 not 0)
-    of at most ``SAMPLE_BYTES`` bytes: under 10 MB reach the driver."""
-    sample = labelled_sample(docs, labels, label, rows, doc_id, True, SAMPLE_BYTES, text)
-    got = (sample.select(F.col(text).cast("binary").alias("body"), F.col("label").cast("double"),
-                         F.xxhash64(doc_id, text).alias("chance"))
-           .orderBy("chance").limit(rows).toArrow())
-    return fit([x or b"" for x in got["body"].to_pylist()], got["label"].to_numpy())
+    """Learn from at most ``rows`` labelled documents (crc32 modulo 5 not 0),
+    half of them toxic if there are as many, whatever their length. Texts are
+    cut in the tasks: ``SAMPLE_WINDOWS`` windows of each reach the driver at
+    most. Null and empty texts are one window without words."""
+    sample = labelled_sample(docs, labels, label, rows, doc_id, True, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in row_slices(whole):
+                bags = [windows_of(t) for t in texts_as_bytes(batch.column(0))]
+                yield pa.RecordBatch.from_arrays([pa.array(bags, pa.list_(pa.binary())), batch.column(1), batch.column(2)],
+                                                 names=["windows", "label", "chance"])
+
+    cut_up = sample.select(F.col(text), F.col("label").cast("double"), F.xxhash64(doc_id, text).alias("chance")).mapInArrow(
+        run, "windows array<binary>, label double, chance bigint")
+    # an id may be that of many rows
+    got = cut_up.orderBy("chance").limit(rows).toArrow()
+    return fit(got["windows"].to_pylist(), got["label"].to_numpy())
 
 
 class Scorer:
@@ -310,8 +335,8 @@ class Scorer:
 
 def score(docs: DataFrame, model: Recurrent, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from
-    ``threshold`` on). Every word of the text is in one window at least and
-    most are in two. Null and empty texts are one window without words. Equal texts get equal
+    ``threshold`` on). Windows of 32 words overlap by 8, so every word of the
+    text is in one or two; very long texts are scored whole. Null and empty texts are one window without words. Equal texts get equal
     scores but for rounding in single precision; an empty table gives an empty table; columns of
     the input with these names give way."""
 
