@@ -51,9 +51,14 @@ def boxed(columns: list[str]) -> Column:
 
 
 def unboxed(df: DataFrame, added: dict[str, Column]) -> DataFrame:
-    """The caller's columns out of ``_row`` again, and the ``added`` ones."""
+    """The caller's columns out of ``_row`` again, and the ``added`` ones. The
+    latter are made in a step of their own, where no name of the caller can
+    stand for one of theirs."""
     own = [F.col("_row").getField(f.name).alias(f.name) for f in df.schema["_row"].dataType.fields]
-    return df.select(*own, *[c.alias(name) for name, c in added.items()])
+    if not added:
+        return df.select(*own)
+    both = df.select("_row", F.struct(*[c.alias(name) for name, c in added.items()]).alias("_added"))
+    return both.select(*own, *[F.col("_added").getField(name).alias(name) for name in added])
 
 
 def held_out(doc_id: str, modulus: int, remainder: int) -> Column:
