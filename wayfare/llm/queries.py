@@ -67,7 +67,7 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    return rules.apply_rules(docs).select("doc_id", *rules.METRICS, "base_failed", "kept", "n_removed_words")
+    return rules.apply_rules(docs, keep=["doc_id"]).select("doc_id", *rules.METRICS, "base_failed", "kept", "n_removed_words")
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,8 +83,11 @@ def apply_rules(
     min_documents: int = MIN_DOCUMENTS,
     min_share: float = 0.0,
     min_left: float = MIN_LEFT,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``docs`` with the base counts, base_failed, n_removed_words and kept.
+    """The columns ``keep`` of ``docs`` (default: all) with the base counts,
+    base_failed, n_removed_words and kept. Columns that are not kept, such as
+    the text, stay where they are read.
 
     base_failed: fewer than ten words, or more than 20 % of them in repeated
     windows. A line is above the limit where at least ``min_documents``
@@ -103,7 +106,7 @@ def apply_rules(
     """
     base = without(docs, *METRICS, "base_failed", "n_removed_words", "kept")
     first, second = content_key(doc_id, text)
-    rows = docs.select(boxed(base.columns), first.alias("_doc1"), second.alias("_doc2"),
+    rows = docs.select(boxed([c for c in (keep or base.columns) if c in base.columns]), first.alias("_doc1"), second.alias("_doc2"),
                        F.col(text).alias("_text"), F.col(host).alias("_host"))
     lines = materialise(line_rows(rows), "host_lines")
     common = lines.groupBy("_host", "_k1", "_k2").agg(F.count_distinct("_doc1", "_doc2").alias("_n")).where(
