@@ -145,15 +145,20 @@ def with_rank(df: DataFrame, group: list[str], order: Column, ties: list[Column]
     return joined.select(*kept, (F.coalesce("_below", F.lit(0)) + F.col("_inside")).alias(rank))
 
 
+def labelled_ids(labels: DataFrame, label: str, doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, label) of the ids to learn from: labelled, and crc32 modulo 5
+    not 0. An id labelled twice has the larger label."""
+    return (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
+            .where(~held_out(doc_id, 5, 0)).groupBy(doc_id).agg(F.max(label).alias("label")))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id",
                     per_class: bool = False, text: str = "text") -> DataFrame:
     """(doc_id, text, label) for at most ``rows`` labelled documents whose
     crc32 modulo 5 is not 0, chosen by a hash of the id, whatever their
     length; with ``per_class`` half of them from either class. The ids are few
-    by that bound, so the join with the documents is a broadcast. An id
-    labelled twice has the larger label."""
-    ids = (labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-           .where(~held_out(doc_id, 5, 0)).groupBy(doc_id).agg(F.max(label).alias("label")))
+    by that bound, so the join with the documents is a broadcast."""
+    ids = labelled_ids(labels, label, doc_id)
     chance = F.xxhash64(F.lit("sample"), doc_id)
     pick = lambda df, n: df.orderBy(chance, doc_id).limit(n)
     if per_class:

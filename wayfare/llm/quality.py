@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayfare.llm.common import Adam, append_columns, labelled_sample, row_slices, sigmoid, texts_as_bytes
+from wayfare.llm.common import Adam, append_columns, labelled_ids, labelled_sample, row_slices, sigmoid, texts_as_bytes
 
 PASSAGE_WORDS = 64
 # Labelled documents to learn from, and passages of each (evenly spaced).
@@ -43,12 +43,57 @@ def _byte_classes() -> np.ndarray:
     return table
 
 
-def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """``text`` in pieces of whole passages and about ``size`` bytes; one is
+    longer only where a single passage is. All but the first begin at a word."""
+    blank = np.zeros(256, bool)
+    blank[[9, 10, 11, 12, 13, 32]] = True
+    at, ahead = 0, size
+    while len(text) - at > ahead:
+        space = blank[np.frombuffer(text, np.uint8, ahead, at)]
+        starts = np.nonzero(~space & np.concatenate([[True], space[:-1]]))[0]
+        whole = (len(starts) - 1) // PASSAGE_WORDS * PASSAGE_WORDS
+        if whole > 0:
+            yield text[at:at + int(starts[whole])]
+            at, ahead = at + int(starts[whole]), size
+        else:
+            ahead *= 2
+    yield text[at:]
+
+
+def encode(texts: list[bytes], size: int = BATCH_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """Features of every passage of every text, and each text's first row.
 
-    Shares of byte classes, mean word length, words in capitals, words equal
-    to the one before, distinct words, and how full the passage is. A text
-    without words is one passage of zeros.
+    Passages do not depend on one another, so at most about ``size`` bytes are
+    encoded at once: short texts together, a longer one piece by piece.
+    """
+    parts: list[np.ndarray] = [np.zeros((0, CLASSES + 5), np.float32)]
+    first, rows, held, held_bytes = [], 0, [], 0
+    for text in texts:
+        if held and held_bytes + len(text) > size:
+            x, starts = _encode(held)
+            parts.append(x)
+            first += (starts + rows).tolist()
+            rows, held, held_bytes = rows + len(x), [], 0
+        if len(text) <= size:
+            held.append(text)
+            held_bytes += len(text)
+            continue
+        first.append(rows)
+        for piece in pieces(text, size):
+            parts.append(_encode([piece])[0])
+            rows += len(parts[-1])
+    if held:
+        x, starts = _encode(held)
+        parts.append(x)
+        first += (starts + rows).tolist()
+    return np.concatenate(parts), np.array(first, np.int64)
+
+
+def _encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of byte classes, mean word length, words in capitals, words equal
+    to the one before in their passage, distinct words, and how full the
+    passage is. A text without words is one passage of zeros.
     """
     body = np.frombuffer(b"".join(t + b"\n" for t in texts) or b"\n", np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts])
@@ -90,7 +135,7 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     term *= body
     term[space] = 0
     code = np.add.reduceat(term, starts)
-    same = np.concatenate([[False], (code[1:] == code[:-1]) & (owner[1:] == owner[:-1])])
+    same = np.concatenate([[False], (code[1:] == code[:-1]) & (row[1:] == row[:-1])])
     order = np.lexsort((code, row))
     r, c = row[order], code[order]
     fresh = np.concatenate([[True], (r[1:] != r[:-1]) | (c[1:] != c[:-1])])
@@ -131,14 +176,17 @@ class GatedAttention:
     def normal(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -8, 8)
 
-    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> GatedAttention:
+    def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> GatedAttention:
+        """Learn the bags' labels ``y``; a bag of ``weight`` 2 counts as two."""
+        weight = np.ones(len(y)) if weight is None else weight
+        share = (weight / weight.sum()).astype(np.float32)
         self.mean, self.scale = x.mean(0), x.std(0) + 0.01
         x, w, y = self.normal(x).astype(np.float32), self.w, y.astype(np.float32)
         adam = Adam(w, RATE)
         for _ in range(EPOCHS):
             f = self.forward(x, first)
             bag, h, t, s, a = (f[k] for k in ("bag", "h", "t", "s", "a"))
-            miss = ((f["p"] - y) / len(y)).astype(np.float32)
+            miss = ((f["p"] - y) * share).astype(np.float32)
             dz = miss[:, None] * w["score"]
             da = (h * dz[bag]).sum(1)
             de = a * (da - np.add.reduceat(a * da, first)[bag])
@@ -162,10 +210,13 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
           rows: int = SAMPLE_ROWS) -> GatedAttention:
     """Learn from at most ``rows`` labelled documents (crc32 modulo 5 not 0).
 
-    Passages are encoded in tasks; the driver gets numbers, no texts, at most
-    ``SAMPLE_PASSAGES`` rows a document. Without labels every score is 0.5.
+    At most half of them come from either class, so that a rare one is learnt
+    too; a document weighs as many labelled ones as it stands for, so scores
+    keep to the shares of the classes. Passages are encoded in tasks; the
+    driver gets numbers, no texts, at most ``SAMPLE_PASSAGES`` rows a document.
+    Without labels every score is 0.5.
     """
-    sample = labelled_sample(docs, labels, label, rows, doc_id, text=text)
+    sample = labelled_sample(docs, labels, label, rows, doc_id, per_class=True, text=text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in row_slices(whole, BATCH_BYTES)):
@@ -189,13 +240,17 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         return model
     bags = [np.asarray(v, np.float32).reshape(-1, CLASSES + 5) for v in got["x"].to_pylist()]
     first = np.cumsum([0, *map(len, bags[:-1])])
-    return model.fit(np.concatenate(bags), first, y)
+    good, bad = (labelled_ids(labels, label, doc_id)
+                 .agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first())
+    ones = max(1, int(y.sum()))
+    weight = np.where(y == 1, max(good, 1) / ones, max(bad, 1) / max(1, len(y) - ones))
+    return model.fit(np.concatenate(bags), first, y, weight)
 
 
 def score(docs: DataFrame, model: GatedAttention, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from
-    ``threshold`` on). Whole texts are scored; null and empty texts are one
-    passage of zeros. Equal texts get equal
+    ``threshold`` on). Whole texts are scored, very long ones encoded piece by
+    piece; null and empty texts are one passage of zeros. Equal texts get equal
     scores but for rounding in single precision; an empty table gives an
     empty table; columns of the input with these names give way."""
 

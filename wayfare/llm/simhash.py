@@ -8,6 +8,7 @@ the index find the partners.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,30 +36,56 @@ BLOCK_ROWS = 1 << 17
 # Shingles whose bits are counted at once, and queries searched at once.
 BITS_AT_ONCE = 1 << 16
 QUERIES_AT_ONCE = 2048
+# Bytes of a text whose words are held at once.
+SLICE_BYTES = 1 << 20
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
+def word_slices(text: bytes, size: int) -> Iterator[list[bytes]]:
+    """The words of ``text``, lower-cased, slice by slice of about ``size``
+    bytes. On bytes, Python lower-cases A-Z only and splits at space and
+    \\x09-\\x0D."""
+    at = 0
+    while at < len(text):
+        gap = SPACE.search(text, at + size)
+        stop = gap.start() if gap else len(text)
+        yield text[at:stop].lower().split()
+        at = stop
+
+
+def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS, size: int = SLICE_BYTES) -> int:
     """64-bit SimHash of the word shingles of a UTF-8 text (0 without words).
 
-    On bytes, Python lower-cases A-Z only and splits at space and \\x09-\\x0D.
+    A long text is read slice by slice; the last words of a slice begin the
+    shingles that reach into the next one.
     """
-    words = text.lower().split()
-    if not words:
-        return 0
-    width = min(shingle_words, len(words))
-    joined = b" ".join(words)
-    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    starts = [0, *stops.tolist()]
-    ends = (stops - 1).tolist()
+    ones, total, words = np.zeros(64, np.int64), 0, []
     digest = xxhash.xxh64_intdigest
-    spans = list(zip(starts, ends[width - 1:]))
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(spans), BITS_AT_ONCE):
-        part = spans[at:at + BITS_AT_ONCE]
-        hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in part), "<u8", len(part))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(spans), bitorder="little").view("<u8")[0])
+    for part in word_slices(text, size):
+        words = words + part
+        if len(words) < shingle_words:
+            continue
+        joined = b" ".join(words)
+        stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        ends = (stops[shingle_words - 1:] - 1).tolist()
+        starts = [0, *stops[:len(ends) - 1].tolist()]
+        for at in range(0, len(ends), BITS_AT_ONCE):
+            spans = zip(starts[at:at + BITS_AT_ONCE], ends[at:at + BITS_AT_ONCE])
+            hashes = np.array([digest(joined[s:e], SEED) for s, e in spans], "<u8")
+            ones += _bits(hashes)
+        total += len(ends)
+        words = words[len(ends):]
+    if not total:
+        if not words:
+            return 0
+        ones, total = _bits(np.array([digest(b" ".join(words), SEED)], "<u8")), 1
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+
+
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
 
 
 def with_fingerprints(docs: DataFrame, text: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
