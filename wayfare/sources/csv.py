@@ -117,20 +117,30 @@ def two_leg_flights(fields: DataFrame, legs: Column, window: tuple[tuple[int, in
     """Flights typed strictly, but only as far as the two-leg job reads them:
     the route (``legs``, over origin and dest) first, then the window, then
     the flags, then the delay. A number that is not reached is NULL, however
-    malformed, so a header or a blank flag of another route does no harm."""
+    malformed, so a header or a blank flag of another route does no harm.
+
+    Each number is tried once, and a malformed one raises where it is reached.
+    No guard is built on another guarded column, so the expressions, which
+    the optimizer copies into the filters that follow, stay small enough to
+    be compiled."""
     texts = ["flight_date", "carrier", "origin", "dest", "dep_time", "arr_time"]
-    numbers = ["year", "month", "arr_delay_min", "cancelled", "diverted"]
-    rows = fields.select(*[java_trim(_raw(c)).alias(c) for c in texts], *[_raw(c) for c in numbers])
-    flag = lambda name: strict_double(_raw(name)).cast("int")
+    types = {"year": "int", "month": "int", "cancelled": "double", "diverted": "double", "arr_delay_min": "double"}
+    tried = {c: java_trim(F.coalesce(_raw(c), F.lit(""))).try_cast(t) for c, t in types.items()}
+    flags = {c: tried[c].try_cast("int") for c in ("cancelled", "diverted")}
+    rows = fields.select(
+        *[java_trim(_raw(c)).alias(c) for c in texts], *[_raw(c) for c in types],
+        *[c.alias("try_" + name) for name, c in (tried | flags).items()])
+
+    def reached(name: str, guard: Column) -> Column:
+        bad = F.raise_error(F.concat(F.lit(f"no number in {name}: "), F.coalesce(_raw(name), F.lit(""))))
+        return F.when(guard, F.coalesce(F.col("try_" + name), bad)).alias(name)
+
     (first, _), (last, _) = window
-    rows = rows.withColumn("year", F.when(legs, strict_int(_raw("year"))))
-    rows = rows.withColumn("month", F.when(F.col("year").between(first, last), strict_int(_raw("month"))))
-    inside = in_year_month_window(*window)
-    rows = rows.withColumn("cancelled", F.when(inside, flag("cancelled")))
-    rows = rows.withColumn("diverted", F.when(inside, flag("diverted")))
-    flown = inside & not_flagged("cancelled", "diverted")
-    rows = rows.withColumn("arr_delay_min", F.when(flown, strict_double(_raw("arr_delay_min"))))
-    return rows.select(*texts, *numbers)
+    inside = legs & in_year_month_window(*window, year="try_year", month="try_month")
+    return rows.select(
+        *texts, reached("year", legs), reached("month", legs & F.col("try_year").between(first, last)),
+        reached("arr_delay_min", inside & not_flagged("try_cancelled", "try_diverted")),
+        reached("cancelled", inside), reached("diverted", inside))
 
 
 def _quoted(c: Column) -> Column:
