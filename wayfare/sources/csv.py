@@ -72,12 +72,16 @@ def field_count(line: Column) -> Column:
 def parse_flight_lines(lines: DataFrame, value: str = "value", n_fields: int = N_FIELDS,
                        keep: list[str] | None = None) -> DataFrame:
     """Parse a column of CSV lines into positional string fields. Fields past
-    ``n_fields`` are ignored; a line with fewer raises."""
+    ``n_fields`` are ignored; a line with fewer raises.
+
+    The fields come out of a generator of one row a line, because filters are
+    not pushed below it: pushed down, each of their references to a field
+    would parse the line once more."""
     schema = flight_csv_schema(n_fields)
     fields = F.from_csv(F.col(value), schema.simpleString(), CSV_OPTIONS)
     short = F.raise_error(F.concat(F.lit(f"fewer than {n_fields} fields: "), F.col(value)))
-    parsed = F.when(field_count(F.col(value)) < n_fields, short).otherwise(fields).alias("r")
-    return lines.select(*(keep or []), parsed).select(*(keep or []), "r.*")
+    parsed = F.when(field_count(F.col(value)) < n_fields, short).otherwise(fields)
+    return lines.select(*(keep or []), F.inline(F.array(parsed)))
 
 
 def _raw(name: str) -> Column:
