@@ -141,3 +141,22 @@ def test_two_leg_job_parses_only_what_it_reaches(spark, tmp_path):
     assert tuple(totals(lines)) == (1, 12, 12.0)
     with pytest.raises(SPARK_ERRORS):  # a delay that is read must be a number
         totals(lines + [_line(**_LEG | {"arr_delay_min": ""}, origin="ORD", dest="LAX")])
+
+
+@pytest.mark.parametrize("name", ["two_leg_running_csv", "monthly_delay_text_csv", "csv_flights_files"])
+def test_lines_are_parsed_once(spark, name):
+    """No filter that follows parses a line again for a field it reads."""
+    import __spark_entry__ as E
+    from tests.conftest import SF001
+
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_csv(") == 1
+
+
+def test_wide_lines_pass_and_short_ones_raise(spark):
+    df = lambda *lines: spark.createDataFrame([(x,) for x in lines], "value string")
+    rows = parse_flight_lines(df('1,"a,b",3,4,5,6', "1,2,3,", '"x\ny",,,'), n_fields=4).collect()
+    assert [tuple(r) for r in rows] == [("1", "a,b", "3", "4"), ("1", "2", "3", None), ("x\ny", None, None, None)]
+    for bad in ("1,2,3", '1,"2,3",4', "", " \t "):
+        with pytest.raises(SPARK_ERRORS):
+            parse_flight_lines(df(bad), n_fields=4).collect()

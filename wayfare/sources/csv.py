@@ -45,6 +45,10 @@ CSV_OPTIONS = {
 }
 
 
+#: Holds a line that has more or fewer fields than the layout.
+ODD_LINE = "_odd_line"
+
+
 def field_name(pos: int) -> str:
     for name, p in FLIGHT_COLUMNS.items():
         if p == pos:
@@ -77,11 +81,16 @@ def parse_flight_lines(lines: DataFrame, value: str = "value", n_fields: int = N
     The fields come out of a generator of one row a line, because filters are
     not pushed below it: pushed down, each of their references to a field
     would parse the line once more."""
-    schema = flight_csv_schema(n_fields)
-    fields = F.from_csv(F.col(value), schema.simpleString(), CSV_OPTIONS)
-    short = F.raise_error(F.concat(F.lit(f"fewer than {n_fields} fields: "), F.col(value)))
-    parsed = F.when(field_count(F.col(value)) < n_fields, short).otherwise(fields)
-    return lines.select(*(keep or []), F.inline(F.array(parsed)))
+    fields = flight_csv_schema(n_fields)
+    marked = StructType([*fields.fields, StructField(ODD_LINE, StringType(), True)])
+    parsed = F.from_csv(F.col(value), marked.simpleString(), CSV_OPTIONS | {"columnNameOfCorruptRecord": ODD_LINE})
+    short = lambda line: F.raise_error(F.concat(F.lit(f"fewer than {n_fields} fields: "), line))
+    if n_fields > 1:  # the parser does not mark a blank line
+        parsed = F.when(java_trim(value) == "", short(F.col(value))).otherwise(parsed)
+    rows = lines.select(*(keep or []), F.inline(F.array(parsed)))
+    # it marks one with more or fewer fields; only there are they counted
+    odd = F.col(ODD_LINE)
+    return rows.where(F.when(odd.isNull(), True).when(field_count(odd) >= n_fields, True).otherwise(short(odd).cast("boolean"))).drop(ODD_LINE)
 
 
 def _raw(name: str) -> Column:
