@@ -17,8 +17,8 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF001).toPandas()
-    exp = duck.sql(E.oracle_sql()[name]).df()
+    got = E.queries()[name](spark, SF001).toArrow()
+    exp = duck.sql(E.oracle_sql()[name]).to_arrow_table()
     ok, why = frames_equal(got, exp)
     assert ok, why
 
