@@ -40,7 +40,7 @@ def write(spark, folder, **tables):
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
     duck_views(con, SF001, ["documents", "benchmark"])
-    ok, why = frames_equal(E.queries()[name](spark, SF001).toPandas(), con.sql(E.oracle_sql()[name]).df())
+    ok, why = frames_equal(E.queries()[name](spark, SF001).toArrow(), con.sql(E.oracle_sql()[name]).to_arrow_table())
     assert ok, why
 
 

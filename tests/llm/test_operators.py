@@ -216,7 +216,7 @@ def test_query_matches_sql(spark, name, sf):
     from wayfare.testing import duck_views
 
     con = duck_views(duckdb.connect(), f"/root/testdata/{sf}", ["documents"])
-    ok, why = frames_equal(E.queries()[name](spark, f"/root/testdata/{sf}").toPandas(), con.sql(E.oracle_sql()[name]).df())
+    ok, why = frames_equal(E.queries()[name](spark, f"/root/testdata/{sf}").toArrow(), con.sql(E.oracle_sql()[name]).to_arrow_table())
     assert ok, why
 
 
