@@ -265,3 +265,33 @@ def test_union_average_keeps_fractions_and_skips_nulls(spark):
 
     assert average(5.9, 7.9) == 13.8
     assert average(None, 7) == 14.0
+
+
+@pytest.fixture
+def one_hot_group(spark):
+    """Legs of one date and transit, whose join would go to one task."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    rows = [flight(i, "ORD", "LAX", arr=f"{i % 24:02d}{i % 60:02d}", delay=i % 9) for i in range(200)]
+    rows += [flight(1000 + i, "LAX", "JFK", dep=f"{i % 23:02d}{i % 59:02d}", delay=i % 7) for i in range(300)]
+    yield rows
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def tasks(df):
+    return df.select(F.spark_partition_id().alias("task")).distinct().count()
+
+
+def expected_pairs(rows):
+    return sorted((a[0], b[0]) for a in rows for b in rows
+                  if (a[7], b[8]) == ("ORD", "JFK") and a[8] == b[7] and a[10] < b[9])
+
+
+def test_pairs_of_one_group_are_joined_in_several_tasks(spark, one_hot_group):
+    p = C.pairs(C.tag_legs(flights_df(spark, one_hot_group), keep=["l_orderkey"]), carry=["l_orderkey"])
+    assert "_slice" not in p.columns
+    assert sorted((r.a_l_orderkey, r.b_l_orderkey) for r in p.collect()) == expected_pairs(one_hot_group)
+    assert tasks(p) > 1
