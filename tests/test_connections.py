@@ -295,3 +295,12 @@ def test_pairs_of_one_group_are_joined_in_several_tasks(spark, one_hot_group):
     assert "_slice" not in p.columns
     assert sorted((r.a_l_orderkey, r.b_l_orderkey) for r in p.collect()) == expected_pairs(one_hot_group)
     assert tasks(p) > 1
+
+
+def test_year_rows_of_one_group_are_joined_in_several_tasks(spark, one_hot_group, monkeypatch):
+    from wayfare.plans import jobs
+
+    monkeypatch.setattr(jobs, "flight_rows", lambda spark, sf_dir: flights_df(spark, one_hot_group))
+    p = jobs.two_leg_year_2007_rows(spark, "")
+    assert p.count() == len(expected_pairs(one_hot_group))
+    assert tasks(p) > 1
