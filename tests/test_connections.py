@@ -304,3 +304,10 @@ def test_year_rows_of_one_group_are_joined_in_several_tasks(spark, one_hot_group
     p = jobs.two_leg_year_2007_rows(spark, "")
     assert p.count() == len(expected_pairs(one_hot_group))
     assert tasks(p) > 1
+
+
+def test_flattened_rows_of_one_group_are_joined_in_several_tasks(spark, one_hot_group):
+    p = C.joined_counts(C.tag_legs(flights_df(spark, one_hot_group), exact=True))
+    assert p.columns == ["flight_date", "transit", "t1", "d1", "t2", "d2", "n"]
+    assert sum(r.n for r in p.collect()) == len(expected_pairs(one_hot_group))
+    assert tasks(p) > 1
