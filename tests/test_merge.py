@@ -141,6 +141,24 @@ def test_range_scan_opens_only_the_files_it_needs(spark, tmp_path):
     assert K.scan_split_range(spark, path, key(13), key(14)).count() == 0
 
 
+def test_file_bounds_sort_no_table_rows(spark, tmp_path):
+    """The keys of the bounds are picked by place; no task sorts the rows of its files."""
+    path = str(tmp_path / "t")
+    rows = spark.range(1000).select((F.col("id") % 3).cast("int").alias("part"),
+                                    F.when(F.col("id") % 7 > 0, F.unhex(F.hex("id"))).alias("k"))
+    rows = rows.unionByName(spark.range(5).select(F.lit(9).alias("part"), F.lit(None).cast("binary").alias("k")))
+    rows.repartition("part").sortWithinPartitions("part", "k").write.partitionBy("part").parquet(path)
+    table = spark.read.parquet(path)
+    bounds = K.file_bounds(table, "k")
+    plan = bounds._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("BroadcastHashJoin"):]  # what runs over all rows
+    assert "Sort" not in below and "HashAggregate" in below
+    by_hand = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min("k").alias("low"), F.max("k").alias("high"), F.count(F.lit(1)).alias("n"))
+    key = lambda r: (r["file"], r["low"], r["high"], r["n"])
+    assert sorted(map(key, bounds.collect())) == sorted(map(key, by_hand.collect()))
+
+
 # ------------------------------------------------------- bounds, multiplicities
 def test_bounds_drop_rows_before_the_shuffle(spark):
     tagged = C.tag_legs(jobs.flight_rows(spark, SF001))

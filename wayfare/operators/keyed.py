@@ -176,6 +176,19 @@ def range_number(key: str, splits: list[bytes]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, splits)), lambda point: point <= F.col(key)))
 
 
+def file_bounds(table: DataFrame, key: str) -> DataFrame:
+    """(file, low, high, n) of every file of ``table``, whose files are sorted
+    by ``key``, NULLs first: the first and the last known key, or NULLs.
+
+    Only counts are aggregated over all rows. A minimum of binary keys would
+    have every task sort its rows by the file's name, so the keys are picked by their
+    place in the file; the counts are broadcast, one row a file."""
+    at = table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(key).alias("_key"))
+    counts = at.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count("_key").alias("known"))
+    ends = at.join(F.broadcast(counts), "file").where((F.col("row") == F.col("n") - F.col("known")) | (F.col("row") == F.col("n") - 1))
+    return ends.groupBy("file").agg(F.min("_key").alias("low"), F.max("_key").alias("high"), F.first("n").alias("n"))
+
+
 def write_split_table(rows: DataFrame, path: str, splits: list[bytes], key: str = "rowkey") -> None:
     """K9: the table in the ranges that the caller's split points make, each
     a folder of files sorted by key; AQE splits a hot range into several. The
@@ -185,8 +198,7 @@ def write_split_table(rows: DataFrame, path: str, splits: list[bytes], key: str
     (placed.hint("rebalance", "range").sortWithinPartitions("range", key)
      .write.partitionBy("range").parquet(path))
     made = rows.sparkSession.read.schema(placed.schema).parquet(path)
-    bounds = made.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n"))
+    bounds = file_bounds(made, key)
     bounds.write.parquet(f"{path.rstrip('/')}/_bounds")
 
 
