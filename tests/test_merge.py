@@ -211,3 +211,39 @@ def test_a_large_result_is_no_single_row(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="too many"):
         write_single_row(spark.range(6), str(tmp_path / "x"))
     write_single_row(spark.range(5), str(tmp_path / "x"))
+
+
+# --------------------------------------------------------------- what is moved
+def test_derived_columns_and_exact_records(spark, tmp_path):
+    """Columns that follow from others are made where rows are written, and a
+    record as a struct tells NULLs, copies and moves as the hash does."""
+    root = str(tmp_path / "t")
+    derived = {"k": F.col("record.k"), "rowkey": F.encode(F.concat_ws("-", "year", "cancelled", "k"), "UTF-8")}
+
+    def put(rows):
+        full = spark.createDataFrame([(k, s, y, c, 1, bytearray(b"?"), v) for k, s, y, c, v in rows], ROW)
+        merge.merge_load(spark, root, merge.with_record(full, ["k"], ["seq"], exact=True), derived=derived)
+
+    first = [("a", 1, 2007, 0, 1), ("a", 1, 2007, 0, 1), ("b", 1, 2007, 1, 2), (None, 1, 2008, 1, 4)]
+    put(first)
+    put([("b", 1, 2007, 0, 20), (None, 1, 2008, 1, 40), ("c", 1, 2009, 0, 5)])
+    assert content(spark, root) == sorted([("a", 1, 2007, 0, 1)] * 2 + [("b", 1, 2007, 0, 20), ("", 1, 2008, 1, 40), ("c", 1, 2009, 0, 5)])
+    keys = {(r["k"], bytes(r["rowkey"]).decode()) for r in versions.read(spark, root).collect()}
+    assert keys == {("a", "2007-0-a"), ("b", "2007-0-b"), (None, "2008-1"), ("c", "2009-0-c")}
+    assert not any(f.endswith("year=2007/cancelled=1") for f in versions.contents(spark, root)[1])
+
+
+def test_a_load_into_a_new_table_is_written_once(spark, tmp_path, monkeypatch):
+    made, written = [], merge.written
+    monkeypatch.setattr(merge, "written", lambda df, name: made.append(name) or written(df, name))
+    root = str(tmp_path / "t")
+    merge.merge_load(spark, root, load(spark, [("a", 1, 2007, 0, 1)]))
+    assert made == []  # neither the load nor hot identities, of which there are none
+    merge.merge_load(spark, root, load(spark, [("b", 1, 2007, 0, 1)]))
+    assert made == ["load"]
+
+
+def test_numbering_shuffles_no_hash(spark):
+    rows = spark.range(50).select((F.col("id") % 7).alias("k"), "id")
+    plan = merge.with_occurrence(rows, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "xxhash64" not in plan[plan.index("Exchange"):]

@@ -114,6 +114,16 @@ def keyed_rows(flights: DataFrame, spark: SparkSession, extra: list[str] | None
     )
 
 
+def derived_columns() -> dict[str, Column]:
+    """The columns of ``keyed_rows`` that follow from its other ones."""
+    return {
+        "rowkey": row_key(),
+        "carrier": F.element_at(F.array(*map(F.lit, CARRIER_CODES)), F.col("carrier_idx") + 1),
+        "cond": pack_bits(F.col("year") - BASE_YEAR, F.col("cancelled"), 1),
+        "cell": pack_bits(F.col("delay").cast("long"), F.col("carrier_idx"), 8),
+    }
+
+
 def upsert_last(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """K7: one row per ``key``, the last by the total ``order`` wins.
 
@@ -149,11 +159,15 @@ def write_keyed_table(rows: DataFrame, path: str, mode: str = "overwrite",
     shaped.write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path)
 
 
-def sorted_for_table(rows: DataFrame) -> DataFrame:
+def sorted_for_table(rows: DataFrame, derived: dict[str, Column] | None = None) -> DataFrame:
     """Rows as the table's files have them: dealt by partition and month, a
     hot one split by AQE, and sorted. The writer needs rows by partition; a
-    sort that starts with it is kept as it is."""
-    return rows.hint("rebalance", "year", "cancelled", "month").sortWithinPartitions(*PARTITION_COLS, "rowkey")
+    sort that starts with it is kept as it is. ``derived`` columns are made,
+    in their order, after the rows are dealt, so they are not shuffled."""
+    dealt = rows.hint("rebalance", "year", "cancelled", "month")
+    for name, made in (derived or {}).items():
+        dealt = dealt.withColumn(name, made)
+    return dealt.sortWithinPartitions(*PARTITION_COLS, "rowkey")
 
 
 # K9: the key of the split table has the month first, which spreads a load

@@ -337,11 +337,13 @@ def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "tables", "merged", unique=True)
     li = read_table(spark, sf_dir, "lineitem", LINEITEM_COLUMNS + ["l_extendedprice"])
     first = flights(spark, li, extra=WRITE_ORDER)
+    derived = {c: F.col(f"record.{c}") for c in RECORD} | K.derived_columns()
     for load in (first, _second_load(first)):
-        rows = K.keyed_rows(load, spark, extra=WRITE_ORDER)
-        # equal records are interchangeable only if what they say is equal too
-        merge_load(spark, root, with_record(rows, RECORD, WRITE_ORDER + ["delay"]))
-    return versions.read(spark, root).drop("record", *WRITE_ORDER).withColumn("rowkey", F.hex("rowkey"))
+        # equal records are interchangeable only if what they say is equal too;
+        # the order's columns are not stored
+        named = with_record(load, RECORD, WRITE_ORDER + ["arr_delay_min"], exact=True)
+        merge_load(spark, root, K.keyed_rows(named, spark, extra=["record"]), derived=derived)
+    return versions.read(spark, root).drop("record").withColumn("rowkey", F.hex("rowkey"))
 
 
 SPLIT_RANGES = 20
