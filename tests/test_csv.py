@@ -160,3 +160,17 @@ def test_wide_lines_pass_and_short_ones_raise(spark):
     for bad in ("1,2,3", '1,"2,3",4', "", " \t "):
         with pytest.raises(SPARK_ERRORS):
             parse_flight_lines(df(bad), n_fields=4).collect()
+
+
+def test_exported_files_are_compressed_and_cut(spark, monkeypatch):
+    import os
+
+    from tests.conftest import SF001
+    from wayfare.plans import jobs
+
+    monkeypatch.setattr(jobs, "CSV_LINES", 900)
+    path = jobs.flight_csv_files(spark, SF001, rebuild=True).removeprefix("file:")
+    files = [f"{path}/{f}" for f in os.listdir(path) if f.startswith("part-")]
+    lines = [spark.read.text(f).agg(F.count("value"), F.sum(F.length("value") + 1)).first() for f in files]
+    assert sum(n for n, _ in lines) == 6000 and max(n for n, _ in lines) <= 900  # a compressed file is read by one task
+    assert sum(os.path.getsize(f) for f in files) < 0.5 * sum(size for _, size in lines)

@@ -491,15 +491,19 @@ def document_text_files(spark: SparkSession, sf_dir: str, rebuild: bool = False)
                     .write.mode("overwrite").text(p), rebuild)
 
 
+#: Lines of an exported CSV file, which is compressed and so read by one task: about 100 MB of text.
+CSV_LINES = 1_000_000
+
+
 def flight_csv_files(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> str:
-    """Export the flights as 44-field quoted CSV files."""
+    """Export the flights as 44-field quoted CSV files, compressed (lz4: a third of the text in no more time)."""
     def write(p: str) -> None:
         fl = flight_rows(spark, sf_dir)
         lines = flights_to_csv_lines(fl, extra={
             3: F.col("l_linenumber").cast("string"), 8: F.col("l_orderkey").cast("string")})
-        lines.write.mode("overwrite").text(p)
+        lines.write.mode("overwrite").option("maxRecordsPerFile", CSV_LINES).text(p, compression="lz4")
 
-    return _derived(spark, sf_dir, "lineitem", "flights_csv", f"csv-v1 {FLIGHTS_SQL}", write, rebuild)
+    return _derived(spark, sf_dir, "lineitem", "flights_csv", f"csv-v2 {FLIGHTS_SQL}", write, rebuild)
 
 
 def word_count_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
