@@ -311,3 +311,53 @@ def test_flattened_rows_of_one_group_are_joined_in_several_tasks(spark, one_hot_
     assert p.columns == ["flight_date", "transit", "t1", "d1", "t2", "d2", "n"]
     assert sum(r.n for r in p.collect()) == len(expected_pairs(one_hot_group))
     assert tasks(p) > 1
+
+
+@pytest.fixture
+def merged_tasks(spark):
+    """Joins by shuffle, their tasks merged by the bytes they read (the default)."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def year_rows(spark, monkeypatch, rows):
+    from wayfare.plans import jobs
+
+    monkeypatch.setattr(jobs, "flight_rows", lambda spark, sf_dir: flights_df(spark, rows))
+    return jobs.two_leg_year_2007_rows(spark, "")
+
+
+def test_year_rows_tasks_are_not_merged_by_bytes(spark, merged_tasks, monkeypatch):
+    rows = [flight(i, "ORD", "LAX", arr=f"{i % 24:02d}00", delay=i % 9, date=(2007, 7, 1 + i % 7)) for i in range(140)]
+    rows += [flight(1000 + i, "LAX", "JFK", dep=f"{i % 23:02d}30", date=(2007, 7, 1 + i % 7)) for i in range(210)]
+    # groups of one leg, of another year and of a missing place
+    rows += [flight(2000, "ORD", "SEA"), flight(2001, "ATL", "JFK"), flight(2002, "ORD", None), flight(2003, None, "JFK")]
+    rows += [flight(2004, "ORD", "LAX", date=(2008, 7, 1)), flight(2005, "LAX", "JFK", dep="2300", date=(2008, 7, 1))]
+    p = year_rows(spark, monkeypatch, rows)
+    assert p.columns == ["flight_date", "transit", "a_t", "a_d", "a_year", "a_month", "b_t", "b_d", "b_year", "b_month"]
+    legs = [r for r in rows if r[4].year == 2007]
+    assert sorted(map(tuple, p.collect())) == sorted(
+        (a[4], a[8], a[10], int(a[11]), 2007, 7, b[9], int(b[11]), 2007, 7) for a in legs for b in legs
+        if (a[7], b[8]) == ("ORD", "JFK") and a[8] == b[7] and a[8] and a[4] == b[4] and a[10] < b[9])
+    assert tasks(p) > 3
+
+
+def test_year_rows_of_copies_are_joined_in_several_tasks(spark, merged_tasks, monkeypatch):
+    rows = [flight(i, "ORD", "LAX", arr="0900", delay=5) for i in range(300)]
+    rows += [flight(1000 + i, "LAX", "JFK", dep="1000", delay=7) for i in range(200)]
+    p = year_rows(spark, monkeypatch, rows)
+    assert p.groupBy("a_t", "a_d", "b_t", "b_d").count().collect() == [("0900", 5, "1000", 7, 60000)]
+    assert tasks(p) > 3
+
+
+def test_cells_of_a_large_group_hold_few_legs(spark, merged_tasks, monkeypatch):
+    monkeypatch.setattr(C, "LARGE", 100)
+    rows = [flight(i, "ORD", "LAX", arr=f"{i % 24:02d}{i % 60:02d}", delay=i % 9) for i in range(2000)]
+    rows += [flight(5000 + i, "LAX", "JFK", dep=f"{i % 23:02d}{i % 59:02d}") for i in range(30)]
+    tagged = C.tag_legs(flights_df(spark, rows), keep=["l_orderkey"])
+    p = C.pairs(tagged, carry=["l_orderkey"], strict=False, counts=C.leg_counts(tagged))
+    got = p.select("a_l_orderkey", "b_l_orderkey", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r[0], r[1]) for r in got) == sorted(
+        (a[0], b[0]) for a in rows[:2000] for b in rows[2000:] if a[10] <= b[9])
+    assert len({r.task for r in got}) > 8  # of 20 cells
