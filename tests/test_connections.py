@@ -361,3 +361,60 @@ def test_cells_of_a_large_group_hold_few_legs(spark, merged_tasks, monkeypatch):
     assert sorted((r[0], r[1]) for r in got) == sorted(
         (a[0], b[0]) for a in rows[:2000] for b in rows[2000:] if a[10] <= b[9])
     assert len({r.task for r in got}) > 8  # of 20 cells
+
+
+@pytest.fixture
+def large_group(spark):
+    """4,000 legs each way of one date and transit; few depart late enough."""
+    rows = spark.range(8000).selectExpr(
+        "date'2007-07-01' AS flight_date", "'LAX' AS transit", "cast(id % 2 + 1 AS int) AS leg", "id",
+        "lpad(cast(if(id % 2 = 0, 1200 + id % 1100, id % 1230) AS string), 4, '0') AS t", "cast(id % 31 AS int) AS d")
+    return rows.select("id", "flight_date", "transit", "t", "d", "leg")
+
+
+def shuffled_rows(plan):
+    """Rows written by the exchanges of a plan that has run."""
+    name, under = plan.nodeName(), [plan.children().apply(i) for i in range(plan.children().size())]
+    if name.startswith("AdaptiveSparkPlan"):
+        under = [plan.executedPlan()]
+    elif "QueryStage" in name:
+        under = [plan.plan()]
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    return own + sum(shuffled_rows(p) for p in under)
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_pairs_of_a_large_group_by_cells(spark, merged_tasks, large_group, packed):
+    counts = C.leg_counts(large_group)
+    p = C.pairs(large_group, carry=["id"], counts=counts, packed=packed)
+    assert p.columns == ["flight_date", "transit", "a_t", "a_d", "a_id", "b_t", "b_d", "b_id"]
+    got = sorted((r.a_id, r.b_id) for r in p.collect())
+    rows = large_group.collect()
+    late = [r for r in rows if r.leg == 2 and r.t > "1200"]
+    assert got == sorted((a.id, b.id) for a in rows if a.leg == 1 for b in late if a.t < b.t)
+
+
+def test_pairs_query_shuffles_few_rows_of_a_large_group(spark, merged_tasks, large_group, monkeypatch):
+    from wayfare.plans import jobs
+
+    legs = large_group.withColumnRenamed("id", "l_orderkey").withColumn("l_linenumber", F.lit(1))
+    monkeypatch.setattr(jobs, "_stored_legs", lambda spark, sf_dir, **tag_args: (legs, C.leg_counts(legs)))
+    p = jobs.two_leg_pairs(spark, "")
+    qe = p._jdf.queryExecution()
+    assert qe.toRdd().count() > 0
+    # each leg once, then its block for each part of the other leg; 64,000 of legs for each part before
+    assert shuffled_rows(qe.executedPlan()) < 24000
+
+
+def test_written_pairs_repeat_within_few_bytes(spark, merged_tasks, monkeypatch, tmp_path):
+    from wayfare.plans import jobs
+
+    rows = [flight(i, "ORD", "LAX", arr=f"{i * 7 % 12:02d}{i * 11 % 60:02d}", delay=i % 31) for i in range(1500)]
+    rows += [flight(5000 + i, "LAX", "JFK", dep=f"{6 + i * 5 % 18:02d}{i * 13 % 60:02d}", delay=i % 29) for i in range(1500)]
+    monkeypatch.setattr(jobs, "flight_rows", lambda spark, sf_dir: flights_df(spark, rows))
+    p = jobs.two_leg_pairs(spark, "")
+    p.coalesce(1).write.parquet(str(tmp_path / "pairs"))
+    written = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    n = spark.read.parquet(str(tmp_path / "pairs")).count()
+    assert n == len(expected_pairs(rows))
+    assert written < n
